@@ -14,6 +14,7 @@ from folioflow.sources import html, payloads
 
 SYMBOL = "'ZH' || lpad(CAST({} AS VARCHAR), CAST(greatest(6, length(CAST({} AS VARCHAR))) AS INTEGER), '0')"
 ORDER_SYMBOL = SYMBOL.format("o_orderkey", "o_orderkey")
+CUSTOMER_SYMBOL = SYMBOL.format("c_custkey", "c_custkey")
 LINE_SYMBOL = SYMBOL.format("l_orderkey", "l_orderkey")
 AS_OF = "2024-01-31 12:00:00"
 TRADES = """
@@ -273,38 +274,38 @@ def portfolio_json(t: Tables):
 
 
 @query(f"""
-    SELECT {ORDER_SYMBOL} AS symbol, o_orderpriority AS portfolio_name, CAST(o_custkey AS VARCHAR) AS portfolio_follows,
+    SELECT {CUSTOMER_SYMBOL} AS symbol, c_mktsegment AS portfolio_name, CAST(c_custkey AS VARCHAR) AS portfolio_follows,
         '12.5%' AS total_return_percentage, '-1%' AS daily_return_percentage, '3%' AS monthly_return_percentage,
-        CAST(o_orderkey AS VARCHAR) AS net_worth, CAST(NULL AS VARCHAR) AS total_revenue_ranking_exceeds,
-        CAST(o_custkey AS VARCHAR) AS create_user_id, 'Name ' || CAST(o_custkey AS VARCHAR) AS create_user_name,
-        'about < ' || o_orderstatus AS portfolio_description, o_orderstatus = 'F' AS is_closed,
-        CASE WHEN o_orderstatus = 'F' THEN '2020-01-02' END AS create_time,
-        CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d') END AS close_time,
-        2 AS segments, 2 AS stocks_first, 'S-' || o_orderstatus AS segment_name, '40%' AS segment_weight,
-        'stock ' || CAST(o_custkey AS VARCHAR) AS stock_name, '9.9' AS stock_price, '20%' AS stock_weight
-    FROM orders""")
+        CAST(c_acctbal AS VARCHAR) AS net_worth, CAST(NULL AS VARCHAR) AS total_revenue_ranking_exceeds,
+        CAST(c_custkey AS VARCHAR) AS create_user_id, 'Name ' || CAST(c_custkey AS VARCHAR) AS create_user_name,
+        'about < ' || CAST(c_nationkey AS VARCHAR) AS portfolio_description, c_nationkey = 3 AS is_closed,
+        CASE WHEN c_nationkey = 3 THEN '2020-01-02' END AS create_time,
+        CASE WHEN c_nationkey = 3 THEN '2021-03-04' END AS close_time,
+        2 AS segments, 2 AS stocks_first, 'S-' || CAST(c_nationkey AS VARCHAR) AS segment_name, '40%' AS segment_weight,
+        'stock ' || CAST(c_custkey AS VARCHAR) AS stock_name, '9.9' AS stock_price, '20%' AS stock_weight
+    FROM customer""")
 def portfolio_pages(t: Tables):
-    """Portfolio pages to nested documents. The pages are written out of the order rows."""
+    """Portfolio pages to nested documents. The pages are written out of the customer rows."""
     col = lambda c: F.col(c).cast("string")
-    stock = ['<div class="stock"><div class="name"> stock ', col("o_custkey"),
+    stock = ['<div class="stock"><div class="name"> stock ', col("c_custkey"),
              '</div><div class="price">9.9</div><span class="weight stock-weight">20%</span></div>']
-    segment = ['<div class="segment"><span class="segment-name">S-', col("o_orderstatus"),
+    segment = ['<div class="segment"><span class="segment-name">S-', col("c_nationkey"),
                '</span><span class="segment-weight weight">40%</span></div>']
-    closed = F.when(F.col("o_orderstatus") == "F", F.concat(
+    closed = F.when(F.col("c_nationkey") == 3, F.concat(
         F.lit('<div class="cube-closed"><div class="text"><p>创建于：2020-01-02<p>关停时间： '),
-        F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("</div></div>"))).otherwise("")
+        F.lit("2021-03-04"), F.lit("</div></div>"))).otherwise("")
     parts = [
-        '<html><body><div class="cube-title"><span class="name">', col("o_orderpriority"),
-        '</span><div class="cube-people-data"><span class="num">', col("o_custkey"), " 人</span></div></div>",
+        '<html><body><div class="cube-title"><span class="name">', col("c_mktsegment"),
+        '</span><div class="cube-people-data"><span class="num">', col("c_custkey"), " 人</span></div></div>",
         '<div id="cube-info"><span class="per">12.5%</span><span class="per"> -1%</span><span class="per">3%<br></span>',
-        '<b class="per">', col("o_orderkey"), "</b></div>", closed,
-        '<div class="cube-creator-info"><a class="creator" href="/', col("o_custkey"), '/"><span class="name">Name ',
-        col("o_custkey"), '</span></a><div class="desc"><span class="text">about &lt; ', col("o_orderstatus"),
+        '<b class="per">', col("c_acctbal"), "</b></div>", closed,
+        '<div class="cube-creator-info"><a class="creator" href="/', col("c_custkey"), '/"><span class="name">Name ',
+        col("c_custkey"), '</span></a><div class="desc"><span class="text">about &lt; ', col("c_nationkey"),
         '</span></div></div><div class="weight-list">', *stock, *segment, *stock, *stock, *segment, "</div></body></html>",
     ]
     page = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-    captures = t.orders.select(
-        t.symbol_of("o_orderkey").alias("symbol"), page.alias("html"), F.lit(None).cast("string").alias("comments_html"),
+    captures = t.customer.select(
+        t.symbol_of("c_custkey").alias("symbol"), page.alias("html"), F.lit(None).cast("string").alias("comments_html"),
         F.lit(None).cast("string").alias("rebalances"))
     docs = html.portfolio_documents(captures)
     seg = F.col("detailed_position")[0]

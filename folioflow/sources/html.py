@@ -1,46 +1,58 @@
-"""HTML captures. Python only flattens the markup to nodes; what is picked out of the nodes is
-written as column expressions."""
+"""HTML captures. Python, in Arrow batches, only picks the pieces of text out of the markup; what
+they mean is written as column expressions."""
 
 from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from folioflow.functions import scalars as sc
-
-NODES = T.ArrayType(T.StructType(
-    [T.StructField(name, T.IntegerType()) for name in ("pos", "end", "depth")]
-    + [T.StructField(name, T.StringType()) for name in ("tag", "cls", "href", "id", "text")]
-))
+from folioflow.operators.ordered import fill_forward
 
 # Elements that never have an end tag, and ones a sibling ends.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
          "track", "wbr"}
-_SELF_CLOSING_SIBLINGS = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
+_ENDED_BY_SIBLING = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
+
+
+class _Node:
+    __slots__ = ("tag", "attrs", "depth", "pos", "end", "text")
+
+    def __init__(self, tag, attrs, depth, pos, text=None):
+        self.tag, self.attrs, self.depth, self.pos, self.end, self.text = tag, attrs, depth, pos, pos, text
+
+    def is_a(self, tag, cls, cls_has):
+        own = self.attrs.get("class") or ""
+        return (
+            self.text is None and tag in (None, self.tag)
+            and (cls is None or own == cls) and (cls_has is None or cls_has in own)
+        )
+
 
+class _Page(HTMLParser):
+    """Nodes in document order; a node's descendants are the ones from ``pos + 1`` to ``end``."""
 
-class _Flattener(HTMLParser):
-    def __init__(self):
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.nodes, self.open = [], []
+        self.feed(html)
+        self.close()
+        self._end_from(0)
 
     def _add(self, tag, attrs=(), text=None):
-        attrs = dict(attrs)
-        self.nodes.append({
-            "pos": len(self.nodes), "end": len(self.nodes), "depth": len(self.open), "tag": tag,
-            "cls": attrs.get("class"), "href": attrs.get("href"), "id": attrs.get("id"),
-            "text": text,
-        })
+        self.nodes.append(_Node(tag, dict(attrs), len(self.open), len(self.nodes), text))
 
-    def _close_down_to(self, level):
-        while len(self.open) > level:
-            self.open.pop()["end"] = len(self.nodes) - 1
+    def _end_from(self, level):
+        for node in self.open[level:]:
+            node.end = len(self.nodes) - 1
+        del self.open[level:]
 
     def handle_starttag(self, tag, attrs):
-        if tag in _SELF_CLOSING_SIBLINGS and self.open and self.open[-1]["tag"] == tag:
-            self._close_down_to(len(self.open) - 1)
+        if tag in _ENDED_BY_SIBLING and self.open and self.open[-1].tag == tag:
+            self._end_from(len(self.open) - 1)
         self._add(tag, attrs)
         if tag not in _VOID:
             self.open.append(self.nodes[-1])
@@ -50,167 +62,185 @@ class _Flattener(HTMLParser):
 
     def handle_endtag(self, tag):
         for level in range(len(self.open) - 1, -1, -1):
-            if self.open[level]["tag"] == tag:
-                self._close_down_to(level)
-                return
+            if self.open[level].tag == tag:
+                return self._end_from(level)
 
     def handle_data(self, data):
         last = self.nodes[-1] if self.nodes else None
-        if last and last["tag"] == "#text" and last["depth"] == len(self.open):
-            last["text"] += data
+        if last and last.text is not None and last.depth == len(self.open):
+            last.text += data
         else:
             self._add("#text", text=data)
 
-    def finish(self):
-        self.close()
-        self._close_down_to(0)
-        return self.nodes
-
+    def under(self, node):
+        if node is None:
+            return []
+        return self.nodes[node.pos + 1:node.end + 1]
 
-@F.pandas_udf(NODES)
-def html_nodes(html: pd.Series) -> pd.Series:
-    """Elements and text nodes in document order; ``pos .. end`` spans a node's descendants."""
-    def flatten(text):
-        if text is None:
-            return None
-        parser = _Flattener()
-        parser.feed(text)
-        return parser.finish()
+    def all(self, within, tag=None, cls=None, cls_has=None):
+        return [n for n in within if n.is_a(tag, cls, cls_has)]
 
-    return html.map(flatten)
+    def first(self, within, tag=None, cls=None, cls_has=None):
+        return next((n for n in within if n.is_a(tag, cls, cls_has)), None)
 
+    def texts(self, *nodes):
+        return [n.text for node in nodes for n in self.under(node) if n.text is not None]
 
-# --- picking nodes ----------------------------------------------------------
+    def text(self, node):
+        return None if node is None else "".join(self.texts(node)).strip()
 
-def where(nodes: Column, tag: str | None = None, cls: str | None = None,
-          cls_has: str | None = None, within: Column | None = None) -> Column:
-    def matches(n):
-        ok = F.lit(True)
-        if within is not None:
-            ok = ok & (n["pos"] > within["pos"]) & (n["pos"] <= within["end"])
-        if tag:
-            ok = ok & (n["tag"] == tag)
-        if cls:
-            ok = ok & F.coalesce(n["cls"] == cls, F.lit(False))
-        if cls_has:
-            ok = ok & F.coalesce(F.contains(n["cls"], F.lit(cls_has)), F.lit(False))
-        return ok
 
-    return F.filter(nodes, matches)
+_STRING, _STRINGS = T.StringType(), T.ArrayType(T.StringType())
 
 
-def first(nodes: Column) -> Column:
-    return F.get(nodes, F.lit(0))
+def _struct(**fields):
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-def texts_under(nodes: Column, element: Column) -> Column:
-    return F.transform(where(nodes, tag="#text", within=element), lambda n: n["text"])
+def _per_page(html: pa.Array, one, kind: T.DataType) -> pa.Array:
+    found = (None if text is None else one(_Page(text)) for text in html.to_pylist())
+    return pa.array(list(found), to_arrow_type(kind))
 
 
-def texts_under_all(nodes: Column, elements: Column) -> Column:
-    return F.flatten(F.transform(elements, lambda e: texts_under(nodes, e)))
+# --- list elements ----------------------------------------------------------
 
+def element_texts(tag: str):
+    @F.arrow_udf(_STRINGS)
+    def run(html: pa.Array) -> pa.Array:
+        return _per_page(html, lambda page: [page.text(e) for e in page.all(page.nodes, tag)], _STRINGS)
 
-def text_of(nodes: Column, element: Column) -> Column:
-    """All text of an element, trimmed; null without an element."""
-    return F.when(
-        element.isNotNull(), sc.strip_blanks(F.array_join(texts_under(nodes, element), ""))
-    )
+    return run
 
 
-def children(nodes: Column, element: Column) -> Column:
-    return F.filter(
-        nodes,
-        lambda n: (n["pos"] > element["pos"]) & (n["pos"] <= element["end"])
-        & (n["depth"] == element["depth"] + 1) & (n["tag"] != "#text"),
-    )
+def element_rows(pages: DataFrame, keep: list[str], tag: str, html: str = "html") -> DataFrame:
+    """One row per ``tag`` element: its place among them and its text."""
+    return pages.select(*keep, element_texts(tag)(F.col(html)).alias("found")).select(
+        *keep, F.posexplode("found").alias("pos", "text"))
 
 
 # --- comment fragments ------------------------------------------------------
 
-def _one_comment(nodes: Column, item: Column) -> Column:
-    heads = where(nodes, tag="div", cls="status-retweet-user", within=item)
-    names = F.flatten(F.transform(heads, lambda h: F.filter(
-        where(nodes, tag="a", cls="name", within=h), lambda a: a["depth"] == h["depth"] + 1
-    )))
-    shown = texts_under_all(nodes, where(nodes, tag="div", cls="text", within=item))
-    hidden = texts_under_all(nodes, where(nodes, tag="script", cls="single-description", within=item))
-
-    def counter(button):
-        ems = F.flatten(F.transform(
-            where(nodes, tag="a", cls_has=button, within=item),
-            lambda a: where(nodes, tag="em", within=a),
-        ))
-        return F.coalesce(F.get(texts_under_all(nodes, ems), F.lit(0)), F.lit("0"))
-
-    author = F.get(texts_under_all(nodes, names), F.lit(0))
-    return F.struct(
-        F.coalesce(sc.strip_blanks(author), F.lit(sc.AUTHOR_UNKNOWN)).alias("author"),
-        sc.fuller_text(shown, hidden).alias("text"),
-        counter("btn-like").alias("likes"),
-        counter("btn-status-reply").alias("comments_count"),
-    )
+_COMMENTS = T.ArrayType(_struct(
+    author=_STRING, shown=_STRINGS, hidden=_STRINGS, likes=_STRING, replies=_STRING))
 
 
-def comments(nodes: Column) -> Column:
-    """Comments of a fragment, in page order."""
-    return F.transform(
-        where(nodes, tag="div", cls_has="status-item"), lambda item: _one_comment(nodes, item)
-    )
+@F.arrow_udf(_COMMENTS)
+def _comment_parts(html: pa.Array) -> pa.Array:
+    def part(page, item):
+        inside = page.under(item)
 
+        def counter(button):
+            buttons = page.all(inside, "a", cls_has=button)
+            ems = [em for a in buttons for em in page.all(page.under(a), "em")]
+            return next(iter(page.texts(*ems)), None)
 
-def comment_rows(fragments: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
-    """``(.., html)`` to one row per comment."""
-    # The node array is used many times below: the generator boundary keeps it computed once.
-    return (
-        fragments.select(*keep, html_nodes(F.col(html)).alias("nodes"))
-        .select(*keep, F.posexplode(comments(F.col("nodes"))).alias("pos", "c"))
-        .select(*keep, "pos", "c.*")
-    )
+        names = [
+            a for head in page.all(inside, "div", cls="status-retweet-user")
+            for a in page.all(page.under(head), "a", cls="name") if a.depth == head.depth + 1
+        ]
+        return {
+            "author": next(iter(page.texts(*names)), None),
+            "shown": page.texts(*page.all(inside, "div", cls="text")),
+            "hidden": page.texts(*page.all(inside, "script", cls="single-description")),
+            "likes": counter("btn-like"), "replies": counter("btn-status-reply"),
+        }
 
+    def one(page):
+        return [part(page, i) for i in page.all(page.nodes, "div", cls_has="status-item")]
 
-def element_rows(pages: DataFrame, keep: list[str], tag: str, html: str = "html") -> DataFrame:
-    """One row per ``tag`` element: its place among them and its text."""
-    nodes = F.col("nodes")
-    return (
-        pages.select(*keep, html_nodes(F.col(html)).alias("nodes"))
-        .select(*keep, F.posexplode(
-            F.transform(where(nodes, tag=tag), lambda e: text_of(nodes, e))
-        ).alias("pos", "text"))
-    )
+    return _per_page(html, one, _COMMENTS)
+
+
+def comments(html: Column) -> Column:
+    """Comments of a fragment, in page order; absent authors and counts have their defaults."""
+    return F.transform(_comment_parts(html), lambda c: F.struct(
+        F.coalesce(sc.strip_blanks(c["author"]), F.lit(sc.AUTHOR_UNKNOWN)).alias("author"),
+        sc.fuller_text(c["shown"], c["hidden"]).alias("text"),
+        F.coalesce(c["likes"], F.lit("0")).alias("likes"),
+        F.coalesce(c["replies"], F.lit("0")).alias("comments_count"),
+    ))
+
+
+def comment_rows(fragments: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
+    """``(.., html)`` to one row per comment."""
+    return fragments.select(*keep, F.posexplode(comments(F.col(html))).alias("pos", "c")).select(
+        *keep, "pos", "c.*")
 
 
 # --- portfolio pages --------------------------------------------------------
 
+# The figures in page order.
 FIGURES = ["total_return_percentage", "daily_return_percentage", "monthly_return_percentage",
            "net_worth", "total_revenue_ranking_exceeds"]
-
-
-def holdings(nodes: Column) -> Column:
+_PARTS = _struct(
+    name=_STRING, follows=_STRING, figures=_STRINGS, creator_href=_STRING, creator=_STRING,
+    about=_STRING, closed=T.BooleanType(), notes=_STRINGS,
+    listed=T.ArrayType(_struct(
+        cls=_STRING, category_name=_STRING, proportion=_STRING, name=_STRING, price=_STRING,
+        weight=_STRING)),
+)
+
+
+@F.arrow_udf(_PARTS)
+def _portfolio_parts(html: pa.Array) -> pa.Array:
+    def listed(page, item):
+        inside = page.under(item)
+
+        def pick(*args, **kwargs):
+            return page.text(page.first(inside, *args, **kwargs))
+
+        return {
+            "cls": item.attrs["class"],
+            "category_name": pick("span", cls="segment-name"),
+            "proportion": pick("span", cls="segment-weight weight"),
+            "name": pick("div", cls="name"), "price": pick("div", cls="price"),
+            "weight": pick("span", cls_has="stock-weight"),
+        }
+
+    def one(page):
+        title = page.first(page.nodes, cls_has="cube-title")
+        info = next((n for n in page.nodes if n.attrs.get("id") == "cube-info"), None)
+        box = page.under(page.first(page.nodes, "div", cls_has="cube-creator-info"))
+        creator = page.first(box, "a", cls_has="creator")
+        closed = page.first(page.nodes, "div", cls="cube-closed")
+        holds = page.first(page.nodes, "div", cls="weight-list")
+        return {
+            "name": page.text(page.first(page.under(title), cls="name")),
+            "follows": page.text(page.first(page.under(title), "span", cls="num")),
+            "figures": [page.text(n) for n in page.all(page.under(info), cls_has="per")],
+            "creator_href": creator and creator.attrs.get("href"),
+            "creator": creator and page.text(page.first(page.under(creator), cls="name")),
+            "about": page.text(page.first(page.under(page.first(box, "div", cls="desc")), "span", cls="text")),
+            "closed": closed is not None,
+            "notes": [page.text(p) for p in page.all(page.under(page.first(page.under(closed), "div", cls="text")), "p")],
+            "listed": [
+                listed(page, n) for n in page.under(holds)
+                if n.text is None and n.depth == holds.depth + 1 and n.attrs.get("class")
+            ],
+        }
+
+    return _per_page(html, one, _PARTS)
+
+
+def holdings(listed: Column) -> Column:
     """Segments with their stocks; a stock belongs to the segment before it."""
-    listed = children(nodes, first(where(nodes, tag="div", cls="weight-list")))
-    segments = where(listed, cls_has="segment")
-    stocks = F.filter(
-        where(listed, cls_has="stock"), lambda s: ~F.contains(s["cls"], F.lit("segment"))
-    )
-
-    def stock(s):
-        return F.struct(
-            text_of(nodes, first(where(nodes, tag="div", cls="name", within=s))).alias("name"),
-            text_of(nodes, first(where(nodes, tag="div", cls="price", within=s))).alias("price"),
-            text_of(nodes, first(where(nodes, tag="span", cls_has="stock-weight", within=s))).alias("weight"),
-        )
+    placed = F.transform(listed, lambda x, i: x.withField("at", i))
+    is_segment = lambda x: F.contains(x["cls"], F.lit("segment"))
+    segments = F.filter(placed, is_segment)
+    stocks = F.filter(placed, lambda x: ~is_segment(x) & F.contains(x["cls"], F.lit("stock")))
 
     def segment(seg, i):
-        end = F.coalesce(F.get(segments, i + 1)["pos"], F.lit(2**31 - 1))
-        mine = F.filter(stocks, lambda s: (s["pos"] > seg["pos"]) & (s["pos"] < end))
+        end = F.coalesce(F.get(segments, i + 1)["at"], F.size(listed))
+        mine = F.filter(stocks, lambda s: (s["at"] > seg["at"]) & (s["at"] < end))
         return F.struct(
-            text_of(nodes, first(where(nodes, tag="span", cls="segment-name", within=seg))).alias("category_name"),
-            text_of(nodes, first(where(nodes, tag="span", cls="segment-weight weight", within=seg))).alias("proportion"),
-            F.transform(mine, stock).alias("stocks"),
+            seg["category_name"].alias("category_name"), seg["proportion"].alias("proportion"),
+            F.transform(mine, lambda s: F.struct(s["name"], s["price"], s["weight"])).alias("stocks"),
         )
 
-    return F.transform(segments, segment)
+    return F.transform(segments, segment).cast(
+        "array<struct<category_name: string, proportion: string, stocks: "
+        "array<struct<name: string, price: string, weight: string>>>>"
+    )
 
 
 def portfolio_documents(captures: DataFrame) -> DataFrame:
@@ -218,40 +248,23 @@ def portfolio_documents(captures: DataFrame) -> DataFrame:
 
     A page without a title is a failed capture and gives no document.
     """
-    n = F.col("nodes")
-    title = first(where(n, cls_has="cube-title"))
-    info = first(F.filter(n, lambda e: F.coalesce(e["id"] == "cube-info", F.lit(False))))
-    figures = F.transform(where(n, cls_has="per", within=info), lambda e: text_of(n, e))
-    follows = first(where(n, tag="span", cls="num", within=title))
-    box = first(where(n, tag="div", cls_has="cube-creator-info"))
-    creator = first(where(n, tag="a", cls_has="creator", within=box))
-    about = first(where(n, tag="span", cls="text", within=first(where(n, tag="div", cls="desc", within=box))))
-    closed = first(where(n, tag="div", cls="cube-closed"))
-    notes = F.transform(
-        where(n, tag="p", within=first(where(n, tag="div", cls="text", within=closed))),
-        lambda p: text_of(n, p),
-    )
+    p = F.col("parts")
     return (
         captures.select(
-            "symbol", "rebalances",
-            html_nodes(F.col("html")).alias("nodes"),
-            html_nodes(F.col("comments_html")).alias("comment_nodes"),
+            "symbol", "rebalances", _portfolio_parts(F.col("html")).alias("parts"),
+            comments(F.col("comments_html")).alias("comments"),
         )
-        .filter(title.isNotNull())
+        .filter(p["name"].isNotNull())
         .select(
-            "symbol",
-            text_of(n, first(where(n, cls="name", within=title))).alias("portfolio_name"),
-            sc.first_digits(text_of(n, follows)).alias("portfolio_follows"),
-            *sc.named_figures(figures, FIGURES),
-            sc.last_segment(creator["href"]).alias("create_user_id"),
-            text_of(n, first(where(n, cls="name", within=creator))).alias("create_user_name"),
-            text_of(n, about).alias("portfolio_description"),
-            closed.isNotNull().alias("is_closed"),
-            sc.label_value(notes, sc.CREATED_LABEL).alias("create_time"),
-            sc.label_value(notes, sc.CLOSED_LABEL, unless=sc.CREATED_LABEL).alias("close_time"),
-            holdings(n).alias("detailed_position"),
-            comments(F.col("comment_nodes")).alias("comments"),
-            "rebalances",
+            "symbol", p["name"].alias("portfolio_name"),
+            sc.first_digits(p["follows"]).alias("portfolio_follows"),
+            *sc.named_figures(p["figures"], FIGURES),
+            sc.last_segment(p["creator_href"]).alias("create_user_id"),
+            p["creator"].alias("create_user_name"), p["about"].alias("portfolio_description"),
+            p["closed"].alias("is_closed"),
+            sc.label_value(p["notes"], sc.CREATED_LABEL).alias("create_time"),
+            sc.label_value(p["notes"], sc.CLOSED_LABEL, unless=sc.CREATED_LABEL).alias("close_time"),
+            holdings(p["listed"]).alias("detailed_position"), "comments", "rebalances",
         )
     )
 
@@ -262,8 +275,6 @@ def holding_rows(children_rows: DataFrame) -> DataFrame:
     Input ``(symbol, pos, class, segment_name, segment_weight, name, price, weight)``. Stocks
     before any segment are dropped.
     """
-    from folioflow.operators.ordered import fill_forward
-
     is_segment = F.contains(F.col("class"), F.lit("segment"))
     segment = F.when(is_segment, F.struct("segment_name", "segment_weight"))
     rows = children_rows.filter(F.contains("class", F.lit("segment")) | F.contains("class", F.lit("stock")))
