@@ -251,11 +251,12 @@ def _stream(t: Tables, table: str):
     return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(t.dir)
 
 
-def _workspace(t: Tables) -> tuple[TableStore, str]:
+def _workspace(t: Tables, *tables: str) -> tuple[TableStore, str]:
     """A fresh place in the shared folder for one stream's tables and its progress."""
     root = f"{shared_folder(t.spark)}/streams/{uuid.uuid4().hex}"
     store = TableStore(t.spark, f"{root}/tables")
-    store.create_tables()
+    if tables:
+        store.create_tables(*tables)
     return store, f"{root}/progress"
 
 
@@ -264,7 +265,7 @@ def _workspace(t: Tables) -> tuple[TableStore, str]:
     WHERE user_id % 2 = 1 OR ts > TIMESTAMP '2024-01-03 00:00:00'""")
 def stream_statuses(t: Tables):
     """The incremental ingest as a stream that is drained: the same rows as its batch query."""
-    store, progress = _workspace(t)
+    store, progress = _workspace(t, "raw_statuses", "timeline_marks")
     store.write("timeline_marks", _marks(t), 1)
     zero = F.lit(0).cast("bigint")
     posts = _stream(t, "events").select(
@@ -278,7 +279,7 @@ def stream_statuses(t: Tables):
 @query(f"SELECT status_id AS comment_id, category FROM ({SCORED}) s WHERE category IS NOT NULL")
 def stream_labels(t: Tables):
     """The classifier as a stream that is drained."""
-    store, progress = _workspace(t)
+    store, progress = _workspace(t, "value_comments", "status_log")
     zero = F.lit(0).cast("bigint")
     statuses = _stream(t, "documents").select(
         F.col("doc_id").alias("status_id"), F.lit(1).cast("bigint").alias("user_id"), F.col("text").alias("description"),

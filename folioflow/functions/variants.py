@@ -13,6 +13,12 @@ def parse(text: Column) -> Column:
     return F.try_parse_json(text)
 
 
+def is_readable(text: Column) -> Column:
+    """JSON other than a bare null. The null test of a variant says false for no variant at all."""
+    v = parse(text)
+    return v.isNotNull() & ~F.is_variant_null(v)
+
+
 def as_list(v: Column, path: str = "$") -> Column:
     return F.try_variant_get(v, path, _LIST)
 

@@ -12,7 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioflow.config import FlowConfig
-from folioflow.functions import scalars as sc
+from folioflow.functions import scalars as sc, variants as vr
+from folioflow.plans.tasks import take
 
 PENDING, DONE, FAILED = 0, 1, 2
 
@@ -56,13 +57,7 @@ def replies(scorer: Scorer):
     return run
 
 
-def is_readable(reply: Column) -> Column:
-    return F.coalesce(~F.is_variant_null(F.try_parse_json(reply)), F.lit(False))
-
-
 def queue(statuses: DataFrame, limit: int | None = None) -> DataFrame:
-    from folioflow.plans.tasks import take
-
     return take(statuses.filter(F.col("is_analyzed") == PENDING), ["status_id"], limit)
 
 
@@ -82,7 +77,7 @@ def score_posts(pending: DataFrame, scorer: Scorer, cfg: FlowConfig) -> DataFram
         .withColumn("__reply", replies(scorer)(F.col("__clean")))
     )
     valuable, category = sc.verdict_fields(F.col("__reply"))
-    tried, good = F.col("__clean").isNotNull(), is_readable(F.col("__reply"))
+    tried, good = F.col("__clean").isNotNull(), vr.is_readable(F.col("__reply"))
     return scored.select(
         *[c for c in pending.columns if c != "is_analyzed"],
         F.when(tried & ~good, FAILED).otherwise(DONE).alias("is_analyzed"),

@@ -90,15 +90,13 @@ def expand(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batch: int,
     if progress.has_at_least(users, cfg.user_cap).first()[0]:
         return
     scanned = store.ids("scan_state", batch)
-    spark = store.spark
-    start = spark.range(1).select(F.lit(seed).cast("bigint").alias("user_id")).join(
-        scanned, "user_id", "left_anti")
+    start = store.spark.range(seed, seed + 1).select(
+        F.col("id").alias("user_id"), F.lit(0).alias("followers_count"),
+    ).join(scanned, "user_id", "left_anti")
     if start.isEmpty():
         start = frontier.next_sources(store.current("high_quality_users", batch), scanned, sources)
     ranked = cut_lineage(start.select(
-        F.col("user_id").alias("src"),
-        (start["followers_count"] if "followers_count" in start.columns else F.lit(0)).alias("rank"),
-    ).withColumn("rank", -F.coalesce("rank", F.lit(0))))
+        F.col("user_id").alias("src"), (-F.coalesce("followers_count", F.lit(0))).alias("rank")))
     rows = cut_lineage(payloads.follow_rows(cap.follow_pages.join(ranked.select("src"), "src", "left_semi"), as_of))
     out = frontier.read_sources(rows.join(ranked, "src"), users, cfg)
     store.insert("users", out["users"], batch, ["user_id"])
@@ -129,14 +127,11 @@ def run(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, seed: int,
     scorer = scorer or classify.RuleScorer()
     store.create_tables()
 
-    def state():
-        return progress.progress(
-            store.current("users"), store.current("target_users"),
-            store.current("raw_statuses"), store.current("value_comments"), cfg,
-        )
-
     for number in range(1, max_rounds + 1):
         if progress.has_at_least(store.current("target_users"), cfg.target_goal).first()[0]:
             break
         run_round(store, cap, cfg, as_of, number, seed, scorer, sources)
-    return state()
+    return progress.progress(
+        store.current("users"), store.current("target_users"),
+        store.current("raw_statuses"), store.current("value_comments"), cfg,
+    )

@@ -24,12 +24,11 @@ def read_landed(spark: SparkSession, path: str, key_columns: str) -> tuple[DataF
 
 
 def split_readable(captures: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
-    readable = F.is_variant_null(vr.parse(F.col("payload")))
-    good = captures.filter(F.coalesce(~readable, F.lit(False)))
-    bad = captures.filter(F.coalesce(readable, F.lit(True))).select(
+    readable = vr.is_readable(F.col("payload"))
+    bad = captures.filter(~readable).select(
         F.lit(source).alias("source"), F.lit("payload is no JSON").alias("reason"), "payload"
     )
-    return good, bad
+    return captures.filter(readable), bad
 
 
 @F.pandas_udf(T.BinaryType())

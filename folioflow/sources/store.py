@@ -25,11 +25,11 @@ class TableStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def create_tables(self) -> None:
-        """Empty tables where there are none yet: batch 0."""
-        for table, schema in TABLES.items():
+    def create_tables(self, *tables: str) -> None:
+        """Empty tables (all unless named) where there are none yet: batch 0."""
+        for table in tables or TABLES:
             if table != "system_meta":
-                self.spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(
+                self.spark.createDataFrame([], TABLES[table]).coalesce(1).write.mode("ignore").parquet(
                     f"{self.path(table)}/batch_id=0"
                 )
 
