@@ -44,13 +44,17 @@ def next_sources(high_quality_users: DataFrame, scanned: DataFrame, k: int = 1)
     return take(open_users, [F.desc_nulls_last("followers_count"), "user_id"], k)
 
 
-def read_sources(rows: DataFrame, existing: DataFrame, cfg: FlowConfig, reevaluate: bool = False) -> dict[str, DataFrame]:
+def read_sources(
+    rows: DataFrame, existing: DataFrame, cfg: FlowConfig, pages: DataFrame | None = None,
+    reevaluate: bool = False,
+) -> dict[str, DataFrame]:
     """What reading the sources' follow pages gives.
 
     ``rows`` are follow rows with ``rank``, the order of the sources. Per source, whole pages are
     read until ``cfg.batch_size`` new high-quality users were found or ``cfg.page_cap`` pages
     were read. Each source is read against the users known before the batch; with one source
-    per round that is the sequential rule. ``reevaluate`` also promotes known users that have
+    per round that is the sequential rule. ``pages(src, page)`` are the readable pages, where some
+    of them may hold no user. ``reevaluate`` also promotes known users that have
     come to pass the threshold.
     """
     arrival = ["rank", "page", "pos"]
@@ -68,9 +72,9 @@ def read_sources(rows: DataFrame, existing: DataFrame, cfg: FlowConfig, reevalua
     if reevaluate:
         promoted = first_per_key(read_part(capped), ["user_id"], arrival).select(*PROFILE)
     # Finished: neither stopped by the quota nor by the page cap.
-    pages = rows.groupBy(F.col("src")).agg(F.max("page").alias("last_page"))
+    ends = (rows if pages is None else pages).groupBy("src").agg(F.max("page").alias("last_page"))
     scanned = (
-        pages.join(cutoff, "src", "left_anti")
+        ends.join(cutoff, "src", "left_anti")
         .filter(F.col("last_page") < cfg.page_cap - 1)
         .select(F.col("src").alias("user_id"))
     )

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from folioflow.config import FlowConfig
-from folioflow.functions import scalars as sc
+from folioflow.functions import scalars as sc, variants as vr
 from folioflow.operators.upsert import seen
 from folioflow.plans import classify, frontier, portfolio, progress, qualify, tasks, timeline
 from folioflow.session import cut_lineage
@@ -41,8 +41,9 @@ class Captures:
 
 
 def mine_posts(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batch: int) -> None:
-    due = cut_lineage(tasks.pending_tasks(
-        store.current("target_users", batch), as_of, cfg.cache_days, cfg.batch_size))
+    # Users without captures stay due and do not hold up the others.
+    captured = seen(store.current("target_users", batch), cap.timelines, ["user_id"])
+    due = cut_lineage(tasks.pending_tasks(captured, as_of, cfg.cache_days, cfg.batch_size))
     posts = cut_lineage(payloads.post_rows(seen(cap.timelines, due, ["user_id"])))
     out = timeline.ingest(posts, store.current("timeline_marks", batch), cap.articles, cfg)
     store.insert("raw_statuses", out["raw_statuses"], batch, ["visited_id", "page", "pos"])
@@ -52,9 +53,11 @@ def mine_posts(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batch:
 
 
 def qualify_users(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batch: int) -> None:
-    due = cut_lineage(tasks.pending_tasks(
-        store.current("high_quality_users", batch), as_of, cfg.cache_days, cfg.batch_size))
-    done, to_check = qualify.split_pending(due, store.ids("target_users", batch))
+    targets = store.ids("target_users", batch)
+    captured = cap.quotes.select("user_id").unionByName(cap.portfolio_lists.select("user_id"))
+    can_go_on = seen(store.current("high_quality_users", batch), captured.unionByName(targets), ["user_id"])
+    due = cut_lineage(tasks.pending_tasks(can_go_on, as_of, cfg.cache_days, cfg.batch_size))
+    done, to_check = qualify.split_pending(due, targets)
 
     quotes = cut_lineage(payloads.quote_rows(seen(cap.quotes, to_check, ["user_id"]), as_of))
     store.insert("user_stocks", quotes, batch, ["seq", "pos"])
@@ -78,8 +81,8 @@ def qualify_users(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batc
         store.insert(table, out[table], batch, order)
     store.write("quarantine", out["quarantine"], batch)
 
-    captured = cap.quotes.select("user_id").unionByName(cap.portfolio_lists.select("user_id"))
-    finished = done.select("user_id").unionByName(seen(to_check, captured, ["user_id"]).select("user_id"))
+    readable = cap.quotes.unionByName(cap.portfolio_lists).filter(vr.is_readable(F.col("payload")))
+    finished = done.select("user_id").unionByName(seen(to_check, readable, ["user_id"]).select("user_id"))
     store.write("task_log", tasks.finished(finished, "high_quality_users", as_of), batch)
 
 
@@ -90,15 +93,19 @@ def expand(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batch: int,
     if progress.has_at_least(users, cfg.user_cap).first()[0]:
         return
     scanned = store.ids("scan_state", batch)
+    pages = cap.follow_pages.filter(vr.is_readable(F.col("payload")))
+    captured = pages.select(F.col("src").alias("user_id"))
     start = store.spark.range(seed, seed + 1).select(
-        F.col("id").alias("user_id"), F.lit(0).alias("followers_count"),
+        F.col("id").alias("user_id"), F.lit(0).cast("bigint").alias("followers_count"),
     ).join(scanned, "user_id", "left_anti")
     if start.isEmpty():
-        start = frontier.next_sources(store.current("high_quality_users", batch), scanned, sources)
+        known = seen(store.current("high_quality_users", batch), captured, ["user_id"])
+        start = frontier.next_sources(known, scanned, sources)
     ranked = cut_lineage(start.select(
         F.col("user_id").alias("src"), (-F.coalesce("followers_count", F.lit(0))).alias("rank")))
-    rows = cut_lineage(payloads.follow_rows(cap.follow_pages.join(ranked.select("src"), "src", "left_semi"), as_of))
-    out = frontier.read_sources(rows.join(ranked, "src"), users, cfg)
+    mine = pages.join(ranked, "src")
+    rows = cut_lineage(payloads.follow_rows(mine, as_of).join(ranked, "src"))
+    out = frontier.read_sources(rows, users, cfg, mine)
     store.insert("users", out["users"], batch, ["user_id"])
     store.insert("high_quality_users", out["high_quality_users"], batch, ["user_id"])
     store.write("scan_state", out["scanned"].withColumn("scanned_on", sc.moment(as_of).cast("date")), batch)

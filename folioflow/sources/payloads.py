@@ -35,8 +35,8 @@ def split_readable(captures: DataFrame, source: str) -> tuple[DataFrame, DataFra
 def _gunzip(bodies: pd.Series) -> pd.Series:
     def one(body):
         try:
-            return gzip.decompress(body)
-        except (OSError, EOFError, TypeError):
+            return None if body is None else gzip.decompress(body)
+        except (OSError, EOFError):
             return None
 
     return bodies.map(one)
@@ -213,15 +213,23 @@ def trade_rows(documents: DataFrame, keep: list[str], payload: str = "rebalances
 # --- timelines --------------------------------------------------------------
 
 def post_rows(pages: DataFrame) -> DataFrame:
-    """``(user_id, page, payload)`` to one row per post; an empty page keeps one null post."""
-    body = F.from_json("payload", schemas.TIMELINE_PAGE)
+    """``(user_id, page, payload)`` to one row per post.
+
+    A readable page without posts keeps one null post: reading ends there, and the visit counts.
+    """
+    body = F.from_json(
+        "payload", f"{schemas.TIMELINE_PAGE}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
+    # Through a lambda, so that the text is parsed once for both questions asked of it.
+    posts = F.flatten(F.transform(F.array(body), lambda b: F.when(
+        b[_CORRUPT].isNull(),
+        F.when(F.size(b["statuses"]) > 0, b["statuses"]).otherwise(F.array(F.get(b["statuses"], F.lit(0)))),
+    )))
     s = F.col("s")
     zero = F.lit(0).cast("bigint")
     return (
-        pages.filter(F.from_json("payload", schemas.TIMELINE_PAGE).isNotNull())
-        .select(F.col("user_id").alias("visited_id"), "page", F.posexplode_outer(body["statuses"]).alias("pos", "s"))
+        pages.select(F.col("user_id").alias("visited_id"), "page", F.posexplode(posts).alias("pos", "s"))
         .select(
-            "visited_id", "page", F.coalesce("pos", F.lit(0)).alias("pos"),
+            "visited_id", "page", "pos",
             s["id"].alias("status_id"),
             s["user_id"].alias("user_id"),
             sc.text_or(s["text"], s["description"]).alias("description"),
