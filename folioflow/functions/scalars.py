@@ -19,14 +19,19 @@ SCANNED_PREFIX = "SCANNED_FOLLOWERS_"
 MARK_PREFIX = "COMMENTS_LAST_CRAWLED_"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-_BLANK = r"[\s\x1c-\x1f]"
-_EDGE_BLANKS = rf"(?U)^{_BLANK}+|{_BLANK}+$"
+# What counts as white space.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 _TIME_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
 
 def strip_blanks(text: Column) -> Column:
     """Trim Unicode white space, not only ASCII blanks."""
-    return F.regexp_replace(text, _EDGE_BLANKS, "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def is_digits(text: Column) -> Column:
@@ -87,9 +92,8 @@ def loose_number(raw: Column) -> Column:
     """Number out of display text: ``12.5%``, ``1,234.5``; anything unreadable is 0."""
     text = strip_blanks(raw.cast("string"))
     bare = F.replace(F.replace(text, F.lit("%"), F.lit("")), F.lit(","), F.lit(""))
-    # The cast would take a Java type suffix for part of the number.
-    number = F.when(~bare.rlike("[0-9.][dDfF]\\s*$"), bare.try_cast("double"))
-    return F.coalesce(number, F.lit(0.0))
+    # The pattern also keeps junk away from the cast, where each failure costs an exception.
+    return F.coalesce(F.when(bare.rlike(_NUMBER), bare.try_cast("double")), F.lit(0.0))
 
 
 def int_or_zero(raw: Column) -> Column:

@@ -41,7 +41,7 @@ def whole(v: Column, path: str) -> Column:
 
 def has_key(v: Column, key: str) -> Column:
     """True for an object that carries the key, even with a null under it."""
-    return F.coalesce(F.map_contains_key(as_object(v), F.lit(key)), F.lit(False))
+    return F.try_variant_get(v, f"$.{key}", "variant").isNotNull()
 
 
 def is_object(v: Column) -> Column:
@@ -59,11 +59,13 @@ def kind(v: Column, path: str) -> Column:
 
 def text_only(v: Column, path: str) -> Column:
     """The value if it is a JSON string, else null."""
-    return F.when(kind(v, path) == "STRING", text(v, path))
+    quoted = F.to_json(F.try_variant_get(v, path, "variant")).startswith('"')
+    return F.when(quoted, text(v, path))
 
 
 def usable_text(v: Column, path: str) -> Column:
     """The value as text, or null where it is empty, zero, false or absent."""
     shown = text(v, path)
-    zero = (kind(v, path) != "STRING") & F.coalesce(number(v, path) == 0, F.lit(False))
-    return F.when((shown != "") & ~zero, shown)
+    # The type is only looked at where the text could stand for a zero.
+    zero = shown.isin("", "0", "0.0", "false") & ((shown == "") | (kind(v, path) != "STRING"))
+    return F.when(~zero, shown)

@@ -1,4 +1,8 @@
-"""Landed JSON payloads to rows. One capture row in, any number of typed rows out, no shuffle."""
+"""Landed JSON payloads to rows. One capture row in, any number of typed rows out, no shuffle.
+
+List elements of an unexpected kind need no test of their own: none of their fields can be
+read, so the filter on the key field drops them.
+"""
 
 from __future__ import annotations
 
@@ -93,8 +97,9 @@ def quote_rows(captures: DataFrame, as_of) -> DataFrame:
     q = F.col("q")
     return (
         captures.withColumn("v", vr.parse(F.col("payload")))
-        .filter(~carries_portfolios(F.col("v")))
-        .select("user_id", "seq", F.posexplode(vr.objects_of(quote_list(F.col("v")))).alias("pos", "it"))
+        .select("user_id", "seq", F.posexplode(
+            F.when(~carries_portfolios(F.col("v")), quote_list(F.col("v")))
+        ).alias("pos", "it"))
         .select(
             "user_id", "seq", "pos",
             F.when(vr.has_key(F.col("it"), "quote"), F.try_variant_get("it", "$.quote", "variant"))
@@ -134,7 +139,7 @@ def portfolio_list(v: Column) -> Column:
         vr.as_list(v, "$.data.items"), vr.as_list(v, "$.items"),
     )
     top = vr.as_list(v)
-    values = vr.objects_of(F.map_values(vr.as_object(v)))
+    values = F.map_values(vr.as_object(v))
     return (
         F.when(_holds_portfolio(top), top)
         .when(_holds_portfolio(named), named)
@@ -147,7 +152,7 @@ def portfolio_items(captures: DataFrame) -> DataFrame:
     it = F.col("it")
     return (
         captures.withColumn("v", vr.parse(F.col("payload")))
-        .select("user_id", "seq", F.posexplode(vr.objects_of(portfolio_list(F.col("v")))).alias("pos", "it"))
+        .select("user_id", "seq", F.posexplode(portfolio_list(F.col("v"))).alias("pos", "it"))
         .select(
             "user_id", "seq", "pos",
             F.coalesce(vr.usable_text(it, "$.symbol"), vr.text(it, "$.cube_symbol")).alias("symbol"),
@@ -185,16 +190,14 @@ def trade_rows(documents: DataFrame, keep: list[str], payload: str = "rebalances
         vr.text(r, "$.updatedAt"),
     )
     return (
-        documents.select(
-            *keep,
-            F.posexplode(vr.objects_of(rebalance_list(vr.parse(F.col(payload))))).alias("reb_pos", "r"),
-        )
+        documents.select(*keep, vr.parse(F.col(payload)).alias("v"))
+        .select(*keep, F.posexplode(rebalance_list(F.col("v"))).alias("reb_pos", "r"))
         .select(
             *keep, "reb_pos",
             cash.alias("cash_value"),
             vr.text(r, "$.status").alias("status"),
             sc.readable_time(time).alias("transaction_time"),
-            F.posexplode(vr.objects_of(_history_list(r))).alias("pos", "h"),
+            F.posexplode(_history_list(r)).alias("pos", "h"),
         )
         .select(
             *keep, "reb_pos", "pos",
