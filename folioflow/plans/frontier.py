@@ -81,12 +81,12 @@ def read_sources(
     return {"users": users, "high_quality_users": high_quality(promoted, cfg), "scanned": scanned}
 
 
-def reach(edges: DataFrame, start: DataFrame, hops: int, checkpoint_every: int = 4) -> DataFrame:
+def reach(edges: DataFrame, start: DataFrame, hops: int, cut_every: int = 1) -> DataFrame:
     """Users within ``hops`` follow steps, with the first step that reaches them.
 
     ``edges(src, dst)``, ``start(user_id)``. Each hop is one join of the newest users with the
-    edges and one anti join; only users that are new go on. Long expansions are cut to the
-    checkpoint folder now and then so that the plan does not grow with the hops.
+    edges and one anti join; only users that are new go on. The ids found so far are put down
+    every ``cut_every`` hops: later hops read them instead of walking all earlier ones again.
     """
     links = edges.select("src", F.col("dst").alias("user_id"))
     known = start.select("user_id").distinct().withColumn("hop", F.lit(0))
@@ -99,7 +99,7 @@ def reach(edges: DataFrame, start: DataFrame, hops: int, checkpoint_every: int =
             .withColumn("hop", F.lit(hop))
         )
         known = known.unionByName(found)
-        if hop % checkpoint_every == 0 and hop < hops:
+        if hop % cut_every == 0 and hop < hops:
             known = cut_lineage(known)
             found = known.filter(F.col("hop") == hop)
         newest = found

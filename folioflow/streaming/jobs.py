@@ -52,9 +52,11 @@ def post_stream(posts: DataFrame, store: TableStore, checkpoint: str, order: lis
     def each_batch(batch: DataFrame, epoch: int) -> None:
         number = epoch + first_batch
         marks = store.current("timeline_marks", number)
+        batch.persist()  # two tables are written from it; a lost block is read again
         store.insert("raw_statuses", timeline.newer_than_mark(batch, marks), number, order)
         newest = timeline.newest_seen(batch)
         store.insert("timeline_marks", timeline.advance_marks(marks, newest), number, ["last_created_at"])
+        batch.unpersist()
 
     return _start(posts, each_batch, checkpoint, drain, poll)
 

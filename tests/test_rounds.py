@@ -142,6 +142,15 @@ def test_reach_equals_breadth_first_search(spark, rows):
     assert dict(rows(got)) == hop
 
 
+def test_accepted_rows_are_counted_while_written(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    seen = Observation("accepted")
+    progress.observed(spark.range(7), seen).write.parquet(str(tmp_path / "out"))
+    assert seen.get["rows"] == 7
+    assert progress.accepted_counts(spark.range(7).selectExpr("id % 2 AS k"), ["k"]).count() == 2
+
+
 class FailsOnDigits:
     def score(self, text):
         if "7" in text:
