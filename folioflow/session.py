@@ -18,6 +18,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key's partition even when that costs one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles a method above 8000 bytes of code. Wide payload projections fused into
+    # one method would stay interpreted; unfused they are compiled piece by piece.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
