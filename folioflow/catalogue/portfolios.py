@@ -174,7 +174,7 @@ def portfolio_list_shapes(t: Tables):
     item = F.to_json(F.struct(
         F.when(~other, named).alias("symbol"), F.when(other, named).alias("cube_symbol"),
         F.col("o_orderpriority").alias("name"), F.col("o_orderkey").cast("string").alias("net_value")))
-    wrap = lambda a, b: F.concat(F.lit(a), item, F.lit(b))
+    wrap = lambda a, b: F.concat(F.lit(a), "item", F.lit(b))
     n = F.col("o_orderkey") % 7
     payload = (
         F.when(n == 0, wrap("[", "]"))
@@ -185,7 +185,8 @@ def portfolio_list_shapes(t: Tables):
         .when(n == 5, wrap('{"ZH0":', ',"total":1}'))
         # The first list found holds no portfolio, so the object's values are looked at.
         .otherwise(wrap('{"list":[1],"a":', "}")))
-    captures = t.orders.select(F.col("o_custkey").alias("user_id"), n.cast("int").alias("seq"), payload.alias("payload"))
+    items = t.orders.select("o_custkey", "o_orderkey", item.alias("item"))
+    captures = items.select(F.col("o_custkey").alias("user_id"), n.cast("int").alias("seq"), payload.alias("payload"))
     return payloads.portfolio_items(captures).select("user_id", "seq", "pos", "symbol", "name", "net_value")
 
 
@@ -216,12 +217,13 @@ def rebalance_explode(t: Tables):
         F.when(later, millis).alias("updated_at"), F.when(~later, millis).alias("created_at"),
         F.when(later, F.array(history)).alias("rebalancing_histories"),
         F.when(~later, F.array(history)).alias("rebalancingHistories")))
-    wrap = lambda a, b: F.concat(F.lit(a), reb, F.lit(b))
+    wrap = lambda a, b: F.concat(F.lit(a), "reb", F.lit(b))
     n = F.col("l_orderkey") % 4
     payload = (
         F.when(n == 0, wrap('{"list":[', ",1]}")).when(n == 1, wrap('{"data":{"list":[', "]}}"))
         .when(n == 2, wrap('{"data":[', "]}")).otherwise(wrap("[", "]")))
-    documents = t.lineitem.select("l_orderkey", "l_linenumber", payload.alias("rebalances"))
+    documents = t.lineitem.select("l_orderkey", "l_linenumber", reb.alias("reb")).select(
+        "l_orderkey", "l_linenumber", payload.alias("rebalances"))
     return payloads.trade_rows(documents, ["l_orderkey", "l_linenumber"])
 
 

@@ -221,7 +221,7 @@ def quote_shapes(t: Tables):
     quote = F.to_json(F.struct(
         symbol.alias("symbol"), code.alias("code"), F.col("l_returnflag").alias("name"),
         F.col("l_extendedprice").alias("current"), F.col("l_discount").alias("percent")))
-    wrap = lambda a, b: F.concat(F.lit(a), quote, F.lit(b))
+    wrap = lambda a, b: F.concat(F.lit(a), "quote", F.lit(b))
     n = F.col("l_linenumber") % 5
     payload = (
         F.when(n == 0, wrap('{"data":{"items":[{"quote":', "}]}}"))
@@ -229,7 +229,8 @@ def quote_shapes(t: Tables):
         .when(n == 2, wrap('{"items":[{"quote":', "}]}"))
         .when(n == 3, wrap('{"items":[', "]}"))
         .otherwise(wrap('{"x":{"net_value":null},"items":[', "]}")))
-    captures = t.lineitem.select(F.col("l_orderkey").alias("user_id"), F.col("l_linenumber").alias("seq"), payload.alias("payload"))
+    quotes = t.lineitem.select("l_orderkey", "l_linenumber", quote.alias("quote"))
+    captures = quotes.select(F.col("l_orderkey").alias("user_id"), F.col("l_linenumber").alias("seq"), payload.alias("payload"))
     return payloads.quote_rows(captures, "2024-01-31 00:00:00")
 
 

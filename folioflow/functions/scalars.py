@@ -25,7 +25,9 @@ BLANKS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
+# Patterns guard the casts: each cast that fails costs an exception, one per row.
 _NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_WHOLE = r"^[+-]?[0-9]+$"
 _TIME_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
 
@@ -92,12 +94,12 @@ def loose_number(raw: Column) -> Column:
     """Number out of display text: ``12.5%``, ``1,234.5``; anything unreadable is 0."""
     text = strip_blanks(raw.cast("string"))
     bare = F.replace(F.replace(text, F.lit("%"), F.lit("")), F.lit(","), F.lit(""))
-    # The pattern also keeps junk away from the cast, where each failure costs an exception.
     return F.coalesce(F.when(bare.rlike(_NUMBER), bare.try_cast("double")), F.lit(0.0))
 
 
 def int_or_zero(raw: Column) -> Column:
-    return F.coalesce(strip_blanks(raw.cast("string")).try_cast("bigint"), F.lit(0).cast("bigint"))
+    text = strip_blanks(raw.cast("string"))
+    return F.coalesce(F.when(text.rlike(_WHOLE), text.try_cast("bigint")), F.lit(0).cast("bigint"))
 
 
 def digits_or_zero(raw: Column) -> Column:
@@ -199,9 +201,8 @@ def mark_key(user_id: Column) -> Column:
 
 def key_user(key: Column, prefix: str) -> Column:
     """User id out of a prefixed key; null for other keys and for suffixes that are no number."""
-    return F.when(
-        key.startswith(prefix), F.substring(key, len(prefix) + 1, 40).try_cast("bigint")
-    )
+    suffix = F.substring(key, len(prefix) + 1, 40)
+    return F.when(key.startswith(prefix) & suffix.rlike(_WHOLE), suffix.try_cast("bigint"))
 
 
 def verdict_fields(reply: Column) -> tuple[Column, Column]:
