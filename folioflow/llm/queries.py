@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioflow.llm import secret_scan, simhash
+from folioflow.llm import hilbert, line_dedup, mixing, secret_scan, simhash, token_blocks
+from folioflow.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +46,72 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
     )
+
+
+@_query
+def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = hilbert.shard(_table(spark, sf_dir, "documents"), ["source", "lang", "n_chars"], shards=8, law="rows")
+    text = F.coalesce("row.text", F.lit(""))
+    return sharded.select(
+        "row.doc_id", "size", F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@_query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_shared_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer file; executors have the same package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query
+def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segments = cut_lineage(token_blocks.encode(_table(spark, sf_dir, "documents"), tokenizer_path()))
+    return token_blocks.read(segments)
+
+
+MIX_SEED = 2024
+
+
+@_query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Square-root weights: the hot source is thinned and the small ones are repeated."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), temperature=0.5, seed=MIX_SEED)
+    return mixed.select(
+        "row.doc_id", "row.source", "copy", F.octet_length(F.coalesce("row.text", F.lit(""))).cast("bigint").alias("size"),
+        F.md5(F.coalesce("row.text", F.lit(""))).alias("text_md5"),
+    )
+
+
+ORACLES["op10_mixing"] = f"""
+WITH sized AS (
+    SELECT source, doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) AS size FROM documents
+), sources AS (
+    SELECT source, sum(size)::DOUBLE AS bytes, pow(sum(size)::DOUBLE, 0.5) AS weight FROM sized GROUP BY source
+), rates AS (
+    SELECT source, CASE WHEN bytes > 0
+        THEN sum(bytes) OVER () * weight / sum(CASE WHEN bytes > 0 THEN weight END) OVER () / bytes
+        ELSE 1.0 END AS rate FROM sources
+), parts AS (
+    SELECT d.*, r.rate / greatest(1, ceil(r.rate / {mixing.PART})) AS mean,
+        unnest(range(1, greatest(1, ceil(r.rate / {mixing.PART}))::BIGINT + 1)) AS part,
+        coalesce(d.doc_id::VARCHAR, '') || ':' || md5(d.text) AS identity
+    FROM sized d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
+), drawn AS (
+    SELECT *, ('0x' || substr(md5('{MIX_SEED}:' || part || ':' || identity), 1, 13))::BIGINT / 4503599627370496.0 AS u
+    FROM parts
+), counted AS (
+    SELECT doc_id, source, size, text, sum(list_sum(list_transform(range(0, {mixing._TERMS}), lambda k: CASE WHEN u >=
+        list_sum(list_transform(range(0, k + 1), lambda j: exp(j * ln(mean) - mean - lgamma(j + 1)))) THEN 1 ELSE 0 END)
+    ))::BIGINT AS n
+    FROM drawn GROUP BY doc_id, source, size, text, identity
+)
+SELECT doc_id, source, unnest(range(1, n + 1))::INT AS copy, size, md5(text) AS text_md5 FROM counted
+"""
