@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioflow.llm import hilbert, line_dedup, mixing, secret_scan, simhash, token_blocks
+from folioflow.llm import decontaminate, hilbert, line_dedup, mixing, secret_scan, simhash, token_blocks
 from folioflow.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,26 @@ WITH sized AS (
 )
 SELECT doc_id, source, unnest(range(1, n + 1))::INT AS copy, size, md5(text) AS text_md5 FROM counted
 """
+
+
+@_query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("content")
+
+
+_TRIMMED = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+ORACLES["op7_line_dedup"] = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), split AS (
+    SELECT r, doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM docs
+), keyed AS (
+    SELECT *, translate(trim(line, {_TRIMMED}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM split
+), shared AS (
+    SELECT key AS gone FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN shared ON key = gone GROUP BY r, doc_id
+"""
