@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioflow.llm import decontaminate, hilbert, line_dedup, mixing, secret_scan, simhash, token_blocks
+from folioflow.llm import decontaminate, hilbert, html_extract, line_dedup, mixing, quality, secret_scan, simhash, token_blocks
 from folioflow.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,22 @@ SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN shared ON key = gone GROUP BY r, doc_id
 """
+
+
+@_query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extract(_table(spark, sf_dir, "pages"), "page_id", "html", "url")
+    return pages.select(F.col("doc_id").alias("page_id"), "url", "text", "n_chars")
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """Learned from the labelled rows of ``docs`` that are not held out."""
+    return quality.fit(quality.labels_of(docs, _table(spark, sf_dir, "labels")))
+
+
+@_query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.score(
+        docs, quality_model(spark, docs, sf_dir), "doc_id", "text", quality.held_out(F.col("doc_id")).alias("held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
