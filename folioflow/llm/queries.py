@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioflow.llm import decontaminate, hilbert, html_extract, line_dedup, mixing, quality, secret_scan, simhash, token_blocks
+from folioflow.llm import decontaminate, hilbert, html_extract, line_dedup, mixing, perplexity, quality, secret_scan, simhash, token_blocks
 from folioflow.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,9 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(
         docs, quality_model(spark, docs, sf_dir), "doc_id", "text", quality.held_out(F.col("doc_id")).alias("held_out"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@_query
+def op9_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = perplexity.judge(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *perplexity.COUNTS, "base_failed", "kept", "lang", "bits")
