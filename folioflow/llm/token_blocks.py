@@ -180,14 +180,14 @@ class ChunkEncoder:
             cut[chunk] = (plain[1].lower(), plain[2]) if plain else (text,)
         if len(self.pieces) > _CACHED_CHUNKS:
             self.pieces = {"": b""}
-        self._encode(list({p for pieces in cut.values() for p in pieces} - self.pieces.keys()))
+        self._encode(list({p for pieces in cut.values() for p in pieces if p not in self.pieces}))
         for chunk, pieces in cut.items():
             self.chunks[chunk] = b"".join([self.pieces[p] for p in pieces])
 
     def encode(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         chunks = text.split()
-        missing = set(chunks) - self.chunks.keys()
+        missing = {c for c in chunks if c not in self.chunks}
         if missing:
             if len(self.chunks) > _CACHED_CHUNKS:
                 self.chunks = {}
