@@ -55,7 +55,7 @@ NULL_POSITIONS = """
     SELECT l_orderkey % 50 AS comb, l_returnflag AS seg,
         CASE WHEN l_linenumber % 3 <> 0 THEN l_linestatus END AS stock,
         l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
-    FROM lineitem WHERE l_partkey < 40"""
+    FROM lineitem"""
 POSITION_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 

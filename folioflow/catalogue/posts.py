@@ -141,9 +141,18 @@ def long_article_join(t: Tables):
         event_id % 7 AS forward, CAST(0 AS BIGINT) AS comment_count, CAST(0 AS BIGINT) AS like_count,
         CASE WHEN event_id % 5 <> 0 THEN date_trunc('second', ts) END AS created_at,
         'https://posts.example/' || CAST(user_id AS VARCHAR) || '/' || CAST(event_id AS VARCHAR) AS link
+    FROM events
+    UNION ALL
+    SELECT user_id, event_id % 3, 1, event_id + 1000000000, user_id, 'odd', CAST(event_id AS VARCHAR) || ' days ago', '0',
+        CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN event_type END, 12, event_id % 7, 0, NULL,
+        'https://posts.example/' || CAST(user_id AS VARCHAR) || '/' || CAST(event_id + 1000000000 AS VARCHAR)
     FROM events""")
 def timeline_posts(t: Tables):
-    """Timeline payloads to posts: text before description, times in three notations."""
+    """Timeline payloads to posts: text before description, times in three notations.
+
+    Beside a tidy post each page holds one with numbers as text and decimals and a bare text for its
+    tags, and elements that are no posts.
+    """
     seconds = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     millis = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
     created = F.when(F.col("event_id") % 5 == 0, "yesterday").when(F.col("event_id") % 5 == 1, seconds).otherwise(millis)
@@ -154,9 +163,15 @@ def timeline_posts(t: Tables):
         (F.col("event_id") % 4).alias("type"),
         F.when(F.col("event_id") % 6 != 0, F.array(F.lit("SH1"), F.col("event_type"))).alias("stockCorrelation"),
         (F.col("event_id") % 7).alias("retweet_count"))
+    tags = F.when(F.col("event_id") % 3 == 0, F.lit(',"stockCorrelation":""')).when(
+        F.col("event_id") % 3 == 1, F.concat(F.lit(',"stockCorrelation":"'), "event_type", F.lit('"'))).otherwise("")
+    odd = F.concat(
+        F.lit('{"id":"'), (F.col("event_id") + 1000000000).cast("string"), F.lit('","user_id":'), F.col("user_id").cast("string"),
+        F.lit('.0,"text":"odd","created_at":"'), F.col("event_id").cast("string"), F.lit(' days ago","retweet_count":"12","reply_count":'),
+        (F.col("event_id") % 7).cast("string"), F.lit('.0,"like_count":{}'), tags, F.lit("}"))
     pages = t.events.select(
         "user_id", (F.col("event_id") % 3).alias("page"),
-        F.to_json(F.struct(F.array(post).alias("statuses"))).alias("payload"))
+        F.concat(F.lit('{"statuses":['), F.to_json(post), F.lit(',null,7,"x",'), odd, F.lit("]}")).alias("payload"))
     rows = payloads.post_rows(pages)
     return rows.withColumn("tags", sc.tags_text(F.col("stock_tags"))).withColumn(
         "link", sc.article_link("https://posts.example", F.col("user_id"), F.col("status_id"))).drop("stock_tags")
@@ -198,11 +213,18 @@ def payload_json(t: Tables):
 
 
 @query("""
-    SELECT 'events' AS source, 'payload is no JSON' AS reason, substr(props, 1, 4) AS payload FROM events""")
+    SELECT event_id, 'read' AS outcome, props AS payload FROM events WHERE event_id % 3 = 0
+    UNION ALL
+    SELECT NULL, 'payload is no JSON', substr(props, 1, 4) FROM events WHERE event_id % 3 = 1
+    UNION ALL
+    SELECT NULL, 'payload is no JSON', NULL FROM events WHERE event_id % 3 = 2""")
 def quarantine(t: Tables):
-    """Payloads that cannot be read are kept aside with a reason."""
-    broken = t.events.select(F.substring("props", 1, 4).alias("payload"))
-    return payloads.split_readable(broken, "events")[1]
+    """Payloads that cannot be read are kept aside with a reason; the others go on."""
+    n = F.col("event_id") % 3
+    mixed = t.events.select("event_id", F.when(n == 0, F.col("props")).when(n == 1, F.substring("props", 1, 4)).alias("payload"))
+    good, bad = payloads.split_readable(mixed, "events")
+    return good.select("event_id", F.lit("read").alias("outcome"), "payload").unionByName(
+        bad.select(F.lit(None).cast("bigint").alias("event_id"), F.col("reason").alias("outcome"), "payload"))
 
 
 @query(f"""

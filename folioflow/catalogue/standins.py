@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioflow.config import FlowConfig
 from folioflow.functions import scalars as sc
-from folioflow.operators.ordered import dense_block, measured_block, number_rows
+from folioflow.operators.ordered import number_rows
 
 NTZ = "timestamp_ntz"
 CFG = FlowConfig()
@@ -55,12 +55,12 @@ class Tables:
             .when(F.col("l_partkey") % 6 == 4, F.concat(F.lit("SZ"), F.lpad(key, 6, "0")))
             .otherwise(F.lit("GOOGL"))
         )
-        lines = self.lineitem.filter("l_returnflag = 'R'").select(
+        lines = self.lineitem.select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_shipdate")
-        urgent = self.orders.filter("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey")
+        buyers = self.orders.select("o_orderkey", "o_custkey")
         parts = self.part.select("p_partkey", "p_name")
         return (
-            lines.join(urgent, F.col("l_orderkey") == F.col("o_orderkey"))
+            lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.col("o_custkey").alias("user_id"), F.col("p_name").alias("stock_name"),
@@ -115,7 +115,7 @@ class Tables:
         )
 
     def null_positions(self) -> DataFrame:
-        return self.lineitem.filter("l_partkey < 40").select(
+        return self.lineitem.select(
             (F.col("l_orderkey") % 50).alias("comb"), F.col("l_returnflag").alias("seg"),
             F.when(F.col("l_linenumber") % 3 != 0, F.col("l_linestatus")).alias("stock"),
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
@@ -137,18 +137,16 @@ class Tables:
     def paged_posts(self, size: int = 10) -> DataFrame:
         """Posts of each user newest first, ``size`` to a page."""
         posts = self.posts()
-        newest = -F.unix_micros(F.col("ts").cast("timestamp"))
-        block = measured_block(posts, ["user_id"], newest, CFG.rows_per_block)
-        ranked = number_rows(posts, ["user_id"], [F.desc("ts"), F.desc("event_id")], "rn", block)
+        ranked = number_rows(posts, ["user_id"], [F.desc("ts"), F.desc("event_id")], "rn")
         return ranked.withColumn("page", F.floor((F.col("rn") - 1) / size))
 
     def follow_pages(self) -> DataFrame:
-        """Ten sources, twenty follows to a page. Order keys are dense, so are the blocks."""
+        """A tenth as many sources as customers, twenty follows to a page."""
         rows = self.orders.select(
-            (F.col("o_custkey") % 10).alias("src"), F.col("o_custkey").alias("dst"),
+            F.floor(F.col("o_custkey") / 10).alias("src"), F.col("o_custkey").alias("dst"),
             "o_orderkey", (F.col("o_totalprice") > 250000).alias("high"),
         )
-        ranked = number_rows(rows, ["src"], ["o_orderkey"], "rn", dense_block(F.col("o_orderkey")))
+        ranked = number_rows(rows, ["src"], ["o_orderkey"], "rn")
         return ranked.withColumn("page", F.floor((F.col("rn") - 1) / 20)).drop("rn")
 
     def follow_edges(self) -> DataFrame:

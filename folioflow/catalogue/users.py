@@ -29,8 +29,7 @@ QUOTES = """
             ELSE 'GOOGL' END AS stock_symbol,
         l_extendedprice AS current_price, l_discount AS percent, l_shipdate AS updated_at,
         l_orderkey, l_linenumber
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-    WHERE l_returnflag = 'R' AND o_orderpriority = '1-URGENT'"""
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
 MARKET = """CASE WHEN stock_symbol LIKE 'SH%' OR stock_symbol LIKE 'SZ%' THEN 'CN'
         WHEN regexp_full_match(stock_symbol, '[0-9]{5}') THEN 'HK'
         WHEN stock_symbol NOT LIKE '%.%' AND length(stock_symbol) < 5 THEN 'US'
@@ -128,15 +127,15 @@ def user_stocks_replace(t: Tables):
 
 
 @query("""
-    SELECT o_custkey % 10 AS src, page, dst, o_orderkey FROM (
+    SELECT src, page, dst, o_orderkey FROM (
         SELECT *, coalesce(sum(n_high) OVER (PARTITION BY src ORDER BY page
             RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-        FROM (SELECT *, CAST(floor((row_number() OVER (PARTITION BY o_custkey % 10 ORDER BY o_orderkey) - 1) / 20)
-                AS BIGINT) AS page, o_custkey % 10 AS src, o_custkey AS dst,
-                CAST(o_totalprice > 250000 AS INT) AS n_high FROM orders) r) p
+        FROM (SELECT *, CAST(floor((row_number() OVER (PARTITION BY src ORDER BY o_orderkey) - 1) / 20) AS BIGINT) AS page
+            FROM (SELECT o_orderkey, CAST(floor(o_custkey / 10) AS BIGINT) AS src, o_custkey AS dst,
+                CAST(o_totalprice > 250000 AS INT) AS n_high FROM orders) o) r) p
     WHERE before < 15 AND page < 21""")
 def source_page_quota(t: Tables):
-    """Pages of ten sources: at most 21 each, and no more once 15 good follows were found."""
+    """Pages of all sources: at most 21 each, and no more once 15 good follows were found."""
     capped = t.follow_pages().filter(F.col("page") < CFG.page_cap)
     return take_pages(capped, ["src"], "page", F.col("high"), 15).drop("high")
 
@@ -163,9 +162,13 @@ def snowball_hops(t: Tables):
         TIMESTAMP '2024-01-31 00:00:00' AS last_updated FROM customer
     UNION ALL
     SELECT c_custkey % 5, 0, 2, c_custkey + 1000000000, c_name, 0, 0, 0, '',
+        TIMESTAMP '2024-01-31 00:00:00' FROM customer
+    UNION ALL
+    SELECT c_custkey % 5, 0, 3, c_custkey + 2000000000, c_name, c_nationkey, 0, CAST(floor(c_acctbal) AS BIGINT), '7',
         TIMESTAMP '2024-01-31 00:00:00' FROM customer""")
 def profile_pages(t: Tables):
-    """Follow-list payloads: a full profile, one without an id, one with nothing but an id."""
+    """Follow-list payloads: a full profile, one without an id, one with nothing but an id, one with
+    its numbers as text, decimals or lists; and elements that are no profiles."""
     full = F.struct(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("screen_name"),
         ((F.col("c_custkey") * 37) % 100).alias("status_count"),
@@ -174,15 +177,21 @@ def profile_pages(t: Tables):
         F.col("c_mktsegment").alias("description"))
     nobody = full.withField("id", F.lit(None).cast("bigint"))
     bare = F.to_json(F.struct((F.col("c_custkey") + 1000000000).alias("id"), F.col("c_name").alias("screen_name")))
-    payload = F.concat(F.lit('{"users":['), F.to_json(full), F.lit(","), F.to_json(nobody), F.lit(","), bare, F.lit("]}"))
+    odd = F.concat(
+        F.lit('{"id":"'), (F.col("c_custkey") + 2000000000).cast("string"), F.lit('","screen_name":"'), "c_name",
+        F.lit('","status_count":'), F.col("c_nationkey").cast("string"), F.lit('.5,"friends_count":["x"],"followers_count":"'),
+        F.floor("c_acctbal").cast("string"), F.lit('","description":7}'))
+    payload = F.concat(
+        F.lit('{"users":['), F.to_json(full), F.lit(",null,"), F.to_json(nobody), F.lit(',7,"x",'), bare, F.lit(",[1],"), odd, F.lit("]}"))
     pages = t.customer.select((F.col("c_custkey") % 5).alias("src"), F.lit(0).cast("bigint").alias("page"), payload.alias("payload"))
     return payloads.follow_rows(pages, "2024-01-31 00:00:00")
 
 
 @query(f"""
     WITH r AS (
-        SELECT o_custkey % 10 AS src, CAST(floor(o_orderkey / 20) AS BIGINT) AS page, CAST(o_orderkey % 20 AS INT) AS pos,
-            u.* FROM orders JOIN ({PROFILES}) u ON u.user_id = o_custkey WHERE floor(o_orderkey / 20) < 21),
+        SELECT CAST(floor(o_orderkey / 500) AS BIGINT) AS src, CAST(floor(o_orderkey % 500 / 20) AS BIGINT) AS page,
+            CAST(o_orderkey % 20 AS INT) AS pos,
+            u.* FROM orders JOIN ({PROFILES}) u ON u.user_id = o_custkey WHERE floor(o_orderkey % 500 / 20) < 21),
     f AS (SELECT * FROM r WHERE user_id % 3 <> 0
         QUALIFY row_number() OVER (PARTITION BY src, user_id ORDER BY page, pos) = 1),
     b AS (SELECT *, coalesce(sum(CAST(followers_count > 5000 AND comments_count > 20 AS INT)) OVER (
@@ -192,11 +201,11 @@ def profile_pages(t: Tables):
     SELECT user_id, user_name, followers_count, comments_count,
         followers_count > 5000 AND comments_count > 20 AS high_quality FROM n""")
 def expansion_read(t: Tables):
-    """New users and promotions from reading ten sources; every third user is known already."""
+    """New users and promotions from reading many sources; every third user is known already."""
     from dataclasses import replace
 
     rows = t.orders.select(
-        (F.col("o_custkey") % 10).alias("src"), F.floor(F.col("o_orderkey") / 20).alias("page"),
+        F.floor(F.col("o_orderkey") / 500).alias("src"), F.floor(F.col("o_orderkey") % 500 / 20).alias("page"),
         (F.col("o_orderkey") % 20).cast("int").alias("pos"), F.col("o_custkey").alias("user_id"),
     ).withColumn("rank", F.col("src")).join(t.profiles(), "user_id")
     known = t.customer.select(F.col("c_custkey").alias("user_id")).filter("user_id % 3 = 0")

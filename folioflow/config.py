@@ -7,21 +7,18 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class FlowConfig:
-    # The thresholds and quotas the results depend on.
-    post_quota: int = 20            # posts per user and visit, page-granular
-    user_cap: int = 30              # expansion stops at this many known users
-    target_goal: int = 5            # the run stops at this many targets
-    batch_size: int = 1             # users per step, and new high-quality users per source
+    # The thresholds and quotas the results depend on. None means no bound.
+    post_quota: int | None = 20     # posts per user and visit, page-granular
+    user_cap: int | None = 30       # expansion stops at this many known users
+    target_goal: int | None = 5     # the run stops at this many targets
+    batch_size: int | None = 1      # users per step, and new high-quality users per source
     backlog_factor: int = 5         # expansion waits at batch_size * backlog_factor pending
     cache_days: int = 21            # a finished user is due again after this
     portfolio_cache_hours: int = 3  # a portfolio's detail is fresh for this long
     min_followers: int = 5000       # strictly more than this
     min_statuses: int = 20          # strictly more than this
-    page_cap: int = 21              # follow pages read per source
+    page_cap: int | None = 21       # follow pages read per source
     min_text_length: int = 10       # shorter cleaned posts are not scored
 
-    # Scale: no (key, block) group of an ordered scan should exceed this many rows.
-    rows_per_block: int = 2_000_000
-
     # Portfolio updates: 'overwrite' lets an absent value replace a stored one, 'keep' does not.
     on_null: str = "overwrite"

@@ -64,7 +64,9 @@ def number_or(*cols: Column) -> Column:
 def readable_time(raw: Column) -> Column:
     """Epoch milliseconds become ``yyyy-MM-dd HH:mm:ss`` in the session zone; other text stays."""
     raw = raw.cast("string")
-    millis = F.when(raw.rlike("^[0-9]{1,15}$"), raw.try_cast("bigint"))
+    millis = F.when(raw.rlike("^[0-9]+$"), raw.try_cast("bigint"))
+    # Beyond that a timestamp, counted in microseconds, has no room.
+    millis = F.when(millis <= (1 << 63) // 1000 - 1, millis)
     return F.coalesce(F.date_format(F.timestamp_millis(millis), TIME_FORMAT), raw)
 
 
@@ -102,6 +104,13 @@ def int_or_zero(raw: Column) -> Column:
     return F.coalesce(F.when(text.rlike(_WHOLE), text.try_cast("bigint")), F.lit(0).cast("bigint"))
 
 
+def whole_number(raw: Column) -> Column:
+    """A whole number written as one, as a decimal (cut off) or as text; null for anything else."""
+    text = strip_blanks(raw.cast("string"))
+    decimal = F.when(text.rlike(_NUMBER), text.try_cast("double")).try_cast("bigint")
+    return F.when(text.rlike(_WHOLE), text.try_cast("bigint")).otherwise(decimal)
+
+
 def digits_or_zero(raw: Column) -> Column:
     raw = raw.cast("string")
     return F.coalesce(F.when(is_digits(raw), raw.try_cast("bigint")), F.lit(0).cast("bigint"))
@@ -122,10 +131,6 @@ def last_segment(path: Column) -> Column:
     return F.element_at(F.split(F.regexp_replace(path, "^/+|/+$", ""), "/"), -1)
 
 
-def after_user_marker(url: Column) -> Column:
-    return F.element_at(F.split(url, "u/"), -1)
-
-
 def article_text(title: Column, body: Column) -> Column:
     """Heading line plus body; null when the capture holds neither."""
     heading = F.when(title.isNotNull(), F.concat(F.lit(ARTICLE_TITLE_PREFIX), title, F.lit("\n")))
@@ -201,7 +206,7 @@ def mark_key(user_id: Column) -> Column:
 
 def key_user(key: Column, prefix: str) -> Column:
     """User id out of a prefixed key; null for other keys and for suffixes that are no number."""
-    suffix = F.substring(key, len(prefix) + 1, 40)
+    suffix = F.substr(key, F.lit(len(prefix) + 1))
     return F.when(key.startswith(prefix) & suffix.rlike(_WHOLE), suffix.try_cast("bigint"))
 
 

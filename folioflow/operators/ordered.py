@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from folioflow.operators.dedup import best_per_key
+from folioflow.session import cut_lineage
 
 DENSE_BLOCK = 65_536
 
@@ -19,53 +20,27 @@ def dense_block(position: Column, width: int = DENSE_BLOCK) -> Column:
     return F.floor(position / F.lit(width))
 
 
-def measured_block(
-    df: DataFrame, keys: list[str], position: Column, rows_per_block: int,
-) -> Column | None:
-    """Block of a position with unknown spread, or None if no key can exceed the limit.
+def number_rows(df: DataFrame, keys: list[str], order: list, name: str = "row_number") -> DataFrame:
+    """1, 2, 3 .. per key in ``order``, which must be total within a key.
 
-    The width starts from the mean density and shrinks until the heaviest (key, block) fits,
-    so bursts are measured, not assumed away. Each probe returns one row.
+    The rows are cut into ranges of keys and order, so that a long key spans many tasks, and put
+    down once in that order. What a task hands to the next is one row per key and task.
     """
-    total = df.count()
-    if total <= rows_per_block:
-        return None
-    position = position.cast("bigint")
-    low, high = df.agg(F.min(position), F.max(position)).first()
-    if low is None:
-        return None
-    width = max(1, (high - low) // (8 * -(-total // rows_per_block)))
-    while True:
-        block = F.floor((position - F.lit(low)) / F.lit(width))
-        heaviest = (
-            df.groupBy(*keys, block.alias("__block")).count().agg(F.max("count")).first()[0]
-        )
-        if heaviest <= rows_per_block or width == 1:
-            return block
-        width = max(1, width // 16)
-
-
-def number_rows(
-    df: DataFrame, keys: list[str], order: list, name: str = "row_number",
-    block: Column | None = None,
-) -> DataFrame:
-    """1, 2, 3 .. per key in ``order``. ``block`` must not decrease along the order."""
-    if block is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    blocked = df.withColumn("__block", block)
-    by_block = [*keys, "__block"]
-    before = Window.partitionBy(*keys).orderBy("__block").rowsBetween(
-        Window.unboundedPreceding, -1
+    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    laid = cut_lineage(ranged.select(
+        F.struct(*df.columns).alias("__row"), *keys, F.spark_partition_id().alias("__part"),
+        F.monotonically_increasing_id().alias("__pos")))
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        laid.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__rows"), F.min("__pos").alias("__first"))
+        .select(*(F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)), F.col("__part").alias("__of"), "__first",
+                F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
     )
-    offsets = (
-        blocked.groupBy(*by_block).agg(F.count(F.lit(1)).alias("__rows"))
-        .select(*by_block, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
-    )
-    inside = F.row_number().over(Window.partitionBy(*by_block).orderBy(*order))
-    numbered = blocked.withColumn("__inside", inside).join(offsets, by_block)
-    return numbered.withColumn(
-        name, (F.col("__offset") + F.col("__inside")).cast("int")
-    ).select(*df.columns, name)
+    same = (F.col("__part") == F.col("__of"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__key_{i}"))
+    number = F.col("__offset") + F.col("__pos") - F.col("__first") + 1
+    return laid.join(parts, same).select("__row.*", number.cast("int").alias(name))
 
 
 def fill_forward(
@@ -100,7 +75,7 @@ def quota_cutoff(
 
     A page is taken while fewer than ``quota`` rows were accepted on the pages before it, which
     is the same as: up to and including this page. Only ``quota`` rows per key and task are
-    shuffled, however long the key is.
+    shuffled, however long the key is: ``session.RUNTIME_CONF`` lets that limit apply to any quota.
     """
     if quota < 1:
         raise ValueError("quota must be positive")
@@ -110,9 +85,14 @@ def quota_cutoff(
 
 
 def take_pages(
-    df: DataFrame, keys: list[str], page: str, accepted: Column, quota: int,
+    df: DataFrame, keys: list[str], page: str, accepted: Column, quota: int | None,
 ) -> DataFrame:
-    """All rows of the pages read until the quota is met; the page that crosses it is whole."""
+    """All rows of the pages read until the quota is met; the page that crosses it is whole.
+
+    Without a quota all pages are read.
+    """
+    if quota is None:
+        return df
     cutoff = quota_cutoff(df, keys, page, accepted, quota, "__cutoff")
     joined = df.join(cutoff, keys, "left")
     return joined.filter(

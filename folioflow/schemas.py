@@ -75,17 +75,12 @@ REQUIRED: dict[str, list[str]] = {
     "portfolio_comments": ["status_id", "comb_id", "content", "publish_time"],
 }
 
-FOLLOW_PAGE = """users array<struct<id: bigint, screen_name: string, status_count: bigint,
-    friends_count: bigint, followers_count: bigint, description: string>>"""
-TIMELINE_PAGE = """statuses array<struct<id: bigint, user_id: bigint, text: string, description: string,
-    created_at: string, type: string, stockCorrelation: array<string>, retweet_count: bigint,
-    reply_count: bigint, like_count: bigint>>"""
+# The field names of the payloads. Everything is read as text, so that a field of an
+# unexpected kind costs that field and not its row or page.
+FOLLOWEE = """id string, screen_name string, status_count string, friends_count string,
+    followers_count string, description string"""
+POST = """id string, user_id string, text string, description string, created_at string, type string,
+    stockCorrelation string, retweet_count string, reply_count string, like_count string"""
 COMMENT = "struct<author: string, text: string, likes: string, comments_count: string>"
 SEGMENT = """struct<category_name: string, proportion: string,
     stocks: array<struct<name: string, price: string, weight: string>>>"""
-PORTFOLIO_DOCUMENT = f"""symbol string, portfolio_name string, portfolio_follows string,
-    total_return_percentage string, daily_return_percentage string,
-    monthly_return_percentage string, net_worth string, total_revenue_ranking_exceeds string,
-    create_user_id string, create_user_name string, portfolio_description string,
-    is_closed boolean, create_time string, close_time string,
-    detailed_position array<{SEGMENT}>, comments array<{COMMENT}>, rebalances string"""

@@ -22,6 +22,10 @@ RUNTIME_CONF = {
     # one method would stay interpreted; unfused they are compiled piece by piece.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A limit per key is taken before the shuffle whatever its size.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000000",
+    # Of a key that an object repeats, the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -1,7 +1,7 @@
 """Landed JSON payloads to rows. One capture row in, any number of typed rows out, no shuffle.
 
-List elements of an unexpected kind need no test of their own: none of their fields can be
-read, so the filter on the key field drops them.
+Every list element and every field is read on its own: an element that is no object is passed over,
+a number may be written as text, and only text that is no JSON at all is unreadable.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def read_landed(spark: SparkSession, path: str, key_columns: str) -> tuple[DataF
 
 
 def split_readable(captures: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
-    readable = vr.is_readable(F.col("payload"))
+    readable = F.coalesce(vr.is_readable(F.col("payload")), F.lit(False))
     bad = captures.filter(~readable).select(
         F.lit(source).alias("source"), F.lit("payload is no JSON").alias("reason"), "payload"
     )
@@ -56,23 +56,30 @@ def body_text(body: Column, content_encoding: Column) -> Column:
 
 # --- follow lists -----------------------------------------------------------
 
+def objects_under(payload: Column, key: str, fields: str) -> Column:
+    """The objects of the list under ``key``, in order; null if there is no such list."""
+    texts = F.from_json(F.from_json(payload, f"{key} string")[key], "array<string>")
+    return F.transform(F.filter(texts, lambda x: x.startswith("{")), lambda x: F.from_json(x, fields))
+
+
 def follow_rows(pages: DataFrame, as_of) -> DataFrame:
-    """``(src, page, payload)`` to one profile row per followee."""
-    page = F.from_json("payload", schemas.FOLLOW_PAGE)
+    """``(src, page, payload)`` to one profile row per followee with an id."""
     zero = F.lit(0).cast("bigint")
+    number = lambda name: F.coalesce(sc.whole_number(F.col(f"u.{name}")), zero)
     return (
-        pages.select("src", "page", F.posexplode(page["users"]).alias("pos", "u"))
-        .filter(F.col("u.id").isNotNull())
+        pages.select("src", "page", F.posexplode(
+            objects_under(F.col("payload"), "users", schemas.FOLLOWEE)).alias("pos", "u"))
         .select(
             "src", "page", "pos",
-            F.col("u.id").alias("user_id"),
+            sc.whole_number(F.col("u.id")).alias("user_id"),
             F.col("u.screen_name").alias("user_name"),
-            F.coalesce("u.status_count", zero).alias("comments_count"),
-            F.coalesce("u.friends_count", zero).alias("friends_count"),
-            F.coalesce("u.followers_count", zero).alias("followers_count"),
+            number("status_count").alias("comments_count"),
+            number("friends_count").alias("friends_count"),
+            number("followers_count").alias("followers_count"),
             F.coalesce("u.description", F.lit("")).alias("description"),
             sc.moment(as_of).alias("last_updated"),
         )
+        .filter(F.col("user_id").isNotNull())
     )
 
 
@@ -215,33 +222,40 @@ def trade_rows(documents: DataFrame, keep: list[str], payload: str = "rebalances
 
 # --- timelines --------------------------------------------------------------
 
+def _tags(raw: Column) -> Column:
+    """A list of tags as it is, a bare text as its only tag, an empty text as no tag."""
+    return (
+        F.when(raw.startswith("["), F.coalesce(F.from_json(raw, "array<string>"), F.array(raw)))
+        .when(raw == "", F.array().cast("array<string>"))
+        .when(raw.isNotNull(), F.array(raw))
+    )
+
+
 def post_rows(pages: DataFrame) -> DataFrame:
     """``(user_id, page, payload)`` to one row per post.
 
     A readable page without posts keeps one null post: reading ends there, and the visit counts.
     """
-    body = F.from_json(
-        "payload", f"{schemas.TIMELINE_PAGE}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
-    # Through a lambda, so that the text is parsed once for both questions asked of it.
-    posts = F.flatten(F.transform(F.array(body), lambda b: F.when(
-        b[_CORRUPT].isNull(),
-        F.when(F.size(b["statuses"]) > 0, b["statuses"]).otherwise(F.array(F.get(b["statuses"], F.lit(0)))),
-    )))
+    found = objects_under(F.col("payload"), "statuses", schemas.POST)
+    none = F.array(F.from_json(F.lit(None).cast("string"), schemas.POST))
+    # Through a lambda, so that the posts are read once for both questions asked of them.
+    posts = F.flatten(F.transform(F.array(found), lambda p: F.when(F.size(p) > 0, p).when(
+        F.from_json("payload", "map<string,string>").isNotNull(), none)))
     s = F.col("s")
-    zero = F.lit(0).cast("bigint")
+    number = lambda name: F.coalesce(sc.whole_number(s[name]), F.lit(0).cast("bigint"))
     return (
         pages.select(F.col("user_id").alias("visited_id"), "page", F.posexplode(posts).alias("pos", "s"))
         .select(
             "visited_id", "page", "pos",
-            s["id"].alias("status_id"),
-            s["user_id"].alias("user_id"),
+            sc.whole_number(s["id"]).alias("status_id"),
+            sc.whole_number(s["user_id"]).alias("user_id"),
             sc.text_or(s["text"], s["description"]).alias("description"),
             sc.readable_time(s["created_at"]).alias("created_text"),
             F.coalesce(s["type"], F.lit("0")).alias("post_type"),
-            s["stockCorrelation"].alias("stock_tags"),
-            F.coalesce(s["retweet_count"], zero).alias("forward"),
-            F.coalesce(s["reply_count"], zero).alias("comment_count"),
-            F.coalesce(s["like_count"], zero).alias("like_count"),
+            _tags(s["stockCorrelation"]).alias("stock_tags"),
+            number("retweet_count").alias("forward"),
+            number("reply_count").alias("comment_count"),
+            number("like_count").alias("like_count"),
         )
         .withColumn("created_at", sc.parsed_time(F.col("created_text")))
     )

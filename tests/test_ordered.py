@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from folioflow.operators.ordered import (
-    dense_block, fill_forward, measured_block, number_rows, quota_cutoff, take_pages,
+    fill_forward, number_rows, quota_cutoff, take_pages,
 )
 from folioflow.plans import timeline
 from folioflow.config import FlowConfig
@@ -21,31 +21,31 @@ def skewed(spark):
     return spark.createDataFrame(data, "k long, id long, t long, ok boolean").cache()
 
 
-@pytest.mark.parametrize("cap", [50, 400])
-def test_row_numbers(spark, skewed, cap):
-    block = measured_block(skewed, ["k"], F.col("t"), cap)
-    assert block is not None
-    got = number_rows(skewed, ["k"], ["t", "id"], "rn", block)
-    plain = number_rows(skewed, ["k"], ["t", "id"], "rn")
+@pytest.mark.parametrize("down", [False, True])
+def test_row_numbers(skewed, down):
+    order = [F.desc("t"), F.desc("id")] if down else ["t", "id"]
+    got = number_rows(skewed, ["k"], order, "rn")
+    plain = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
     assert got.count() == 3000
     assert got.exceptAll(plain).count() == 0
 
 
-def test_row_numbers_descending(skewed):
-    block = measured_block(skewed, ["k"], -F.col("t"), 60)
-    got = number_rows(skewed, ["k"], [F.desc("t"), F.desc("id")], "rn", block)
-    assert got.exceptAll(number_rows(skewed, ["k"], [F.desc("t"), F.desc("id")], "rn")).count() == 0
+def test_one_key_at_one_time_spans_tasks(spark):
+    """All rows of one key and one time: they are still dealt to several tasks."""
+    df = spark.range(20_000).select(F.lit(1).alias("k"), F.lit(5).alias("t"), "id")
+    got = number_rows(df, ["k"], ["t", "id"], "rn")
+    assert got.filter(F.col("rn") != F.col("id") + 1).count() == 0
+    ranged = df.repartitionByRange(8, "k", "t", "id").groupBy(F.spark_partition_id()).count()
+    assert ranged.agg(F.max("count")).first()[0] < 6_000
 
 
-def test_small_tables_need_no_blocks(skewed):
-    assert measured_block(skewed, ["k"], F.col("t"), 3000) is None
+def test_null_keys_are_numbered(spark, rows):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "k int, id int")
+    assert rows(number_rows(df, ["k"], ["id"], "rn"), "id", "rn") == [(1, 1), (2, 2), (3, 1)]
 
 
-def test_blocks_bound_the_groups(skewed):
-    block = measured_block(skewed, ["k"], F.col("id"), 100)
-    assert skewed.groupBy("k", block).count().agg(F.max("count")).first()[0] <= 100
-    dense = skewed.groupBy("k", dense_block(F.col("id"), 64)).count().agg(F.max("count")).first()[0]
-    assert dense <= 64
+def test_no_quota_reads_all(skewed):
+    assert take_pages(skewed, ["k"], "id", F.col("ok"), None).count() == 3000
 
 
 @pytest.mark.parametrize("width", [1, 7, 65536])

@@ -33,7 +33,6 @@ def apply(spark, fn, values, kind="string"):
     }),
     (sc.clean_text, {"<p>　hi<br\n/>there\nyou</p> ": "hithere you", None: None, "\x1ca\x1f": "a"}),
     (sc.last_segment, {"/1234567890/": "1234567890", "/u/42": "42"}),
-    (sc.after_user_marker, {"https://example.com/u/42": "42"}),
     (sc.digits_or_zero, {"42": 42, None: 0, "abc": 0, "-1": 0}),
     (sc.closed_or_zero, {None: "0", "0": "0", "": "0", "2024-01-05": "2024-01-05"}),
     (sc.first_digits, {"被 123 人关注 4": "123", "none": None}),
