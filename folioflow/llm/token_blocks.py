@@ -41,6 +41,29 @@ SEGMENT_IDS = 1 << 18
 _WIDTHS = np.array([1 << b for b in range(32)], np.int64)
 
 
+def _pack(delta: np.ndarray, width: int) -> np.ndarray:
+    """Blocks' low ``width`` bits, value after value from the lowest bit up, as bytes."""
+    values = np.ascontiguousarray(delta.T).astype(np.uint64) & np.uint64((1 << width) - 1)
+    words = np.zeros((2 * width, values.shape[1]), np.uint64)
+    for n in range(BLOCK):
+        word, shift = divmod(n * width, 64)
+        words[word] |= values[n] << np.uint64(shift)
+        if shift + width > 64:
+            words[word + 1] |= values[n] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(words.T).astype("<u8", copy=False).view(np.uint8)
+
+
+def _unpack(packed: np.ndarray, width: int) -> np.ndarray:
+    words = np.ascontiguousarray(np.ascontiguousarray(packed).view("<u8").T)
+    out = np.empty((BLOCK, packed.shape[0]), np.uint64)
+    for n in range(BLOCK):
+        word, shift = divmod(n * width, 64)
+        out[n] = words[word] >> np.uint64(shift)
+        if shift + width > 64:
+            out[n] |= words[word + 1] << np.uint64(64 - shift)
+    return (out & np.uint64((1 << width) - 1)).T.astype(np.uint32)
+
+
 def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Block starts (with the end) and the blocks' bytes."""
     blocks = -(-len(ids) // BLOCK)
@@ -65,9 +88,7 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
         if w:
-            bits = (delta[rows][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1
-            packed = np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
-            out[starts[rows, None] + _HEAD + np.arange(16 * int(w))] = packed
+            out[starts[rows, None] + _HEAD + np.arange(16 * int(w))] = _pack(delta[rows], int(w))
     row, place = np.nonzero(over)
     if len(row):
         nth = np.arange(len(row)) - np.concatenate(([0], np.cumsum(exceptions)))[row]
@@ -90,12 +111,7 @@ def decode_blocks(starts: np.ndarray, data: np.ndarray) -> np.ndarray:
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
         if w:
-            packed = data[starts[rows, None] + _HEAD + np.arange(16 * int(w))]
-            bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(rows), BLOCK, int(w))
-            total = np.zeros((len(rows), BLOCK), np.uint32)
-            for b in range(int(w)):
-                total |= bits[:, :, b].astype(np.uint32) << np.uint32(b)
-            delta[rows] = total
+            delta[rows] = _unpack(data[starts[rows, None] + _HEAD + np.arange(16 * int(w))], int(w))
     row = np.repeat(np.arange(len(starts)), exceptions)
     if len(row):
         nth = np.arange(len(row)) - np.concatenate(([0], np.cumsum(exceptions)))[row]
@@ -145,19 +161,40 @@ class Segment:
         return ids[first - low * BLOCK:last - low * BLOCK]
 
 
-# A chunk between white space of only these letters and this punctuation is encoded as the letters
-# in lower case and then the punctuation: the tokenizer would cut there. ASCII and Latin-1 letters
-# are already composed; the apostrophe is left out because it may start a contraction.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-_CACHED_CHUNKS = 400_000
+# A chunk between white space of only these letters and this punctuation is two pieces to the
+# tokenizer: the letters in lower case and the punctuation. ASCII and Latin-1 letters are already
+# composed; the apostrophe is left out because it may start a contraction.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(f"([{_LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)")
+_CACHED = 400_000
+
+
+class _Recent(dict):
+    """Worked out on a miss and kept: two generations, of which the older goes when the newer is full."""
+
+    def __init__(self, work):
+        super().__init__()
+        self.work, self.older = work, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.work(key)
+        if len(self) >= _CACHED:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 class ChunkEncoder:
     """The tokenizer's ids of a text, chunk by chunk.
 
     For a tokenizer that drops white space and never looks across it, a text's ids are those of
-    its chunks between ASCII white space, one after the other. Texts repeat their words, so each
-    chunk is encoded once and kept, up to a bound after which the store starts over.
+    its chunks between ASCII white space, one after the other. Texts repeat their words, so chunks
+    and their pieces are encoded once and kept, up to a bound. A plain piece goes to the
+    tokenizer's model directly, spelled as its pre-tokenizer spells it; any other chunk goes
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -165,35 +202,26 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {"": b""}
-
-    def _encode(self, pieces: list[str]) -> None:
-        for piece, found in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False)):
-            self.pieces[piece] = np.array(found.ids, "<u4").tobytes()
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        cut = {}
-        for chunk in chunks:
-            text = chunk.decode()
-            plain = _PLAIN.fullmatch(text)
-            cut[chunk] = (plain[1].lower(), plain[2]) if plain else (text,)
-        if len(self.pieces) > _CACHED_CHUNKS:
-            self.pieces = {"": b""}
-        self._encode(list({p for pieces in cut.values() for p in pieces if p not in self.pieces}))
-        for chunk, pieces in cut.items():
-            self.chunks[chunk] = b"".join([self.pieces[p] for p in pieces])
+        self.model = self.tokenizer.model
+        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.spelling = {c: spell(chr(c))[0][0] for c in (*range(0x21, 0x7F), *range(0xC0, 0x100))}
+        self.chunks, self.pieces = _Recent(self._chunk), _Recent(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece:
+            return b""
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(piece.translate(self.spelling))])
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        plain = _PLAIN.fullmatch(text)
+        if plain:
+            return self.pieces[plain[1].lower()] + self.pieces[plain[2]]
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        chunks = text.split()
-        missing = {c for c in chunks if c not in self.chunks}
-        if missing:
-            if len(self.chunks) > _CACHED_CHUNKS:
-                self.chunks = {}
-                missing = set(chunks)
-            self._learn(missing)
-        return b"".join(map(self.chunks.__getitem__, chunks))
+        return b"".join(map(self.chunks.__getitem__, text.split()))
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
