@@ -166,11 +166,12 @@ class Segment:
 # composed; the apostrophe is left out because it may start a contraction.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(f"([{_LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)")
-_CACHED = 400_000
+_CACHED = 150_000
 
 
 class _Recent(dict):
-    """Worked out on a miss and kept: two generations, of which the older goes when the newer is full."""
+    """Worked out on a miss and kept: two generations, of which the older goes when the newer is full.
+    A worker's two stores stay below some 100 MB."""
 
     def __init__(self, work):
         super().__init__()
