@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import functions as F
 
 from folioflow.catalogue.registry import query
 from folioflow.catalogue.standins import CFG, Tables, ts
@@ -12,6 +12,7 @@ from folioflow.functions import scalars as sc, variants as vr
 from folioflow.operators.ordered import take_pages
 from folioflow.operators.upsert import with_latest
 from folioflow.plans import classify, timeline
+from folioflow.schemas import columns
 from folioflow.session import shared_folder
 from folioflow.sources import html, payloads
 from folioflow.sources.store import TableStore
@@ -288,13 +289,13 @@ def _workspace(t: Tables, *tables: str) -> tuple[TableStore, str]:
 def stream_statuses(t: Tables):
     """The incremental ingest as a stream that is drained: the same rows as its batch query."""
     store, progress = _workspace(t, "raw_statuses", "timeline_marks")
-    store.write("timeline_marks", _marks(t), 1)
+    store.write("timeline_marks", _marks(t), store.begin(1))
     zero = F.lit(0).cast("bigint")
     posts = _stream(t, "events").select(
         F.col("event_id").alias("status_id"), "user_id", F.col("event_type").alias("description"),
         F.col("ts").alias("created_at"), F.lit(None).cast("array<string>").alias("stock_tags"),
         F.lit(0).alias("is_analyzed"), zero.alias("forward"), zero.alias("comment_count"), zero.alias("like_count"))
-    jobs.post_stream(posts, store, progress, ["status_id"], first_batch=2).awaitTermination()
+    jobs.post_stream(posts, store, progress, ["status_id"]).awaitTermination()
     return store.log("raw_statuses").select("status_id", "user_id", "description", "created_at")
 
 
@@ -313,9 +314,9 @@ def stream_labels(t: Tables):
 
 @query("SELECT DISTINCT user_id FROM events")
 def stream_distinct(t: Tables):
-    """Dedup across micro-batches."""
-    store, progress = _workspace(t)
-    users = _stream(t, "events").select("user_id")
-    jobs.distinct_stream(users, ["user_id"]).writeStream.format("parquet").option("path", store.path("seen")).option(
-        "checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.schema(T.StructType([T.StructField("user_id", T.LongType())])).parquet(store.path("seen"))
+    """Dedup across micro-batches, through a table: what was seen is no operator state."""
+    store, progress = _workspace(t, "scan_state", "users")
+    users = _stream(t, "events").select("user_id", *(
+        F.lit(None).cast(kind).alias(name) for name, kind in columns("users").items() if name != "user_id"))
+    jobs.insert_stream(users, store, "users", progress, ["user_name"]).awaitTermination()
+    return store.log("users").select("user_id")

@@ -58,11 +58,15 @@ def read_sources(
     come to pass the threshold.
     """
     arrival = ["rank", "page", "pos"]
-    capped = rows.filter(F.col("page") < cfg.page_cap)
+    capped = rows if cfg.page_cap is None else rows.filter(F.col("page") < cfg.page_cap)
     fresh = first_per_key(unseen(capped, existing, ["user_id"]), ["src", "user_id"], ["page", "pos"])
-    cutoff = quota_cutoff(fresh, ["src"], "page", is_high_quality(cfg), cfg.batch_size)
+    cutoff = None
+    if cfg.batch_size is not None:
+        cutoff = quota_cutoff(fresh, ["src"], "page", is_high_quality(cfg), cfg.batch_size)
 
     def read_part(df):
+        if cutoff is None:
+            return df
         return df.join(cutoff, "src", "left").filter(
             F.col("cutoff").isNull() | (F.col("page") <= F.col("cutoff"))
         )
@@ -73,11 +77,11 @@ def read_sources(
         promoted = first_per_key(read_part(capped), ["user_id"], arrival).select(*PROFILE)
     # Finished: neither stopped by the quota nor by the page cap.
     ends = (rows if pages is None else pages).groupBy("src").agg(F.max("page").alias("last_page"))
-    scanned = (
-        ends.join(cutoff, "src", "left_anti")
-        .filter(F.col("last_page") < cfg.page_cap - 1)
-        .select(F.col("src").alias("user_id"))
-    )
+    if cutoff is not None:
+        ends = ends.join(cutoff, "src", "left_anti")
+    if cfg.page_cap is not None:
+        ends = ends.filter(F.col("last_page") < cfg.page_cap - 1)
+    scanned = ends.select(F.col("src").alias("user_id"))
     return {"users": users, "high_quality_users": high_quality(promoted, cfg), "scanned": scanned}
 
 
@@ -85,8 +89,8 @@ def reach(edges: DataFrame, start: DataFrame, hops: int, cut_every: int = 1) ->
     """Users within ``hops`` follow steps, with the first step that reaches them.
 
     ``edges(src, dst)``, ``start(user_id)``. Each hop is one join of the newest users with the
-    edges and one anti join; only users that are new go on. The ids found so far are put down
-    every ``cut_every`` hops: later hops read them instead of walking all earlier ones again.
+    edges and one anti join; only users that are new go on. A hop's new ids are put down every
+    ``cut_every`` hops: later hops read them instead of walking all earlier ones again.
     """
     links = edges.select("src", F.col("dst").alias("user_id"))
     known = start.select("user_id").distinct().withColumn("hop", F.lit(0))
@@ -98,9 +102,8 @@ def reach(edges: DataFrame, start: DataFrame, hops: int, cut_every: int = 1) ->
             .join(known.select("user_id"), "user_id", "left_anti")
             .withColumn("hop", F.lit(hop))
         )
-        known = known.unionByName(found)
         if hop % cut_every == 0 and hop < hops:
-            known = cut_lineage(known)
-            found = known.filter(F.col("hop") == hop)
+            found = cut_lineage(found)
+        known = known.unionByName(found)
         newest = found
     return known

@@ -30,9 +30,9 @@ def progress(users: DataFrame, targets: DataFrame, statuses: DataFrame, comments
     """One row: targets and goal, users and cap, backlog, labelled. Scalar subqueries, no join."""
     return labelled(comments).select(
         count_rows(targets).scalar().alias("targets"),
-        F.lit(cfg.target_goal).alias("target_goal"),
+        F.lit(cfg.target_goal).cast("int").alias("target_goal"),
         count_rows(users).scalar().alias("users"),
-        F.lit(cfg.user_cap).alias("user_cap"),
+        F.lit(cfg.user_cap).cast("int").alias("user_cap"),
         backlog(statuses).scalar().alias("backlog"),
         "labelled", "valuable",
     )
@@ -44,6 +44,8 @@ def has_at_least(df: DataFrame, n: int) -> DataFrame:
 
 
 def expansion_waits(high_quality_users: DataFrame, cfg: FlowConfig, as_of) -> bool:
+    if cfg.batch_size is None:
+        return False
     due = high_quality_users.filter(is_due(F.col("last_updated"), as_of, cfg.cache_days))
     return has_at_least(due, cfg.batch_size * cfg.backlog_factor).first()[0]
 

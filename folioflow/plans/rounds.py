@@ -1,13 +1,15 @@
 """One round of the run: posts, then qualification and portfolios, then expansion.
 
 Downstream work goes first, so that started users are finished before new ones are found. Each
-step is one batch of the store; a step that fails halfway is repeated under the same number.
+step is one batch of the store; a step that fails halfway is repeated under the same number, and a
+run that is started again goes on after the last step that was finished.
 Only single-row guards come to the driver.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,6 +17,7 @@ from folioflow.config import FlowConfig
 from folioflow.functions import scalars as sc, variants as vr
 from folioflow.operators.upsert import seen
 from folioflow.plans import classify, frontier, portfolio, progress, qualify, tasks, timeline
+from folioflow.schemas import TABLES
 from folioflow.session import cut_lineage
 from folioflow.sources import html, payloads
 from folioflow.sources.store import TableStore
@@ -81,7 +84,8 @@ def qualify_users(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batc
         store.insert(table, out[table], batch, order)
     store.write("quarantine", out["quarantine"], batch)
 
-    readable = cap.quotes.unionByName(cap.portfolio_lists).filter(vr.is_readable(F.col("payload")))
+    mine = seen(cap.quotes.unionByName(cap.portfolio_lists), to_check, ["user_id"])
+    readable = mine.filter(vr.is_readable(F.col("payload")))
     finished = done.select("user_id").unionByName(seen(to_check, readable, ["user_id"]).select("user_id"))
     store.write("task_log", tasks.finished(finished, "high_quality_users", as_of), batch)
 
@@ -90,7 +94,7 @@ def expand(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batch: int,
     users = store.current("users", batch)
     if progress.expansion_waits(store.current("high_quality_users", batch), cfg, as_of):
         return
-    if progress.has_at_least(users, cfg.user_cap).first()[0]:
+    if cfg.user_cap is not None and progress.has_at_least(users, cfg.user_cap).first()[0]:
         return
     scanned = store.ids("scan_state", batch)
     pages = cap.follow_pages.filter(vr.is_readable(F.col("payload")))
@@ -98,6 +102,8 @@ def expand(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batch: int,
     start = store.spark.range(seed, seed + 1).select(
         F.col("id").alias("user_id"), F.lit(0).cast("bigint").alias("followers_count"),
     ).join(scanned, "user_id", "left_anti")
+    # The seed is a source like any other: without a readable page it holds nobody up.
+    start = seen(start, captured, ["user_id"])
     if start.isEmpty():
         known = seen(store.current("high_quality_users", batch), captured, ["user_id"])
         start = frontier.next_sources(known, scanned, sources)
@@ -119,26 +125,52 @@ def label_posts(store: TableStore, cfg: FlowConfig, scorer: classify.Scorer, bat
     store.write("status_log", classify.status_rows(scored), batch)
 
 
+def _steps(cap: Captures, cfg: FlowConfig, as_of, seed: int, scorer: classify.Scorer, sources: int) -> list:
+    return [
+        lambda store, batch: mine_posts(store, cap, cfg, as_of, batch),
+        lambda store, batch: qualify_users(store, cap, cfg, as_of, batch),
+        lambda store, batch: expand(store, cap, cfg, as_of, batch, seed, sources),
+        lambda store, batch: label_posts(store, cfg, scorer, batch),
+    ]
+
+
 def run_round(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, number: int, seed: int,
-              scorer: classify.Scorer, sources: int = 1) -> None:
-    first = STEPS * (number - 1) + 1
-    mine_posts(store, cap, cfg, as_of, first)
-    qualify_users(store, cap, cfg, as_of, first + 1)
-    expand(store, cap, cfg, as_of, first + 2, seed, sources)
-    label_posts(store, cfg, scorer, first + 3)
+              scorer: classify.Scorer, sources: int = 1, after: int = 0) -> bool:
+    """The steps of a round whose epoch is past ``after``. Did any of them write a row?
+
+    Repeating a round writes the same batches again.
+    """
+    steps = _steps(cap, cfg, as_of, seed, scorer, sources)
+    batches = []
+    for epoch, step in enumerate(steps, STEPS * (number - 1) + 1):
+        batches.append(store.begin(epoch))
+        if epoch > after:
+            step(store, batches[-1])
+            store.finish(epoch)
+    written = [
+        store.log(t).filter(F.col("batch_id").isin(batches)).select("batch_id") for t in TABLES if t != "system_meta"]
+    return not reduce(DataFrame.unionAll, written).isEmpty()
 
 
 def run(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, seed: int,
-        scorer: classify.Scorer | None = None, max_rounds: int = 100, sources: int = 1) -> DataFrame:
-    """Rounds until enough targets are found; the last counts come back as one row."""
+        scorer: classify.Scorer | None = None, max_rounds: int | None = None, sources: int = 1) -> DataFrame:
+    """Rounds until enough targets are found or a round changes nothing; one row of counts.
+
+    The column ``stopped`` says why it ended. ``max_rounds`` bounds one call; calling again goes on.
+    """
     scorer = scorer or classify.RuleScorer()
     store.create_tables()
-
-    for number in range(1, max_rounds + 1):
-        if progress.has_at_least(store.current("target_users"), cfg.target_goal).first()[0]:
-            break
-        run_round(store, cap, cfg, as_of, number, seed, scorer, sources)
+    finished = store.finished()
+    number, rounds, stopped = finished // STEPS + 1, 0, None
+    while stopped is None:
+        if cfg.target_goal is not None and progress.has_at_least(store.current("target_users"), cfg.target_goal).first()[0]:
+            stopped = "goal reached"
+        elif max_rounds is not None and rounds >= max_rounds:
+            stopped = "round limit"
+        elif not run_round(store, cap, cfg, as_of, number, seed, scorer, sources, finished):
+            stopped = "nothing left to do"
+        number, rounds = number + 1, rounds + 1
     return progress.progress(
         store.current("users"), store.current("target_users"),
         store.current("raw_statuses"), store.current("value_comments"), cfg,
-    )
+    ).withColumn("stopped", F.lit(stopped))

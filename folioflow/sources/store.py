@@ -1,26 +1,77 @@
-"""The tables at rest: plain Parquet, one folder per batch.
+"""The tables at rest: plain Parquet, one folder per batch and writer.
 
-A batch writes ``<root>/<table>/batch_id=<n>`` and reads only earlier batches, so running it
-again gives the same files: a batch lost halfway is simply repeated. Nothing that is being
+A batch writes ``<root>/<table>/batch_id=<n>/writer=<w>`` and reads only earlier batches, so running
+it again gives the same files: a batch lost halfway is simply repeated. Nothing that is being
 read is ever overwritten. Tables whose rows get replaced are change logs; their current rows
 are the last ones per key.
+
+Batch numbers come from a log in the store: a writer begins each of its epochs once and gets the
+same number when it repeats it, so nobody writes over another writer's batch. Two writers that
+work at the same time may bring the same key; the first one by batch and writer is the row.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioflow.functions import scalars as sc
-from folioflow.operators.dedup import last_per_key
+from folioflow.operators.dedup import first_per_key, last_per_key
 from folioflow.operators.upsert import insert_or_ignore, with_latest
 from folioflow.schemas import KEYS, LAST_WINS, NULLS_DISTINCT, REQUIRED, TABLES, columns
 
 _TASK_TABLES = {"high_quality_users", "target_users"}
+_PLACE = ["batch_id", "writer"]
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, writer: str = "run"):
+        self.spark, self.root, self.writer = spark, root.rstrip("/"), re.sub(r"[^\w.-]", "_", writer)
+
+    def writing_as(self, writer: str) -> TableStore:
+        """The same tables for another writer."""
+        return TableStore(self.spark, self.root, writer)
+
+    # --- batches ---
+
+    def _log(self):
+        """The folder of the batch log in the store's own file system. Its entries are empty files."""
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/batch_log")
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        return files, folder, lambda name: jvm.org.apache.hadoop.fs.Path(folder, name)
+
+    def batches(self) -> list[tuple[int, str, int, str]]:
+        """What was begun and finished: batch, writer, epoch, state."""
+        files, folder, _ = self._log()
+        parts = [status.getPath().getName().split("~") for status in files.listStatus(folder)]
+        return sorted((int(p[0]), p[1], int(p[2]), p[3]) for p in parts if len(p) == 4)
+
+    def begin(self, epoch: int) -> int:
+        """The batch of an epoch of this writer: its old number, or the one after all others."""
+        files, _, path = self._log()
+        known = self.batches()
+        for number, writer, own_epoch, _ in known:
+            if (writer, own_epoch) == (self.writer, epoch):
+                return number
+        number = max((b[0] for b in known), default=0) + 1
+        # Only one writer can make a number's file.
+        while not files.createNewFile(path(f"{number}")):
+            number += 1
+        files.createNewFile(path(f"{number}~{self.writer}~{epoch}~begun"))
+        return number
+
+    def finish(self, epoch: int) -> None:
+        files, _, path = self._log()
+        files.createNewFile(path(f"{self.begin(epoch)}~{self.writer}~{epoch}~finished"))
+
+    def finished(self) -> int:
+        """The last epoch this writer has finished; 0 before the first."""
+        return max((e for _, w, e, state in self.batches() if w == self.writer and state == "finished"), default=0)
+
+    # --- tables ---
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -30,21 +81,26 @@ class TableStore:
         for table in tables or TABLES:
             if table != "system_meta":
                 self.spark.createDataFrame([], TABLES[table]).coalesce(1).write.mode("ignore").parquet(
-                    f"{self.path(table)}/batch_id=0"
+                    f"{self.path(table)}/batch_id=0/writer=none"
                 )
 
     def log(self, table: str, before: int | None = None) -> DataFrame:
         """All written rows with their batch; the partition filter prunes folders."""
-        rows = self.spark.read.schema(f"{TABLES[table]}, batch_id bigint").parquet(self.path(table))
+        return self._rows(table, before).drop("writer")
+
+    def _rows(self, table: str, before: int | None = None) -> DataFrame:
+        rows = self.spark.read.schema(f"{TABLES[table]}, batch_id bigint, writer string").parquet(self.path(table))
         return rows if before is None else rows.filter(F.col("batch_id") < before)
 
     def current(self, table: str, before: int | None = None) -> DataFrame:
         if table == "system_meta":
             return self.meta(before)
-        rows = self.log(table, before)
+        rows = self._rows(table, before)
         if table in LAST_WINS:
-            rows = last_per_key(rows, KEYS[table], ["batch_id"])
-        rows = rows.drop("batch_id")
+            rows = last_per_key(rows, KEYS[table], _PLACE)
+        elif table in KEYS and table not in NULLS_DISTINCT:
+            rows = first_per_key(rows, KEYS[table], _PLACE)
+        rows = rows.drop(*_PLACE)
         if table in _TASK_TABLES:
             done = self.log("task_log", before).filter(F.col("table_name") == table)
             rows = with_latest(rows, done, ["user_id"], "last_updated", ["batch_id"])
@@ -76,7 +132,7 @@ class TableStore:
             raise ValueError("batch 0 is the empty table")
         typed = [F.col(name).cast(kind) for name, kind in columns(table).items()]
         df.select(*typed).write.mode("overwrite").parquet(
-            f"{self.path(table)}/batch_id={batch_id}"
+            f"{self.path(table)}/batch_id={batch_id}/writer={self.writer}"
         )
 
     def insert(self, table: str, df: DataFrame, batch_id: int, order: list) -> None:
@@ -94,7 +150,7 @@ class TableStore:
     def compact(self, table: str, target: str) -> None:
         """Current rows as one fresh batch under another root, sorted by key for row-group skipping."""
         rows = self.current(table)
-        out = f"{target.rstrip('/')}/{table}/batch_id=1"
+        out = f"{target.rstrip('/')}/{table}/batch_id=1/writer=compact"
         rows.repartition(*KEYS[table]).sortWithinPartitions(*KEYS[table]).write.mode(
             "errorifexists"
         ).parquet(out)

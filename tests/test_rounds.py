@@ -102,6 +102,85 @@ def test_steps_can_be_repeated(spark, rows, tmp_path):
     assert run(2, 2) == once
 
 
+def shown(store, rows):
+    tables = ["users", "high_quality_users", "target_users", "user_combinations", "portfolio_positions", "raw_statuses", "value_comments"]
+    return {t: rows(store.current(t).select(*[F.col(c).cast("string") for c in store.current(t).columns])) for t in tables}
+
+
+def test_a_run_goes_on_where_it_stopped(spark, rows, tmp_path):
+    """One round, a step that is lost, and another round: as two rounds at once."""
+    cfg, cap = FlowConfig(target_goal=2), world(spark)
+    whole = TableStore(spark, str(tmp_path / "whole"))
+    assert rounds.run(whole, cap, cfg, AS_OF, SEED, max_rounds=2).first().stopped == "round limit"
+
+    parts = TableStore(spark, str(tmp_path / "parts"))
+    rounds.run(parts, cap, cfg, AS_OF, SEED, max_rounds=1)
+    rounds.mine_posts(parts, cap, cfg, AS_OF, parts.begin(rounds.STEPS + 1))  # lost before it was finished
+    rounds.run(parts, cap, cfg, AS_OF, SEED, max_rounds=1)
+    assert parts.finished() == whole.finished() == 2 * rounds.STEPS
+    assert shown(parts, rows) == shown(whole, rows)
+
+
+def test_a_seed_without_pages_stalls_nothing(spark, rows, tmp_path):
+    cap = world(spark)
+    cap.follow_pages = cap.follow_pages.filter(F.col("src") != SEED)
+    store = TableStore(spark, str(tmp_path))
+    store.create_tables()
+    known = spark.range(1).select(
+        F.lit(10).cast("bigint").alias("user_id"), F.lit("u10").alias("user_name"), F.lit(100).cast("bigint").alias("comments_count"),
+        F.lit(0).cast("bigint").alias("friends_count"), F.lit(9000).cast("bigint").alias("followers_count"), F.lit("").alias("description"),
+        F.lit(AS_OF).cast("timestamp_ntz").alias("last_updated"))
+    setup = store.writing_as("setup")
+    for table in ("users", "high_quality_users"):
+        setup.write(table, known, setup.begin(1))
+    rounds.expand(store, cap, FlowConfig(target_goal=None), AS_OF, store.begin(1), SEED)
+    assert rows(store.current("users"), "user_id") == [(10,), (11,), (13,)]
+
+
+def test_a_run_ends_when_a_round_changes_nothing(spark, tmp_path):
+    cap = world(spark)
+    for name in ("follow_pages", "quotes", "portfolio_lists", "portfolio_pages", "timelines", "articles"):
+        setattr(cap, name, getattr(cap, name).limit(0))
+    counts = rounds.run(TableStore(spark, str(tmp_path)), cap, FlowConfig(), AS_OF, SEED).first()
+    assert counts.stopped == "nothing left to do" and counts.users == 0
+
+
+def test_batches_have_one_owner(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    one, two = store.writing_as("one"), store.writing_as("two")
+    assert [one.begin(1), two.begin(1), one.begin(1), one.begin(2), two.begin(2)] == [1, 2, 1, 3, 4]
+    one.finish(1)
+    assert one.finished() == 1 and two.finished() == 0
+    assert TableStore(spark, str(tmp_path), "two").begin(3) == 5
+
+
+def test_two_streams_into_one_table_lose_nothing(spark, rows, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    store.create_tables()
+    landed = str(tmp_path / "landed")
+    times = spark.range(1, 6).select(F.col("id").alias("status_id"), F.col("id").alias("user_id"), F.lit(AS_OF).cast("timestamp_ntz").alias("created_at"))
+    raw(times).write.parquet(landed)
+    schema = spark.read.parquet(landed).schema
+    page = spark.createDataFrame([(77, 0, j({"statuses": [post(900, 77, 5)]}))], "user_id long, page long, payload string")
+    page.write.parquet(str(tmp_path / "pages"))
+    articles = world(spark).articles
+    for checkpoint in ("first", "fresh"):
+        posts = spark.readStream.schema(schema).parquet(landed)
+        pages = spark.readStream.schema("user_id long, page long, payload string").parquet(str(tmp_path / "pages"))
+        jobs.post_stream(posts, store, str(tmp_path / f"p-{checkpoint}"), ["status_id"]).awaitTermination()
+        jobs.timeline_stream(pages, articles, store, FlowConfig(), str(tmp_path / f"t-{checkpoint}")).awaitTermination()
+        assert rows(store.current("raw_statuses"), "status_id") == [(1,), (2,), (3,), (4,), (5,), (900,)]
+
+
+def test_no_bounds(spark, rows, tmp_path):
+    """Without bounds the first visit reads a source to its end and goes on with all users at once."""
+    store = TableStore(spark, str(tmp_path))
+    cfg = FlowConfig(post_quota=None, user_cap=None, target_goal=None, batch_size=None, page_cap=None)
+    rounds.run(store, world(spark), cfg, AS_OF, SEED, max_rounds=1)
+    assert rows(store.current("users"), "user_id") == [(10,), (11,), (12,)]
+    assert rows(store.current("scan_state"), "user_id") == [(SEED,)]
+
+
 def test_expansion_waits_and_caps(spark, tmp_path):
     cfg = FlowConfig(batch_size=1)
     hq = spark.range(5).select(F.col("id").alias("user_id"), F.lit(None).cast("timestamp_ntz").alias("last_updated"))
