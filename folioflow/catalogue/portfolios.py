@@ -164,7 +164,8 @@ def comment_hash_id(t: Tables):
 
 
 @query(f"""
-    SELECT o_custkey AS user_id, CAST(o_orderkey % 7 AS INT) AS seq, 0 AS pos, {ORDER_SYMBOL} AS symbol,
+    SELECT o_custkey AS user_id, CAST(o_orderkey % 7 AS INT) AS seq,
+        CASE WHEN o_orderkey % 7 = 6 THEN 1 ELSE 0 END AS pos, {ORDER_SYMBOL} AS symbol,
         o_orderpriority AS name, CAST(CAST(o_orderkey AS BIGINT) AS VARCHAR) AS net_value
     FROM orders WHERE o_orderkey % 11 <> 0""")
 def portfolio_list_shapes(t: Tables):
@@ -183,7 +184,7 @@ def portfolio_list_shapes(t: Tables):
         .when(n == 3, wrap('{"data":{"items":[', "]}}"))
         .when(n == 4, wrap('{"items":[', "]}"))
         .when(n == 5, wrap('{"ZH0":', ',"total":1}'))
-        # The first list found holds no portfolio, so the object's values are looked at.
+        # The first list found holds no portfolio, so the object's values are looked at, in page order.
         .otherwise(wrap('{"list":[1],"a":', "}")))
     items = t.orders.select("o_custkey", "o_orderkey", item.alias("item"))
     captures = items.select(F.col("o_custkey").alias("user_id"), n.cast("int").alias("seq"), payload.alias("payload"))

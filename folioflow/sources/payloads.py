@@ -139,14 +139,17 @@ def _holds_portfolio(values: Column) -> Column:
     return F.coalesce(F.exists(values, _looks_like_portfolio), F.lit(False))
 
 
-def portfolio_list(v: Column) -> Column:
-    """The list of portfolios wherever the payload keeps it; null if there is none."""
+def portfolio_list(v: Column, payload: Column) -> Column:
+    """The list of portfolios wherever the payload keeps it; null if there is none.
+
+    The values of an object come in page order: a variant has its keys sorted, a map has not.
+    """
     named = F.coalesce(
         vr.as_list(v, "$.list"), vr.as_list(v, "$.data.stocks"),
         vr.as_list(v, "$.data.items"), vr.as_list(v, "$.items"),
     )
     top = vr.as_list(v)
-    values = F.map_values(vr.as_object(v))
+    values = F.transform(F.map_values(F.from_json(payload, "map<string,string>")), vr.parse)
     return (
         F.when(_holds_portfolio(top), top)
         .when(_holds_portfolio(named), named)
@@ -159,7 +162,7 @@ def portfolio_items(captures: DataFrame) -> DataFrame:
     it = F.col("it")
     return (
         captures.withColumn("v", vr.parse(F.col("payload")))
-        .select("user_id", "seq", F.posexplode(portfolio_list(F.col("v"))).alias("pos", "it"))
+        .select("user_id", "seq", F.posexplode(portfolio_list(F.col("v"), F.col("payload"))).alias("pos", "it"))
         .select(
             "user_id", "seq", "pos",
             F.coalesce(vr.usable_text(it, "$.symbol"), vr.text(it, "$.cube_symbol")).alias("symbol"),

@@ -122,3 +122,10 @@ def test_holdings_drop_stocks_before_a_segment(spark, rows):
          ("ZH1", 3, "other", None, None, "x")], "symbol string, pos int, class string, segment_name string, segment_weight string, name string")
     filled = html.holding_rows(listed.withColumn("price", F.lit("1")).withColumn("weight", F.lit("2")))
     assert rows(filled, "segment_name", "name") == [("A", "s1")]
+
+
+def test_portfolios_by_name_keep_page_order(spark, rows):
+    payload = '{"b": {"symbol": "ZH2"}, "note": "x", "a": {"symbol": "ZH1"}, "n": 3}'
+    df = spark.createDataFrame([(1, 0, payload)], "user_id long, seq int, payload string")
+    found = payloads.portfolio_items(df).orderBy("pos").collect()
+    assert [r.symbol for r in found] == ["ZH2", "ZH1"]
