@@ -2,9 +2,10 @@
 
 A document is the set of its word n-grams and of its shape n-grams: letter case, length and
 punctuation of a word, and whether it repeats the word before. Each n-gram is an indicator hashed
-to one of 2 ** HASH_BITS places, scaled by the log ratio of its counts in the two classes. Those
-counts are over all labelled rows. On the scaled rows, brought to length one, a hinge-loss model is
-fitted by dual coordinate descent, on at most ``sample_rows`` labelled rows of each class.
+to one of 2 ** HASH_BITS places, scaled by the log ratio of its counts in the two classes. On the
+scaled rows, brought to length one, a hinge-loss model is fitted by dual coordinate descent. Both are
+learned from a sample of at most ``sample_rows`` labelled documents of each class: those with the
+least hash of their id.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 _TAIL = re.compile(rb"[!-/:-@\[-`{-~]*$")
 _CACHED_WORDS = 300_000
+SAMPLE_ROWS = 4000
 _STEP = 1 << 17
 
 
@@ -143,12 +145,12 @@ def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return counts[1], counts[0]
 
 
-def fit(labelled: DataFrame, sample_rows: int = 4000, cost: float = 1.0, label_col: str = "label",
+def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, cost: float = 1.0, label_col: str = "label",
         id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from rows with a 0/1 label; rows with a null label are left out.
 
-    The plane is fitted on the ``sample_rows`` rows of each class with the least hash of id and
-    text; the other class's weight makes up for unequal numbers. With one class only, or none, the
+    The plane is fitted on ``sample_rows`` rows of each class at most, those with the least hash of
+    id and text; a class's weight makes up for unequal numbers. With one class only, or none, the
     model gives every text the same score.
     """
     rows = narrow(labelled, id_col, text_col, F.col(label_col).cast("int").alias("label")).filter("label IN (0, 1)")
@@ -203,11 +205,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def labels_of(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id") -> DataFrame:
-    """``doc_id, text, label``: documents with their label, held-out ids left out.
+def labels_of(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, label_col: str = "quality",
+              id_col: str = "doc_id") -> DataFrame:
+    """``doc_id, text, label``: a sample of the documents with their label, held-out ids left out.
 
-    Several labels of one id count as their majority, a tie as 1.
+    Per class the ``sample_rows`` labelled ids with the least hash are taken; only their texts are
+    read on. Several labels of one id count as their majority, a tie as 1; labels of ids without a
+    document count towards the sample.
     """
-    one = labels.groupBy(F.col(id_col).alias("labelled")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label"))
-    known = docs.filter(~held_out(F.col(id_col))).select(F.col(id_col).alias("doc_id"), "text")
-    return known.join(one, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "label")
+    one = (
+        labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
+        .groupBy(F.col(id_col).alias("labelled")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label"))
+    )
+    order = [F.xxhash64("labelled"), "labelled"]
+    picked = [one.filter(F.col("label") == c).orderBy(*order).limit(sample_rows) for c in (0, 1)]
+    # Twice ``sample_rows`` ids at most.
+    sample = F.broadcast(cut_lineage(picked[0].unionByName(picked[1])))
+    known = docs.select(F.col(id_col).alias("doc_id"), "text")
+    return known.join(sample, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "label")
