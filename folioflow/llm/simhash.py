@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from folioflow.llm import bloom
 from folioflow.llm.common import map_texts, narrow, session
 from folioflow.llm.graph import components
 from folioflow.session import cut_lineage
@@ -200,30 +201,51 @@ def one_per_group(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_c
     two texts meet if some part differs in at most two bits, which at similarity 0.8 holds for about
     19 of 20 pairs and for more the closer they are.
     """
-    session(docs.sparkSession)
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("content"))
-    first = Window.partitionBy("content").orderBy(F.col("id").asc_nulls_last(), F.xxhash64("row"))
-    # One row per text; a task sends at most one row of each text to the shuffle.
-    unlike = rows.withColumn("nth", F.row_number().over(first)).filter("nth = 1").drop("nth")
-    # Numbered in the order of the ids, so that the least number is the row that stays.
-    order = [F.col("id").asc_nulls_last(), F.col("content")]
-    held = cut_lineage(unlike.repartitionByRange(*order).sortWithinPartitions(*order).select(
-        F.monotonically_increasing_id().alias("node"), "row", "text"))
+    spark = session(docs.sparkSession)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), text.alias("text"),
+                       F.sha2(text, 256).alias("content"))
 
     def run(texts: list[bytes]) -> dict:
         return {"parts": pa.array([sketch(t) for t in texts], pa.list_(pa.int64()))}
 
-    sketches = cut_lineage(map_texts(held.select("node", "text"), run, "parts array<bigint>", as_bytes=True))
+    # Only ids, digests and fingerprints move, until it is known which texts are concerned.
+    sketches = cut_lineage(map_texts(rows.select("id", "content", "text"), run, "parts array<bigint>", as_bytes=True))
+    unlike = sketches.groupBy("content").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("first"), F.any_value("parts").alias("parts"),
+        (F.count(F.lit(1)) > 1).alias("repeated"))
+    # Numbered in the order of the ids, so that the least number is the row that stays.
+    order = ["first", "content"]
+    held = cut_lineage(unlike.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        F.monotonically_increasing_id().alias("node"), "content", F.col("first.id").alias("first_id"), "parts", "repeated"))
+
     flips = F.array(F.lit(0).cast("bigint"), *(F.lit(1 << b).cast("bigint") for b in range(PART_BITS)))
-    numbered = sketches.select("node", F.posexplode("parts").alias("no", "part"))
+    numbered = held.select("node", F.posexplode("parts").alias("no", "part"))
     keys = numbered.select("node", F.explode(F.transform(
         flips, lambda m: F.col("part").bitwiseXOR(m) * PARTS + F.col("no"))).alias("key"))
     bucket = Window.partitionBy("key").orderBy("node")
     shared = keys.withColumn("before", F.lag("node").over(bucket)).withColumn("after", F.lead("node").over(bucket))
     met = shared.filter("before IS NOT NULL OR after IS NOT NULL").select("key", "node")
-    pairs = cut_lineage(_leaders(met.join(sketches, "node")))
-    links_ = cut_lineage(_verified(pairs, held.select("node", "text"), words, similarity))
-    gone = cut_lineage(components(links_).select(F.col("node").alias("gone")))
-    return held.join(gone, F.col("node") == F.col("gone"), "left_anti").select("row.*")
+    pairs = cut_lineage(_leaders(met.join(held.select("node", "parts"), "node")))
+
+    def among(contents: DataFrame) -> Column:
+        """Whether a row's text may be one of these: the other rows need no join."""
+        filter_ = bloom.build(contents.select(F.xxhash64("content").alias("h")))
+        return bloom.member(filter_, F.xxhash64("content"), spark.sparkContext)
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = cut_lineage(wanted.join(held.select("node", "content", "first_id"), "node"))
+    near = rows.select("id", "text", "content").filter(among(wanted))
+    texts = near.join(wanted, "content").filter(F.col("id").eqNullSafe(F.col("first_id"))).select(
+        "node", "text").dropDuplicates(["node"])
+    links_ = cut_lineage(_verified(pairs, cut_lineage(texts), words, similarity))
+    gone = components(links_).select("node", F.lit(True).alias("gone"))
+    touched = cut_lineage(
+        held.select("node", "content", "repeated").join(gone, "node", "left")
+        .filter("repeated OR gone").select("content", F.coalesce("gone", F.lit(False)).alias("gone")))
+
+    test = among(touched)
+    first = Window.partitionBy("content").orderBy(F.col("id").asc_nulls_last(), F.xxhash64("row"))
+    concerned = rows.drop("text").filter(test).join(touched, "content", "left").filter("gone IS NULL OR NOT gone")
+    kept = concerned.withColumn("nth", F.row_number().over(first)).filter("nth = 1")
+    return rows.filter(~test).select("row.*").unionByName(kept.select("row.*"))
