@@ -1,0 +1,48 @@
+"""Groups of copies of one text, wherever the original is, and pairs at the given similarity."""
+
+import random
+
+import pytest
+
+from folioflow.llm import simhash
+
+
+def similarity(a, b):
+    return simhash.weighted_similarity(*(simhash.shingle_hashes(t.encode(), 5) for t in (a, b)))
+
+
+def plain_kept(texts):
+    """The first of each group, over all pairs."""
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    hashes = [simhash.shingle_hashes(t.encode(), 5) for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            a, b = find(i), find(j)
+            if a != b and simhash.weighted_similarity(hashes[i], hashes[j]) >= 0.8:
+                root[max(a, b)] = min(a, b)
+    return [i for i in range(len(texts)) if find(i) == i]
+
+
+@pytest.mark.parametrize("place", ["first", "middle", "last"])
+def test_copies_hang_together_by_their_original(spark, place):
+    """Copies linked to the original and mostly not to each other, and some linked to nothing."""
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+
+    def copy(n):
+        words = list(base)
+        for at in rng.sample(range(300), n):
+            words[at] = f"new{rng.randrange(10**6)}"
+        return " ".join(words)
+
+    texts = [copy(rng.choice((4, 5, 5, 9))) for _ in range(120)]
+    texts.insert({"first": 0, "middle": 60, "last": 120}[place], " ".join(base))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = sorted(r.doc_id for r in simhash.one_per_group(df).collect())
+    assert kept == plain_kept(texts) and len(kept) < 60
