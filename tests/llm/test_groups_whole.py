@@ -46,3 +46,41 @@ def test_copies_hang_together_by_their_original(spark, place):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     kept = sorted(r.doc_id for r in simhash.one_per_group(df).collect())
     assert kept == plain_kept(texts) and len(kept) < 60
+
+
+def edited(words, rng, kind):
+    """The words after the largest edit of a kind that leaves a similarity of 0.8."""
+    def after(n):
+        fresh = [f"new{rng.randrange(10**9)}" for _ in range(n)]
+        if kind == "append":
+            return words + fresh
+        if kind == "cut":
+            return words[n:]
+        if kind == "block":
+            at = (len(words) - n) // 2
+            return words[:at] + fresh + words[at + n:]
+        out = list(words)
+        for k, f in zip(range(n), fresh):
+            out[(k * 37 + 11) % len(words)] = f
+        return out
+
+    n = 0
+    while similarity(" ".join(words), " ".join(after(n + 1))) >= 0.8:
+        n += 1
+    return after(n)
+
+
+@pytest.mark.parametrize("kind", ["scattered", "block", "append", "cut"])
+def test_pairs_at_the_given_similarity_meet(spark, kind):
+    rng = random.Random(3)
+    rows = []
+    for size in (12, 40, 150, 400):
+        for _ in range(15):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(size)]
+            rows += [" ".join(words), " ".join(edited(words, rng, kind))]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    kept = {r.doc_id for r in simhash.one_per_group(df).collect()}
+    assert {2 * i for i in range(60)} <= kept
+    expected = {2 * i + 1 for i in range(60) if similarity(rows[2 * i], rows[2 * i + 1]) < 0.8}
+    # One pair in 10,000 may not meet.
+    assert len(kept) - 60 - len(expected) <= 1
