@@ -1,15 +1,13 @@
-"""Benchmark passages in documents: SimHash over item-sized windows. DataFrame functions only.
-
-A benchmark item of L words is compared with document windows of L words. A window's SimHash is
-taken over its words; items of the same length within ``radius`` bits are found through a
-multi-index: the 64 bits are cut into radius + 1 blocks, and two fingerprints within the radius
-agree in at least one. Who meets in a block is verified by Hamming distance and then by the exact
-similarity of the weighted word shingles, sum of least over sum of largest counts.
-
-Windows that cannot pass are never made: at similarity t a window of m shingles shares one of its
-first floor(m (1 - t) / (1 + t)) + 1 shingles with the item. So windows start only at or that
-little before a shingle of the benchmark. Those are found with a Bloom filter of fixed size, held
-as a literal, and confirmed by an ordinary join.
+"""Benchmark passages in documents: exact similarity over item-sized windows. DataFrame functions only.
+
+A benchmark item of L words is compared with document windows of L words, by the weighted word
+shingles: sum of least over sum of largest counts. Only shingles that document and item share count
+towards the similarity, so it is worked out from those alone. They are found with a Bloom filter
+of fixed size, held as a literal, and confirmed by an ordinary join.
+
+A window passes at similarity t only if it holds t (a + b) / (1 + t) shared shingles, where a and b
+are the numbers of its shingles and the item's. The windows that hold so many are scored, all others
+are below t: no passage is lost.
 """
 
 from __future__ import annotations
@@ -23,9 +21,6 @@ from folioflow.llm.common import session
 from folioflow.session import cut_lineage
 
 _SEPARATORS = r"[^\p{L}\p{M}\p{N}]+"
-# Counters per fingerprint: 16 numbers of 4 counters with 16 bits each.
-_LANES = 16
-_SPREAD = [sum(((v >> k) & 1) << (16 * k) for k in range(4)) for v in range(16)]
 _PROBES = 3
 
 
@@ -67,41 +62,19 @@ def _in_filter(h: Column, held: Column, bits: int) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def _fingerprints(windows: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, n, fp`` for rows of ``keys`` and an array ``words``."""
-    spread = F.split(F.lit(",".join(map(str, _SPREAD))), ",").cast("array<bigint>")
-    each = windows.select(*keys, F.explode("words").alias("w"))
-    nibble = [F.shiftrightunsigned("w", 4 * n).bitwiseAND(F.lit(15)).cast("int") for n in range(_LANES)]
-    counted = each.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), *(F.sum(F.get(spread, c)).alias(f"lane{n}") for n, c in enumerate(nibble)))
-    bits = []
-    for b in range(64):
-        count = F.shiftrightunsigned(f"lane{b // 4}", 16 * (b % 4)).bitwiseAND(F.lit(0xFFFF))
-        mask = (1 << b) - (1 << 64) if b == 63 else 1 << b
-        bits.append(F.when(count * 2 > F.col("n"), F.lit(mask).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-    return counted.select(*keys, "n", reduce(lambda x, y: x.bitwiseOR(y), bits).alias("fp"))
-
-
-def _blocks(fp: Column, radius: int) -> Column:
-    """The radius + 1 blocks of a fingerprint, each with its number."""
-    edges = [64 * n // (radius + 1) for n in range(radius + 2)]
-    return F.array(*(
-        F.struct(F.lit(n).alias("no"), F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("value"))
-        for n, (a, b) in enumerate(zip(edges, edges[1:]))
-    ))
-
-
-def _counted(hashes: Column) -> Column:
-    """Each hash mixed with its occurrence number: a multiset as a set. ``hashes`` must be a column."""
-    return F.transform(hashes, lambda h, i: F.xxhash64(h, F.size(F.filter(F.slice(hashes, F.lit(1), i), lambda x: x == h))))
-
-
-def _shingles_of(words: Column, width: Column) -> Column:
-    """As ``shingles``, with a width per row."""
-    return F.transform(F.sequence(F.lit(0), F.size(words) - width), lambda i: F.xxhash64(F.slice(words, i + 1, width)))
+def _similarity(shared: Column, start: Column, own: Column, item: Column) -> Column:
+    """Of the window whose first of ``own`` shingles is at ``start`` with an item of ``item`` shingles.
+    ``shared`` is an array of ``pos, h, n``, n being the count in the item."""
+    inside = F.filter(shared, lambda x: (x["pos"] >= start) & (x["pos"] < start + own))
+    hashes = F.transform(inside, lambda x: x["h"])
+    repeats = F.aggregate(
+        F.array_distinct(F.transform(inside, lambda x: F.struct(x["h"].alias("h"), x["n"].alias("n")))), F.lit(0).cast("bigint"),
+        lambda sum_, x: sum_ + F.least(F.size(F.filter(hashes, lambda h: h == x["h"])), x["n"]))
+    common = F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.size(hashes).cast("bigint")).otherwise(repeats)
+    return common / (own + item - common)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 12,
+def matches(docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity: float = 0.8,
             filter_bits: int = 19, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
             item_text_col: str = "text") -> DataFrame:
     """``doc_id, content, item_id, similarity, start_word, n_words``: the best window per row and item.
@@ -109,23 +82,25 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity: f
     ``content`` is the SHA-256 of the text. Words are compared in lower case without punctuation.
     Items with fewer words than ``width`` are one shingle; items without a word, and null texts,
     match nothing. A document shorter than an item is one window. Rows that repeat an id and text
-    give one row each; of equally similar windows the first is shown. Items of more than 65,535
-    words are not supported.
+    give one row each; of equally similar windows the first is shown. Items may have any length.
     """
     session(docs.sparkSession)
     items = cut_lineage(
         benchmark.select(F.col(item_col).alias("item_id"), word_hashes(F.col(item_text_col)).alias("item_words"))
         .filter(F.size("item_words") > 0)
         .withColumn("length", F.size("item_words")).withColumn("width", F.least(F.lit(width), F.col("length")))
+        .withColumn("item", F.monotonically_increasing_id())
     )
     # At most ``width`` numbers.
     widths = sorted(r.width for r in items.select("width").distinct().collect()) or [width]
     parts = [
-        items.filter(F.col("width") == w).select("length", F.explode(shingles(F.col("item_words"), w)).alias("h"))
+        items.filter(F.col("width") == w).select(
+            "item", "item_id", "length", "width", F.explode(shingles(F.col("item_words"), w)).alias("h"))
         for w in widths
     ]
-    item_shingles = cut_lineage(reduce(DataFrame.unionByName, parts).distinct())
-    held = _filter_literal(item_shingles, filter_bits)
+    item_shingles = cut_lineage(reduce(DataFrame.unionByName, parts).groupBy(
+        "item", "item_id", "length", "width", "h").agg(F.count(F.lit(1)).alias("n")))
+    held = _filter_literal(item_shingles.select("h").distinct(), filter_bits)
 
     hashed = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), word_hashes(F.col(text_col)).alias("words"))
@@ -142,45 +117,31 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity: f
     anchored = cut_lineage(anchored.filter(F.size("anchors") > 0).select(
         "row", "doc_id", F.sha2("text", 256).alias("content"), "words", "anchors"))
 
-    shared = (1.0 - similarity) / (1.0 + similarity)
+    # Windows of a text shorter than the item are the whole text.
     at = anchored.select("row", F.size("words").alias("size"), F.inline("anchors")).join(item_shingles, "h")
-    span = F.least("length", "size")
-    slack = F.floor((span - F.least(F.lit(width), F.col("length")) + 1) * F.lit(shared)).cast("int")
-    first = F.greatest(F.lit(0), F.col("pos") - slack)
-    last = F.least(F.col("pos"), F.col("size") - span)
-    starts = F.sequence(F.least(first, last), last)
-    # A window near the end of a text starts where it still has its length.
-    windows = at.select("row", "length", span.alias("span"), F.explode(starts).alias("start")).distinct()
-    texts = anchored.select("row", "words")
-    cut = windows.join(texts, "row").select(
-        "row", "length", "start", F.expr("slice(words, start + 1, span)").alias("words"))
-    prints = cut_lineage(_fingerprints(cut, ["row", "length", "start"]))
-
-    item_prints = cut_lineage(_fingerprints(
-        items.select("item_id", "length", F.col("item_words").alias("words")), ["item_id", "length"]).drop("n"))
-    left = prints.select("length", "fp").distinct().select("length", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("block"))
-    right = item_prints.select(
-        "item_id", "length", F.col("fp").alias("item_fp"), F.explode(_blocks(F.col("fp"), radius)).alias("block"))
-    near = left.join(right, ["length", "block"]).filter(
-        F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select("length", "fp", "item_id").distinct()
-
-    candidates = prints.join(near, ["length", "fp"]).select("row", "length", "start", "n", "item_id")
-    paired = candidates.join(texts, "row").join(items.select("item_id", "item_words", "width"), "item_id").select(
-        "row", "item_id", "start", "n", F.expr("slice(words, start + 1, n)").alias("own"), "item_words",
-        F.least("width", "n").cast("int").alias("w"))
-    shingled = paired.select("row", "item_id", "start", "n",
-                             _shingles_of(F.col("own"), F.col("w")).alias("own"), _shingles_of(F.col("item_words"), F.col("w")).alias("item"))
-    both = shingled.select("row", "item_id", "start", "n",
-                           _counted(F.col("own")).alias("a"), _counted(F.col("item")).alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    scored = both.select("row", "item_id", "start", "n", (common / (F.size("a") + F.size("b") - common)).alias("similarity"))
-    # Filtered above the aggregate, for the same reason.
-    best = scored.groupBy("row", "item_id").agg(
-        F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n")).alias("best"),
-    ).filter(F.col("best.similarity") >= similarity)
+    grouped = at.groupBy("row", "item", "item_id", "length", "width", "size").agg(
+        F.sort_array(F.collect_set(F.struct("pos", "h", "n"))).alias("shared"))
+    own = (F.least("length", "size") - F.col("width") + 1).alias("own")
+    item = (F.col("length") - F.col("width") + 1).alias("item_shingles")
+    counted = grouped.select("row", "item", "item_id", "size", F.least("length", "size").alias("span"), "shared", own, item).withColumn(
+        "least", F.ceil((F.col("own") + F.col("item_shingles")) * F.lit(similarity / (1.0 + similarity)) - 1e-6).cast("int"))
+    counted = counted.withColumn("least", F.greatest("least", F.lit(1)))
+    enough = cut_lineage(counted.filter((F.col("own") > 0) & (F.size("shared") >= F.col("least"))))
+    # Every run of ``least`` shared shingles that fits a window, and the windows that hold it.
+    position = lambda i: F.get("shared", i)["pos"]
+    runs = F.transform(F.sequence(F.lit(0), F.size("shared") - F.col("least")), lambda i: F.struct(
+        F.greatest(F.lit(0), position(i + F.col("least") - 1) - F.col("own") + 1).alias("first"),
+        F.least(position(i), F.col("size") - F.col("span")).alias("last")))
+    starts = F.array_distinct(F.flatten(F.transform(
+        F.filter(runs, lambda r: r["first"] <= r["last"]), lambda r: F.sequence(r["first"], r["last"]))))
+    started = cut_lineage(enough.withColumn("starts", starts))
+    scores = F.transform("starts", lambda s: F.struct(
+        _similarity(F.col("shared"), s, F.col("own"), F.col("item_shingles")).alias("similarity"), (-s).alias("before")))
+    best = cut_lineage(started.select("row", "item_id", "span", F.array_max(scores).alias("best"))).filter(
+        F.col("best.similarity") >= similarity)
     return best.join(anchored.select("row", "doc_id", "content"), "row").select(
         "doc_id", "content", "item_id", "best.similarity", (-F.col("best.before")).alias("start_word"),
-        F.col("best.n").alias("n_words"))
+        F.col("span").cast("bigint").alias("n_words"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
