@@ -35,3 +35,13 @@ def test_repeated_shingles_count_as_often_as_in_the_item(spark):
                        spark.createDataFrame(items, "item_id bigint, text string")).collect()
     near = plain(docs, items)
     assert near and {(r.doc_id, r.item_id): r.similarity for r in found} == pytest.approx(near)
+
+
+def test_items_of_more_than_65535_words(spark):
+    words = [f"w{i}" for i in range(70_000)]
+    text = " ".join(["other"] * 9 + words[9:])
+    found = dc.matches(spark.createDataFrame([(1, text), (2, text[:900])], "doc_id bigint, text string"),
+                       spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")).collect()
+    assert [(r.doc_id, r.start_word, r.n_words) for r in found] == [(1, 0, 70_000)]
+    # 69,996 shingles each, of which the first 9 differ.
+    assert found[0].similarity == pytest.approx(69_987 / (2 * 69_996 - 69_987))
