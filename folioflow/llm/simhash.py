@@ -9,12 +9,9 @@ fingerprint to the one before it in its variant loses no connection.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -106,209 +103,40 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_col: st
     return fps.join(labels, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-# For groups by similarity: a longer fingerprint of word pairs, kept as PARTS numbers.
-PARTS, PART_BITS = 5, 36
-_PAIR_WORDS = 2
-_MIXES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-# Bits of PARTS * PART_BITS that two texts of similarity 0.8 do not exceed: they differ in about 27
-# (0.15 of them, for a replaced run of words), give or take 5; unlike texts differ in half of them.
-NEAR_BITS = 54
-# Where texts meet: BANDS keys of BAND_ROWS least hashes each. Two texts of similarity s share a key
-# with probability 1 - (1 - s ** BAND_ROWS) ** BANDS, 0.9999 at 0.8, however they were edited.
-BANDS, BAND_ROWS = 30, 6
-_HASH_SEEDS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64)
-# Buckets up to this size are compared row by row at once.
-_SMALL = 8
+def one_of_each(docs: DataFrame, words: int = 3, radius: int = 2, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay when each component of near-duplicates keeps one, with all columns.
 
+    Components are those of ``near_duplicates``. The row with the smallest id stays; rows with a null
+    id come last, ties go to the smaller digest of the text and then of the row. Equal texts, all null
+    and empty ones among them, are in one component.
 
-def _mixed(hashes: np.ndarray, factor: np.uint64) -> np.ndarray:
-    x = (hashes ^ (hashes >> np.uint64(31))) * factor
-    x = (x ^ (x >> np.uint64(29))) * factor
-    return x ^ (x >> np.uint64(32))
-
-
-def sketch(text: bytes) -> list[int]:
-    """``PARTS`` numbers of ``PART_BITS`` bits: the SimHash of the text's word pairs."""
-    hashes = shingle_hashes(text, _PAIR_WORDS)
-    whole = sum((majority(_mixed(hashes, f)) % (1 << BITS)) << (BITS * n) for n, f in enumerate(_MIXES))
-    return [whole >> (PART_BITS * n) & ((1 << PART_BITS) - 1) for n in range(PARTS)]
-
-
-def bands(text: bytes, words: int) -> np.ndarray:
-    """``BANDS`` keys of the text's shingles, each shingle mixed with its occurrence number, so that
-    the share of common elements is the weighted similarity. Texts without a word have the same keys."""
-    hashes = np.sort(shingle_hashes(text, words))
-    first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1]))[:len(hashes)])
-    nth = np.arange(len(hashes)) - np.repeat(first, np.diff(np.append(first, len(hashes))))
-    hashes = _mixed(hashes + nth.astype(np.uint64) * _MIXES[2], _MIXES[0])
-    factor, offset = _HASH_SEEDS[0][:, None] | np.uint64(1), _HASH_SEEDS[1][:, None]
-    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 512):
-        least = np.minimum(least, (hashes[None, at:at + 512] * factor + offset).min(axis=1))
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for row in least.reshape(BANDS, BAND_ROWS).T:
-        keys = _mixed(keys ^ row, _MIXES[1])
-    return keys.view(np.int64)
-
-
-def _distances(parts: np.ndarray, row: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(parts ^ row).sum(axis=1)
-
-
-def _middle(parts: np.ndarray) -> int:
-    """The row nearest to the majority of the rows' bits: the original among its copies."""
-    shifts = np.arange(PART_BITS, dtype=np.int64)
-    majority_ = [(((parts[:, n, None] >> shifts & 1).mean(axis=0) > 0.5) << shifts).sum() for n in range(PARTS)]
-    return int(_distances(parts, np.array(majority_, np.int64)).argmin())
-
-
-def _compared(parts: np.ndarray, roots: np.ndarray | None) -> Iterator[tuple[int, np.ndarray]]:
-    """A row and rows within NEAR_BITS of it. Without roots: all pairs of a small bucket, of a larger
-    one the first and the middle row with all. With roots: all pairs of different roots."""
-    n = len(parts)
-    if roots is None and n > _SMALL:
-        for i in {0, _middle(parts)}:
-            near = np.flatnonzero(_distances(parts, parts[i]) <= NEAR_BITS)
-            yield i, near[near != i]
-        return
-    for i in range(1, n):
-        others = np.arange(i) if roots is None else np.flatnonzero(roots[:i] != roots[i])
-        yield i, others[_distances(parts[others], parts[i]) <= NEAR_BITS]
-
-
-def _bucket_pairs(met: DataFrame) -> DataFrame:
-    """Candidate pairs ``a, b``, a before b, from rows ``key, node, parts`` or ``key, node, parts,
-    root``: see ``_compared``. A task holds one bucket at a time, seven numbers a row."""
-    rooted = "root" in met.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def pairs() -> Iterator[pa.RecordBatch]:
-            nodes, parts = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            roots = np.concatenate([h[2] for h in held]) if rooted else None
-            for i, others in _compared(parts, roots):
-                if len(others):
-                    a, b = nodes[others], np.full(len(others), nodes[i])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-        current = None
-        for batch in batches:
-            keys, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            parts = batch.column(2).flatten().to_numpy().reshape(-1, PARTS)
-            roots = batch.column(3).to_numpy() if rooted else nodes
-            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-            for at, to in zip(edges, edges[1:]):
-                if at == to:
-                    continue
-                if held and keys[at] != current:
-                    yield from pairs()
-                    held.clear()
-                current = keys[at]
-                held.append((nodes[at:to], parts[at:to], roots[at:to]))
-        if held:
-            yield from pairs()
-
-    columns = ["key", "node", "parts", *(["root"] if rooted else [])]
-    ordered = met.repartition("key").sortWithinPartitions("key", "node").select(*columns)
-    return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def weighted_similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Sum of least over sum of largest counts of two lists of shingle hashes."""
-    if not len(a) and not len(b):
-        return 1.0
-    found, counts = np.unique(np.concatenate((a, b)), return_inverse=True)
-    left = np.bincount(counts[:len(a)], minlength=len(found))
-    right = np.bincount(counts[len(a):], minlength=len(found))
-    return float(np.minimum(left, right).sum() / np.maximum(left, right).sum())
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs whose texts are similar enough, by their weighted word shingles."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A leader's text comes many times.
-        hashes = lru_cache(16)(lambda text: shingle_hashes(text, words))
-        for batch in batches:
-            left, right = (batch.column(n).cast(pa.binary()).to_pylist() for n in (2, 3))
-            held = [
-                weighted_similarity(hashes(x), hashes(y)) >= similarity
-                for x, y in zip(left, right)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(held, pa.bool_()))
-
-    first = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
-    second = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
-    both = pairs.join(first, "a").join(second, "b").select("a", "b", "left", "right")
-    return both.mapInArrow(run, "a bigint, b bigint")
-
-
-def one_per_group(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay when each group of near-duplicates keeps one, with all columns.
-
-    Texts are linked if the similarity of their weighted ``words``-word shingles is at least
-    ``similarity``; groups are what hangs together by links, and the row with the smallest id stays
-    (rows with a null id come last, ties by the whole row). Equal texts, all null and empty ones
-    among them, are one group.
-
-    Candidates share one of BANDS keys and have SimHashes within NEAR_BITS; texts decide. Of a bucket
-    of many rows the first and the middle row are held against all; then all pairs whose rows do not
-    hang together yet, so no row is passed over because it resembles another.
+    Ids, digests and fingerprints move; texts only of rows that are not alone in their component.
     """
     spark = session(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), text.alias("text"),
-                       F.sha2(text, 256).alias("content"))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(whole.alias("row"), F.col(id_col).alias("id"), text.alias("text"), F.sha2(text, 256).alias("content"))
 
     def run(texts: list[bytes]) -> dict:
-        return {"parts": pa.array([sketch(t) for t in texts], pa.list_(pa.int64())),
-                "keys": pa.array([bands(t, words) for t in texts], pa.list_(pa.int64()))}
-
-    # Only ids, digests and fingerprints move, until it is known which texts are concerned.
-    sketches = cut_lineage(map_texts(rows.select("id", "content", "text"), run, "parts array<bigint>, keys array<bigint>", as_bytes=True))
-    unlike = sketches.groupBy("content").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("first"), F.any_value("parts").alias("parts"),
-        F.any_value("keys").alias("keys"), (F.count(F.lit(1)) > 1).alias("repeated"))
-    # Numbered in the order of the ids, so that the least number is the row that stays.
-    order = ["first", "content"]
-    held = cut_lineage(unlike.repartitionByRange(*order).sortWithinPartitions(*order).select(
-        F.monotonically_increasing_id().alias("node"), "content", F.col("first.id").alias("first_id"), "parts", "keys", "repeated"))
-
-    keys = held.select("node", F.explode("keys").alias("key"))
-    bucket = Window.partitionBy("key").orderBy("node")
-    shared = keys.withColumn("before", F.lag("node").over(bucket)).withColumn("after", F.lead("node").over(bucket))
-    met = cut_lineage(shared.filter("before IS NOT NULL OR after IS NOT NULL").select("key", "node"))
-    parts = held.select("node", "parts")
-    pairs = cut_lineage(_bucket_pairs(met.join(parts, "node")))
-
-    def among(contents: DataFrame) -> Column:
-        """Whether a row's text may be one of these: the other rows need no join."""
-        filter_ = bloom.build(contents.select(F.xxhash64("content").alias("h")))
-        return bloom.member(filter_, F.xxhash64("content"), spark.sparkContext)
+        return {"fp": np.fromiter((majority(shingle_hashes(t, words)) for t in texts), np.int64, len(texts))}
 
-    wanted = cut_lineage(met.select("node").distinct().join(held.select("node", "content", "first_id"), "node"))
-    near = rows.select("id", "text", "content").filter(among(wanted))
-    texts = cut_lineage(near.join(wanted, "content").filter(F.col("id").eqNullSafe(F.col("first_id"))).select(
-        "node", "text").dropDuplicates(["node"]))
-    links_ = cut_lineage(_verified(pairs, texts, words, similarity))
-    roots = components(links_)
-    apart = cut_lineage(met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    mixed = apart.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("largest"),
-    ).filter((F.col("n") > _SMALL) & (F.col("least") < F.col("largest"))).select("key")
-    rest = cut_lineage(
-        _bucket_pairs(apart.join(mixed, "key").join(parts, "node")).join(pairs, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        roots = components(links_.unionByName(cut_lineage(_verified(rest, texts, words, similarity))))
-    gone = roots.select("node", F.lit(True).alias("gone"))
+    found = map_texts(rows.select("id", "content", "text"), run, "fp bigint", as_bytes=True)
+    unlike = cut_lineage(found.groupBy("content").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("first"),
+        F.any_value("fp").alias("fp"), (F.count(F.lit(1)) > 1).alias("repeated")))
+    roots = components(links(unlike, radius)).select(F.col("node").alias("fp"), "root")
+    rooted = unlike.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    kept = rooted.groupBy("root").agg(
+        F.min(F.struct("first", "content")).alias("kept"), (F.count(F.lit(1)) > 1).alias("many"))
     touched = cut_lineage(
-        held.select("node", "content", "repeated").join(gone, "node", "left")
-        .filter("repeated OR gone").select("content", F.coalesce("gone", F.lit(False)).alias("gone")))
+        rooted.join(kept, "root").filter("repeated OR many")
+        .select("content", (F.col("content") != F.col("kept.content")).alias("gone")))
 
-    test = among(touched)
+    filter_ = bloom.build(touched.select(F.xxhash64("content").alias("h")))
+    test = bloom.member(filter_, F.xxhash64("content"), spark.sparkContext)
+    stays = rows.drop("text").withColumn("concerned", test)
     first = Window.partitionBy("content").orderBy(F.col("id").asc_nulls_last(), F.xxhash64("row"))
-    concerned = rows.drop("text").filter(test).join(touched, "content", "left").filter("gone IS NULL OR NOT gone")
-    kept = concerned.withColumn("nth", F.row_number().over(first)).filter("nth = 1")
-    return rows.filter(~test).select("row.*").unionByName(kept.select("row.*"))
+    left = stays.filter("concerned").join(touched, "content", "left").filter("gone IS NULL OR NOT gone")
+    left = left.withColumn("nth", F.row_number().over(first)).filter("nth = 1")
+    return stays.filter("NOT concerned").select("row.*").unionByName(left.select("row.*"))

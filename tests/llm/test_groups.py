@@ -1,4 +1,4 @@
-"""One document per group, against a plain version over all pairs."""
+"""One document of each SimHash component, against a plain version over all pairs."""
 
 import random
 
@@ -7,86 +7,80 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioflow.llm import bloom, simhash
+from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 
-def plain_similarity(a, b):
-    return simhash.weighted_similarity(*(simhash.shingle_hashes((t or "").encode(), 5) for t in (a, b)))
-
-
-def edited(words, rng, n):
-    words = list(words)
-    for at in rng.sample(range(len(words)), n):
-        words[at] = f"new{rng.randrange(10**6)}"
-    return words
+def plain_kept(rows):
+    """Ids that stay: of each component the least id, nulls last, ties by text."""
+    fps = [plain_fingerprint(r.text, 3) for r in rows]
+    # Components under numbers of their own, so that rows without an id count as well.
+    parts = plain_components([(n, fp) for n, fp in enumerate(fps)], 2)
+    kept = {}
+    for part, r in zip(parts, rows):
+        key = (r.doc_id is None, r.doc_id or 0)
+        kept[part] = min(key, kept.get(part, key))
+    return sorted((None if none else i for none, i in kept.values()), key=repr)
 
 
 @pytest.fixture(scope="module")
 def copies(spark):
-    """A base with 60 near copies, pairs of near copies, exact copies, and texts of their own."""
+    """A long base with 60 near copies, its original last; pairs, exact copies, texts of their own."""
     rng = random.Random(11)
     vocabulary = [f"w{i}" for i in range(3000)]
-    rows, number = [], 0
+    rows = []
 
-    def add(words, kind):
-        nonlocal number
-        number += 1
-        rows.append((number, " ".join(words), kind))
+    def add(words):
+        rows.append((len(rows) + 1, " ".join(words)))
 
-    base = rng.choices(vocabulary, k=300)
-    add(base, "hot")
+    base = rng.choices(vocabulary, k=3000)
     for _ in range(60):
-        add(edited(base, rng, rng.randint(1, 4)), "hot")
-    for g in range(20):
-        own = rng.choices(vocabulary, k=200)
-        add(own, f"pair{g}")
-        add(edited(own, rng, 2), f"pair{g}")
-    for g in range(10):
+        near = list(base)
+        near[rng.randrange(len(near))] = f"new{rng.randrange(10**6)}"
+        add(near)
+    add(base)
+    for _ in range(10):
         own = rng.choices(vocabulary, k=50)
-        add(own, f"same{g}")
-        add(own, f"same{g}")
-    for g in range(40):
-        add(rng.choices(vocabulary, k=rng.randint(1, 300)), f"own{g}")
-    return spark.createDataFrame(rows, "doc_id bigint, text string, content string")
-
-
-def test_groups_keep_their_first(copies):
-    kept = simhash.one_per_group(copies).collect()
-    rows = copies.collect()
-    firsts = {}
-    for r in rows:
-        firsts.setdefault(r.content, r.doc_id)
-    ids = {r.doc_id for r in kept}
-    assert set(firsts.values()) <= ids
-    # Candidates are found with a probability that is high, not certain.
-    assert len(ids) - len(firsts) <= 2
-    for r in kept:
-        assert r.text == next(x.text for x in rows if x.doc_id == r.doc_id)
-
-
-def test_clean_texts_stay(copies, documents):
-    own = copies.filter(F.col("content").startswith("own"))
-    assert simhash.one_per_group(own).count() == own.count()
-    kept = {r.doc_id for r in simhash.one_per_group(documents).collect()}
-    rows = {r.doc_id: r.text for r in documents.collect()}
-    for gone in set(rows) - kept:
-        assert any(plain_similarity(rows[gone], t) >= 0.8 for d, t in rows.items() if d != gone)
-    assert not any(
-        rows[a] == rows[b] for a in kept for b in kept if a < b)
+        add(own)
+        add(own)
+    for _ in range(40):
+        add(rng.choices(vocabulary, k=rng.randint(1, 300)))
+    return spark.createDataFrame(rows, "doc_id bigint, text string")
+
+
+def ids(df):
+    return sorted((r.doc_id for r in df.collect()), key=repr)
+
+
+def test_copies(copies):
+    expected = plain_kept(copies.collect())
+    assert ids(simhash.one_of_each(copies)) == expected
+    assert len(expected) < copies.count() - 40
+
+
+def test_documents(documents):
+    kept = simhash.one_of_each(documents)
+    assert kept.columns == documents.columns
+    assert ids(kept) == plain_kept(documents.collect())
+    assert kept.exceptAll(documents).count() == 0
 
 
 def test_odd_rows(odd_docs, no_docs):
-    kept = simhash.one_per_group(odd_docs)
+    kept = simhash.one_of_each(odd_docs)
     assert kept.columns == odd_docs.columns
-    ids = sorted((r.doc_id for r in kept.collect()), key=repr)
-    # The empty and the null text are one group, as are the repeated rows and the two long texts.
-    assert ids.count(None) == 1 and ids.count(7) == 1 and 2 in ids and 3 not in ids and 5 in ids and 6 not in ids
-    assert simhash.one_per_group(no_docs).count() == 0
+    assert ids(kept) == plain_kept(odd_docs.collect())
+    assert simhash.one_of_each(no_docs).count() == 0
+
+
+def test_odd_column_names(documents):
+    odd = documents.withColumn("a.b", F.lit(1)).withColumn("a b`c", F.lit("x")).withColumn("row", F.lit(2))
+    odd = odd.withColumnRenamed("a b`c", "fp")
+    assert sorted(simhash.one_of_each(odd).columns) == sorted(odd.columns)
 
 
 def test_full_filters_change_nothing(copies, monkeypatch):
-    expected = sorted(r.doc_id for r in simhash.one_per_group(copies).collect())
+    expected = ids(simhash.one_of_each(copies))
     monkeypatch.setattr(bloom, "build", lambda hashes: np.full(1024, 2**64 - 1, np.uint64))
-    assert sorted(r.doc_id for r in simhash.one_per_group(copies).collect()) == expected
+    assert ids(simhash.one_of_each(copies)) == expected
 
 
 def test_filter_holds_all_it_was_built_from(spark):
