@@ -25,8 +25,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates: five-word shingles, similarity 0.8."""
-    return simhash.one_per_group(docs.select(*COLUMNS))
+    """One document of every group of near-duplicates: three-word shingles, fingerprints within two bits."""
+    return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
