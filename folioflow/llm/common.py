@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioflow.session import configure
 
@@ -34,6 +34,11 @@ def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *oth
     )
 
 
+def whole(docs: DataFrame) -> Column:
+    """All columns of a row as one struct, whatever their names."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns))
+
+
 def map_texts(docs: DataFrame, fn: Callable[[list], dict], schema: str, text_col: str = "text",
               as_bytes: bool = False) -> DataFrame:
     """Replace the text by columns worked out from it; all other columns stay in front.

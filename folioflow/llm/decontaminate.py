@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folioflow.llm.common import session
+from folioflow.llm.common import session, whole
 from folioflow.session import cut_lineage
 
 _SEPARATORS = r"[^\p{L}\p{M}\p{N}]+"
@@ -151,5 +151,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **optio
     be null or repeated.
     """
     found = cut_lineage(matches(docs, benchmark, text_col=text_col, **options).select(F.col("content").alias("leaked")).distinct())
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.sha2(F.col(text_col), 256).alias("content"))
+    rows = docs.select(whole(docs).alias("row"), F.sha2(F.col(text_col), 256).alias("content"))
     return rows.join(found, F.col("content") == F.col("leaked"), "left_anti").select("row.*")

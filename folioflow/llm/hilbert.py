@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
-from folioflow.llm.common import session
+from folioflow.llm.common import session, whole
 from folioflow.session import cut_lineage
 
 LAWS = ("rows", "bytes")
@@ -96,7 +96,7 @@ def shard(docs: DataFrame, dimensions: list[str], shards: int = 8, law: str = "r
     session(docs.sparkSession)
     size = (F.octet_length(F.coalesce(F.col(text_col), F.lit(""))) + 1).cast("bigint")
     packed = docs.select(
-        F.struct(*docs.columns).alias("row"), size.alias("size"), F.col(id_col).alias("id"),
+        whole(docs).alias("row"), size.alias("size"), F.col(id_col).alias("id"),
         F.xxhash64(text_col).alias("tie"), *(F.col(d).alias(f"d{i}") for i, d in enumerate(dimensions)),
     )
     keyed = with_curve_index(packed, [f"d{i}" for i in range(len(dimensions))], bits, "curve")
@@ -109,11 +109,11 @@ def shard(docs: DataFrame, dimensions: list[str], shards: int = 8, law: str = "r
     )
     laid = cut_lineage(ordered)
     # One row per task of the sort: all that is ever looked at together.
-    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = cut_lineage(
         laid.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"))
-        .select("part", F.coalesce(F.sum("rows").over(whole), F.lit(0)).alias("rows_before"),
-                F.coalesce(F.sum("bytes").over(whole), F.lit(0)).alias("bytes_before"))
+        .select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
+                F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes_before"))
     )
     total = laid.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
     ranked = laid.join(parts, "part").withColumn("rank", F.col("rows_before") + F.col("pos"))

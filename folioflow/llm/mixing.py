@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folioflow.llm.common import session
+from folioflow.llm.common import session, whole
 from folioflow.session import cut_lineage
 
 # A rate is drawn as the sum of independent Poisson parts of at most this mean: exp(-mean) stays
@@ -86,7 +86,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, temperature: float =
     table = cut_lineage(rates(docs, weights, temperature, epochs, source_col, text_col).select(
         F.col("source").alias("rate_source"), "rate"))
     packed = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(source_col).alias("own_source"), F.concat_ws(":", *identity).alias("identity"))
+        whole(docs).alias("row"), F.col(source_col).alias("own_source"), F.concat_ws(":", *identity).alias("identity"))
     rated = packed.join(table, F.col("own_source").eqNullSafe(F.col("rate_source")))
     drawn = rated.select("row", "identity", copies(F.col("rate"), seed, F.col("identity")).alias("n")).filter("n > 0")
     repeated = drawn.select("row", "identity", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))

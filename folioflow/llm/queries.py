@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioflow.llm import decontaminate, hilbert, html_extract, line_dedup, mixing, perplexity, quality, secret_scan, simhash, token_blocks
+from folioflow.llm import decontaminate, hilbert, html_extract, line_dedup, mixing, perplexity, prefix_trie, quality, secret_scan, simhash, token_blocks
 from folioflow.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,47 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = perplexity.judge(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *perplexity.COUNTS, "base_failed", "kept", "lang", "bits")
+
+
+@_query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefix_trie.with_shared_heads(prefix_trie.turns(_table(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(convs).drop("node")
+
+
+_CRC32 = """xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda x: ascii(x)::BIGINT)),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))))"""
+ORACLES["op12_prefix_trie"] = f"""
+WITH said AS (
+    SELECT conv_id, turn, sha256(len(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS key,
+        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS words
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, list(key ORDER BY turn NULLS FIRST, left(key, 32)) AS keys, list(words ORDER BY turn NULLS FIRST, left(key, 32)) AS words,
+        any_value({_CRC32.format("conv_id::VARCHAR")} % 4) AS h
+    FROM said GROUP BY conv_id
+), built AS (
+    SELECT c.conv_id, list_concat(coalesce(b.keys[1:c.h], []), c.keys[c.h + 1:]) AS keys,
+        list_concat(coalesce(b.words[1:c.h], []), c.words[c.h + 1:]) AS words
+    FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 20
+), steps AS (
+    SELECT *, unnest(range(0, len(keys) + 1)) AS depth FROM built
+), nodes AS (
+    SELECT array_to_string(keys[1:depth], '') AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        any_value(CASE WHEN depth > 0 THEN words[depth] ELSE 0 END) AS own,
+        sha256(coalesce(string_agg(CASE WHEN depth = len(keys) THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+    FROM steps GROUP BY 1, 2
+), linked AS (
+    SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.node = left(n.node, 64 * (n.depth - 1)::INT)
+), children AS (
+    SELECT left(node, 64 * (depth - 1)::INT) AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), above AS (
+    SELECT n.n_convs, n.own, (c.node IS NULL)::INT AS leaf, left(n.node, 64 * k::INT) AS node
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM nodes) n LEFT JOIN children c ON c.node = n.node
+), below AS (
+    SELECT node, sum(leaf)::BIGINT AS n_leaves, sum((n_convs - 1) * own)::BIGINT AS saved_tokens FROM above GROUP BY node
+)
+SELECT l.conv_id, l.depth, l.parent_conv_id, l.n_convs, coalesce(c.n_children, 0) AS n_children, b.n_leaves, b.saved_tokens, l.ends_sha256
+FROM linked l LEFT JOIN children c ON c.node = l.node JOIN below b ON b.node = l.node
+"""

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from folioflow.llm import bloom
-from folioflow.llm.common import map_texts, narrow, session
+from folioflow.llm.common import map_texts, narrow, session, whole
 from folioflow.llm.graph import components
 from folioflow.session import cut_lineage
 
@@ -115,8 +115,7 @@ def one_of_each(docs: DataFrame, words: int = 3, radius: int = 2, id_col: str =
     """
     spark = session(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    rows = docs.select(whole.alias("row"), F.col(id_col).alias("id"), text.alias("text"), F.sha2(text, 256).alias("content"))
+    rows = docs.select(whole(docs).alias("row"), F.col(id_col).alias("id"), text.alias("text"), F.sha2(text, 256).alias("content"))
 
     def run(texts: list[bytes]) -> dict:
         return {"fp": np.fromiter((majority(shingle_hashes(t, words)) for t in texts), np.int64, len(texts))}
