@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioflow.llm import decontaminate, hilbert, html_extract, line_dedup, mixing, perplexity, prefix_trie, quality, secret_scan, simhash, token_blocks
+from folioflow.llm import collocations, decontaminate, hilbert, html_extract, line_dedup, mixing, perplexity, prefix_trie, quality, secret_scan, simhash, token_blocks
 from folioflow.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,6 +165,48 @@ def op9_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *perplexity.COUNTS, "base_failed", "kept", "lang", "bits")
 
 
+@_query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces
+), starts AS (
+    SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM split
+), spans AS (
+    SELECT lang, words[i:i + m - 1] AS w FROM starts, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= len(words)
+), f AS (
+    SELECT lang, w, count(*) AS f FROM spans GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(w) = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, w, f AS a FROM f WHERE len(w) > 1 AND f >= 30
+), cuts AS (
+    SELECT c.*, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, len(w))) AS k FROM candidates) c
+    JOIN f x ON x.lang = c.lang AND x.w = c.w[1:k] JOIN f y ON y.lang = c.lang AND y.w = c.w[k + 1:]
+), scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1
+), within AS (
+    SELECT lang, w[i:i + m - 1] AS w, max(a) AS longer
+    FROM (SELECT *, unnest(range(1, len(w))) AS i FROM candidates) c, (SELECT unnest([2, 3]) AS m)
+    WHERE m < len(w) AND i + m - 1 <= len(w) GROUP BY ALL
+), ranked AS (
+    SELECT s.*, array_to_string(s.w, ' ') AS phrase,
+        row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, array_to_string(s.w, ' ')) AS rank
+    FROM scored s LEFT JOIN within b ON b.lang = s.lang AND b.w = s.w
+    WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 @_query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     convs = prefix_trie.with_shared_heads(prefix_trie.turns(_table(spark, sf_dir, "conversations")))
