@@ -30,7 +30,7 @@ from folioflow.session import cut_lineage
 
 # Words per chunk, entries of a task's filter, and entries aimed at per merged segment.
 CHUNK_WORDS = 1 << 19
-FILTER_ENTRIES = 1 << 21
+FILTER_ENTRIES = 1 << 20
 SEGMENT_ENTRIES = 1 << 17
 
 # Bytes that end a piece become a line feed, a tab becomes a blank.
