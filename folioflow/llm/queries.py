@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioflow.llm import collocations, decontaminate, hilbert, html_extract, line_dedup, mixing, perplexity, prefix_trie, quality, secret_scan, simhash, token_blocks
+from folioflow.llm import collocations, decontaminate, group_join, hilbert, html_extract, line_dedup, mixing, perplexity, prefix_trie, quality, secret_scan, simhash, token_blocks
 from folioflow.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -249,3 +249,30 @@ WITH said AS (
 SELECT l.conv_id, l.depth, l.parent_conv_id, l.n_convs, coalesce(c.n_children, 0) AS n_children, b.n_leaves, b.saved_tokens, l.ends_sha256
 FROM linked l LEFT JOIN children c ON c.node = l.node JOIN below b ON b.node = l.node
 """
+
+
+@_query
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_join.similar(_table(spark, sf_dir, "documents")).drop("digest")
+
+
+ORACLES["op13_ngram_jaccard_join"] = """
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents
+), sets AS (
+    SELECT r, doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_distinct(list_transform(
+        range(1, greatest(1, len(words) - 2) + 1), lambda i: array_to_string(words[i:i + 2], ' '))) END AS s
+    FROM docs
+), tokens AS (
+    SELECT r, len(s) AS n, unnest(s) AS token FROM sets
+), linked AS (
+    SELECT a.r AS a, b.r AS b FROM tokens a JOIN tokens b ON a.token = b.token AND a.r <> b.r
+    GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT r, r AS s FROM sets UNION SELECT reach.r, linked.b AS s FROM reach JOIN linked ON linked.a = reach.s
+)
+SELECT x.doc_id, len(x.s)::BIGINT AS n_shingles, min(y.doc_id) AS component_id
+FROM sets x JOIN reach ON reach.r = x.r JOIN sets y ON y.r = reach.s GROUP BY x.r, x.doc_id, x.s
+"""
