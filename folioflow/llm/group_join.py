@@ -1,7 +1,8 @@
 """N-gram Jaccard join with a token-group matrix.
 
-Texts are sets of word shingles; equal sets are one class. Classes are ordered so that rare tokens
-come first, by a sketch of document frequencies whose size follows the input up to a bound: two sets
+Texts are sets of word shingles; equal sets are one class. Tokens are ordered so that rare tokens
+come first, by a filter of tokens seen again, whose size follows the input up to a bound, and a sketch
+of document frequencies: two sets
 of similarity t share one of their first (1 - t) n + 1 tokens, so only those are ever shuffled, and
 only classes that share one with another go on.
 
@@ -28,54 +29,90 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from folioflow.llm import bloom
+from folioflow.llm import bloom, line_dedup
 from folioflow.llm.common import map_texts, session
 from folioflow.llm.graph import components
-from folioflow.llm.simhash import shingle_hashes
 from folioflow.session import cut_lineage
 
-# The sketch: counters, by the words of the input up to the bound.
-MIN_SLOTS, MAX_SLOTS = 1 << 14, 1 << 24
+# Bits of the filter of tokens seen again, by the length of the input up to the bound, and counters
+# of the sketch of frequencies.
+MAX_BITS = 1 << 28
+SLOTS = 1 << 22
 _STRETCH = 1 << 14
 # Where similar classes meet: BANDS keys of BAND_ROWS least hashes.
 BANDS, BAND_ROWS = 8, 3
 _SEEDS = np.random.default_rng(13).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
 
 
+class _WordHashes(dict):
+    """XXH64 of words, kept for those met lately."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1 << 18:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word)
+        return found
+
+
+_WORDS = _WordHashes()
+
+
 def tokens(text: bytes, words: int) -> np.ndarray:
-    """The distinct shingles of a text, as ascending 64-bit hashes."""
-    return np.unique(shingle_hashes(text, words))
+    """The distinct shingles of a text, as ascending 64-bit hashes of their words' hashes."""
+    found = text.lower().split()
+    each = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
+    n = max(1, len(each) - words + 1) if len(each) else 0
+    whole = np.full(n, len(each[:words]), np.uint64)
+    for k in range(min(words, len(each))):
+        whole = (whole ^ each[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        whole ^= whole >> np.uint64(29)
+    return np.unique(whole)
 
 
 def set_digest(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
-def _sketch(texts: DataFrame, words: int, slots: int) -> np.ndarray:
-    """How many documents hold a token of each slot, as powers of two: ``slots`` bytes."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(slots, np.uint32)
+def _counted(texts: DataFrame, words: int, bits: int) -> DataFrame:
+    """Per task: segments of the filters of tokens seen once and seen again, under numbers from 0, and
+    stretches of the counters, under numbers below 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, again = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        counts = np.zeros(SLOTS, np.uint32)
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                np.add.at(counts, (tokens(text, words) & np.uint64(slots - 1)).astype(np.int64), 1)
+            sets = [tokens(t, words) for t in batch.column(0).cast(pa.binary()).to_pylist()]
+            found, held = np.unique(np.concatenate(sets), return_counts=True)
+            line_dedup._put(again, found[(held > 1) | line_dedup._has(once, found)])
+            line_dedup._put(once, found)
+            np.add.at(counts, (found & np.uint64(SLOTS - 1)).astype(np.int64), held.astype(np.uint32))
         pack = zstandard.ZstdCompressor(level=1).compress
-        for at in range(0, slots, _STRETCH):
-            part = counts[at:at + _STRETCH]
-            if part.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([at // _STRETCH], pa.int32()), pa.array([pack(part.tobytes())], pa.binary())], names=["at", "part"])
+        size = line_dedup.SEGMENT_BYTES
+        for at in range(0, bits // 8, size):
+            if once[at:at + size].any():
+                yield _part(at // size, pack(once[at:at + size].tobytes()), pack(again[at:at + size].tobytes()))
+        for at in range(0, SLOTS, _STRETCH):
+            if counts[at:at + _STRETCH].any():
+                yield _part(-1 - at // _STRETCH, pack(counts[at:at + _STRETCH].tobytes()), b"")
+
+    return texts.select("text").mapInArrow(run, "segment int, once binary, twice binary")
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _part(segment: int, once: bytes, twice: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([segment], pa.int32()), pa.array([once], pa.binary()), pa.array([twice], pa.binary())], names=["segment", "once", "twice"])
+
+
+def _added(parts: DataFrame) -> DataFrame:
+    """Sums of the counters as bit lengths, enough to order tokens by: one row per stretch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         current, total = None, None
 
         def row() -> pa.RecordBatch:
-            # Bit lengths: enough to order tokens by.
-            levels = np.frexp(total.astype(float))[1].astype(np.uint8)
-            return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([levels.tobytes()], pa.binary())], names=["at", "part"])
+            return _part(current, np.frexp(total.astype(float))[1].astype(np.uint8).tobytes(), b"")
 
         for batch in batches:
-            for at, raw in zip(*(c.to_pylist() for c in batch.columns)):
+            for at, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 part = np.frombuffer(unpack(raw), np.uint32).astype(np.int64)
                 if at != current:
                     if current is not None:
@@ -86,17 +123,27 @@ def _sketch(texts: DataFrame, words: int, slots: int) -> np.ndarray:
         if current is not None:
             yield row()
 
-    parts = texts.select("text").mapInArrow(count, "at int, part binary")
-    merged = parts.repartition("at").sortWithinPartitions("at").mapInArrow(add, "at int, part binary")
-    sketch = np.zeros(slots, np.uint8)
-    for at, raw in merged.toLocalIterator():
-        sketch[at * _STRETCH:at * _STRETCH + len(raw)] = np.frombuffer(raw, np.uint8)
-    return sketch
+    return parts.repartition("segment").sortWithinPartitions("segment").mapInArrow(run, "segment int, once binary, twice binary")
+
+
+def _sketch(texts: DataFrame, words: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The filter of tokens that several documents hold, and how many hold those of each slot.
+    ``bits`` / 8 and ``SLOTS`` bytes come to the driver."""
+    parts = cut_lineage(_counted(texts, words, bits))
+    again, levels = np.zeros(bits // 8, np.uint8), np.zeros(SLOTS, np.uint8)
+    for segment, raw in line_dedup._merge(parts.filter("segment >= 0")).toLocalIterator():
+        again[segment * line_dedup.SEGMENT_BYTES:][:len(raw)] = np.frombuffer(raw, np.uint8)
+    for segment, raw, _ in _added(parts.filter("segment < 0")).toLocalIterator():
+        levels[(-1 - segment) * _STRETCH:][:len(raw)] = np.frombuffer(raw, np.uint8)
+    return again, levels
 
 
-def rare_first(found: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    level = sketch[(found & np.uint64(len(sketch) - 1)).astype(np.int64)]
-    return found[np.lexsort((found, level))]
+def rare_first(found: np.ndarray, sketch: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Tokens seen once, then others by how often, then by hash: one order for all texts."""
+    again, levels = sketch
+    level = line_dedup._has(again, found).astype(np.uint64) << np.uint64(5) | levels[(found & np.uint64(SLOTS - 1)).astype(np.int64)]
+    # What the shift drops is kept by the stable sort: ``found`` ascends.
+    return found[np.argsort(level << np.uint64(58) | found >> np.uint64(6), kind="stable")]
 
 
 def band_keys(found: np.ndarray) -> np.ndarray:
@@ -124,9 +171,9 @@ def _rows(column: pa.Array) -> list[np.ndarray]:
 
 def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``doc_id, content, digest, n, rare`` per row: the set's digest and size, its rare tokens."""
-    lines = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    slots = min(MAX_SLOTS, max(MIN_SLOTS, 1 << (lines // 4).bit_length()))
-    held = docs.sparkSession.sparkContext.broadcast(_sketch(docs, words, slots))
+    length = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    # About a byte for each word.
+    held = docs.sparkSession.sparkContext.broadcast(_sketch(docs, words, line_dedup.filter_bits(length // 6, MAX_BITS)))
 
     def run(texts: list[bytes]) -> dict:
         sets = [tokens(t, words) for t in texts]

@@ -91,7 +91,7 @@ def test_one_group_of_all(spark, monkeypatch):
 
 def test_coarse_sketch(spark, monkeypatch):
     """A sketch that tells nothing apart changes no result."""
-    monkeypatch.setattr(group_join, "_sketch", lambda texts, words, slots: np.zeros(slots, np.uint8))
+    monkeypatch.setattr(group_join, "_sketch", lambda texts, words, bits: (np.zeros(bits // 8, np.uint8), np.zeros(group_join.SLOTS, np.uint8)))
     rows = cluster(7, 1)
     assert got(spark.createDataFrame(rows, "doc_id bigint, text string")) == plain(rows)
 
