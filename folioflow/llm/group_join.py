@@ -223,7 +223,10 @@ def _opened(sets: DataFrame, groups: DataFrame, matrix: DataFrame, rare: DataFra
     rare_groups = rare.join(groups, "node")
     doors = rare_groups.select("token", "grp").distinct()
     met = rare_groups.select("node", "token", F.col("grp").alias("own")).join(doors, "token").filter("grp <> own")
-    met = cut_lineage(met.select("node", "grp").distinct())
+    # Sets of too unlike sizes need no look at the matrix.
+    sizes = groups.join(sets.select("node", "n"), "node").groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    met = met.select("node", "grp").distinct().join(sizes, "grp").join(sets.select("node", "n"), "node")
+    met = cut_lineage(met.filter((F.col("n") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("n") * 100)).select("node", "grp"))
     # How much of the query the group's union holds: any member holds no more.
     held = (
         met.join(sets.select("node", "n", F.explode("tokens").alias("token")), "node").join(matrix, ["grp", "token"])
@@ -285,14 +288,18 @@ def _links(apart: DataFrame, percent: int) -> DataFrame:
         return F.greatest(F.lit(1), F.col("weight") + partner - F.col("common"))
 
     ranked = cut_lineage(ranked.select(
-        "grp", "token", "node", "weight", "common", "light",
+        "grp", "token", "node", "weight", "common", "light", "place",
         (F.col("place") * (100 + percent) >= needed(F.col("least"))).alias("asks"),
         (F.col("place") * (100 + percent) >= needed(F.col("weight"))).alias("answers")))
-    asking = ranked.filter("asks").select("grp", "token", F.col("node").alias("b"), "common", F.col("weight").alias("wb"), F.col("light").alias("lb"))
-    answering = ranked.filter("answers").select("grp", "token", F.col("node").alias("a"), F.col("weight").alias("wa"), F.col("light").alias("la"))
-    # The heavier one asks. Two light ones hang together already.
+    asking = ranked.filter("asks").select("grp", "token", F.col("node").alias("b"), "common", F.col("weight").alias("wb"),
+                                           F.col("light").alias("lb"), F.col("place").alias("pb"))
+    answering = ranked.filter("answers").select("grp", "token", F.col("node").alias("a"), F.col("weight").alias("wa"),
+                                                 F.col("light").alias("la"), F.col("place").alias("pa"))
+    # The heavier one asks. Two light ones hang together already. A pair meets in the rarest token that
+    # both hold if in any, and holds no more than the tokens up to it.
     pairs = asking.join(answering, ["grp", "token"]).filter(
-        "(wa < wb OR wa = wb AND a < b) AND wa + wb > common AND NOT (la AND lb)").select("grp", "a", "b", "wa", "wb", "common").distinct()
+        "(wa < wb OR wa = wb AND a < b) AND wa + wb > common AND NOT (la AND lb)"
+        f" AND least(pa, pb) * {100 + percent} >= wa + wb - common").select("grp", "a", "b", "wa", "wb", "common").distinct()
     diffs = apart.select("grp", "node", "diff")
     both = (
         pairs.join(diffs.select("grp", F.col("node").alias("a"), F.col("diff").alias("left")), ["grp", "a"])
