@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from folioflow.operators.upsert import with_latest
 from folioflow.plans import classify, timeline
 from folioflow.schemas import columns
 from folioflow.session import shared_folder
-from folioflow.sources import html, payloads
+from folioflow.sources import html, landed, payloads
 from folioflow.sources.store import TableStore
 from folioflow.streaming import jobs
 
@@ -264,14 +265,71 @@ SCORED = f"""
 def score_posts(t: Tables):
     """Whole texts through a scorer; short ones are done without a verdict."""
     pending = t.documents.select(F.col("doc_id").alias("status_id"), F.col("text").alias("description"), F.lit(0).alias("is_analyzed"))
-    return classify.score_posts(pending, SCORER, CFG).drop("description")
+    return classify.score_posts(pending, SCORER, CFG).drop("description", "error")
+
+
+@dataclass(frozen=True)
+class PickyScorer:
+    """Batches of verdicts; long texts are an error, some others give a reply that is no JSON."""
+
+    limit: int = 4000
+
+    def open(self):
+        return _PickyModel(self.limit)
+
+
+class _PickyModel:
+    def __init__(self, limit: int):
+        self.limit = limit
+
+    def score_batch(self, texts: list[str]) -> list[str]:
+        if any(len(text) > self.limit for text in texts):
+            raise ValueError("too long")
+        return ["broken" if len(text) % 50 == 7 else SCORER.score(text) for text in texts]
+
+
+@query(f"""
+    WITH c AS (SELECT doc_id, {CLEAN.format('text')} AS clean FROM documents),
+    e AS (SELECT doc_id, CASE WHEN length(clean) > 4000 THEN 'ValueError: too long'
+        WHEN length(clean) >= 10 AND length(clean) % 50 = 7 THEN 'reply is no JSON' END AS error FROM c)
+    SELECT s.status_id, CASE WHEN error IS NULL THEN 1 ELSE 2 END AS is_analyzed, CASE WHEN error IS NULL THEN valuable END AS valuable,
+        CASE WHEN error IS NULL THEN category END AS category, error FROM ({SCORED}) s JOIN e ON e.doc_id = s.status_id""")
+def score_posts_batched(t: Tables):
+    """A scorer that is set up once per worker and takes whole batches; a batch that fails is scored
+    row by row, so that only the rows at fault fail, each with its error."""
+    pending = t.documents.select(F.col("doc_id").alias("status_id"), F.col("text").alias("description"), F.lit(0).alias("is_analyzed"))
+    return classify.score_posts(pending, PickyScorer(), CFG).drop("description")
+
+
+# --- landed files -----------------------------------------------------------
+
+@query("""
+    SELECT CASE WHEN event_id % 10 = 4 THEN NULL ELSE user_id END AS user_id, CASE WHEN event_id % 10 = 4 THEN NULL ELSE event_id END AS seq,
+        CASE event_id % 10 WHEN 3 THEN 'blocked' WHEN 4 THEN '{"user_id":' || user_id || ',"payl' WHEN 5 THEN NULL
+            ELSE '{"k":' || event_id || '}' END AS payload,
+        CASE WHEN user_id % 3 = 0 THEN 'gz' ELSE 'json' END AS file_kind,
+        CASE event_id % 10 WHEN 3 THEN 'payload is no JSON' WHEN 4 THEN 'line is no JSON' WHEN 5 THEN 'no payload' END AS reason
+    FROM events""")
+def landed_captures(t: Tables):
+    """Captures as files of JSON lines, some gzipped, some lines broken, read back with their file's
+    kind and why a line cannot be used."""
+    root = f"{shared_folder(t.spark)}/landed/{uuid.uuid4().hex}"
+    kind = F.col("event_id") % 10
+    payload = F.when(kind == 3, "blocked").when(kind != 5, F.concat(F.lit('{"k":'), F.col("event_id").cast("string"), F.lit("}")))
+    whole = F.to_json(F.struct("user_id", F.col("event_id").alias("seq"), payload.alias("payload")))
+    line = F.when(kind == 4, F.concat(F.lit('{"user_id":'), F.col("user_id").cast("string"), F.lit(',"payl'))).otherwise(whole)
+    zipped = F.col("user_id") % 3 == 0
+    t.events.filter(~zipped).select(line.alias("value")).write.text(f"{root}/plain")
+    t.events.filter(zipped).select(line.alias("value")).write.option("compression", "gzip").text(f"{root}/zipped")
+    rows = landed.read_captures(t.spark, f"{root}/*", "user_id bigint, seq bigint")
+    kind_of_file = F.when(F.col("source").endswith(".gz"), "gz").otherwise("json")
+    return rows.withColumn("file_kind", kind_of_file).drop("source")
 
 
 # --- streams ----------------------------------------------------------------
 
 def _stream(t: Tables, table: str):
-    schema = getattr(t, table).schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(t.dir)
+    return jobs.landed_stream(t.spark, t.dir, getattr(t, table).schema, pathGlobFilter=f"{table}.parquet")
 
 
 def _workspace(t: Tables, *tables: str) -> tuple[TableStore, str]:
@@ -303,13 +361,31 @@ def stream_statuses(t: Tables):
 def stream_labels(t: Tables):
     """The classifier as a stream that is drained."""
     store, progress = _workspace(t, "value_comments", "status_log")
+    jobs.label_stream(_statuses(_stream(t, "documents")), store, CFG, SCORER, progress).awaitTermination()
+    return store.log("value_comments").select("comment_id", "category")
+
+
+def _statuses(documents):
     zero = F.lit(0).cast("bigint")
-    statuses = _stream(t, "documents").select(
+    return documents.select(
         F.col("doc_id").alias("status_id"), F.lit(1).cast("bigint").alias("user_id"), F.col("text").alias("description"),
         ts("2024-01-01 00:00:00").alias("created_at"), F.lit(None).cast("array<string>").alias("stock_tags"),
         F.lit(0).alias("is_analyzed"), zero.alias("forward"), zero.alias("comment_count"), zero.alias("like_count"))
-    jobs.label_stream(statuses, store, CFG, SCORER, progress).awaitTermination()
-    return store.log("value_comments").select("comment_id", "category")
+
+
+@query(f"""
+    SELECT status_id AS comment_id, category, CAST(1 AS BIGINT) AS copies FROM ({SCORED}) s WHERE category IS NOT NULL""")
+def stream_labels_paced(t: Tables):
+    """A backlog of files, some landed twice, worked off one file per micro-batch and then restarted:
+    the same labels, each once, however the input is cut."""
+    store, progress = _workspace(t, "value_comments", "status_log")
+    path = f"{progress}-landed"
+    t.documents.repartition(4).write.parquet(path)
+    t.documents.filter("doc_id % 2 = 0").repartition(2).write.mode("append").parquet(path)
+    for _ in range(2):
+        statuses = _statuses(jobs.landed_stream(t.spark, path, t.documents.schema, max_files=1))
+        jobs.label_stream(statuses, store, CFG, SCORER, progress).awaitTermination()
+    return store.log("value_comments").groupBy("comment_id", "category").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @query("SELECT DISTINCT user_id FROM events")

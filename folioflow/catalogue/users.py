@@ -155,6 +155,23 @@ def snowball_hops(t: Tables):
     return frontier.reach(t.follow_edges(), start, 3)
 
 
+@query("""
+    WITH RECURSIVE edges AS (
+        SELECT o_custkey AS src, (o_custkey * 7 + o_orderkey * 13) % (SELECT count(*) FROM customer) AS dst
+        FROM orders),
+    walk AS (
+        SELECT CAST(1 AS BIGINT) AS user_id
+        UNION
+        SELECT dst FROM walk JOIN edges ON src = user_id JOIN customer ON c_custkey = dst)
+    SELECT user_id, CAST(floor(c_acctbal) AS BIGINT) AS followers_count, TRUE AS scanned FROM walk JOIN customer ON c_custkey = user_id""")
+def expansion_loop(t: Tables):
+    """Best-first expansion from user 1 until no known user is unscanned."""
+    profiles = t.customer.select(F.col("c_custkey").alias("user_id"), F.floor("c_acctbal").alias("followers_count"))
+    start = t.customer.filter("c_custkey = 1").select(F.col("c_custkey").alias("user_id"))
+    found = frontier.best_first(t.follow_edges(), profiles, start, k=2000)
+    return found.select("user_id", "followers_count", F.col("scanned_round").isNotNull().alias("scanned"))
+
+
 @query("""
     SELECT c_custkey % 5 AS src, CAST(0 AS BIGINT) AS page, 0 AS pos, c_custkey AS user_id, c_name AS user_name,
         (c_custkey * 37) % 100 AS comments_count, CAST(c_nationkey AS BIGINT) AS friends_count,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -19,7 +20,12 @@ PENDING, DONE, FAILED = 0, 1, 2
 
 
 class Scorer(Protocol):
-    """Pickled to the executors; one call per cleaned text, giving a JSON verdict."""
+    """Pickled to the executors; gives a JSON verdict per cleaned text.
+
+    Two more methods are used where a scorer has them: ``open()``, called once per Python worker,
+    gives the object that scores (a loaded model), and ``score_batch(texts)`` gives the verdicts of a
+    whole Arrow batch in order.
+    """
 
     def score(self, text: str) -> str: ...
 
@@ -39,20 +45,50 @@ class RuleScorer:
         return json.dumps(verdict, ensure_ascii=False)
 
 
-def replies(scorer: Scorer):
-    """Arrow batches through the scorer. A row it fails on gives null; the others go on."""
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def one(text):
-            if text is None:
-                return None
-            try:
-                return scorer.score(text)
-            except Exception:
-                return None
+# What ``open`` gave, by the scorer's pickled form: workers are used for many tasks.
+_OPENED: dict[bytes, object] = {}
+
+
+def _opened(scorer: Scorer):
+    if not hasattr(scorer, "open"):
+        return scorer
+    key = pickle.dumps(scorer)
+    if key not in _OPENED:
+        _OPENED[key] = scorer.open()
+    return _OPENED[key]
+
 
+def _one(worker, text: str) -> tuple[str | None, str | None]:
+    try:
+        return (worker.score(text) if hasattr(worker, "score") else worker.score_batch([text])[0]), None
+    except Exception as error:
+        return None, f"{type(error).__name__}: {error}"
+
+
+def _all(worker, texts: list[str]) -> list[tuple[str | None, str | None]]:
+    """Reply and error of every text. A batch that fails is scored text by text."""
+    if texts and hasattr(worker, "score_batch"):
+        try:
+            found = list(worker.score_batch(texts))
+            if len(found) == len(texts):
+                return [(reply, None) for reply in found]
+        except Exception:
+            pass
+    return [_one(worker, text) for text in texts]
+
+
+def replies(scorer: Scorer):
+    """Arrow batches through the scorer: a reply, or the error of a row it fails on."""
+    @F.pandas_udf("reply string, error string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        worker = _opened(scorer)
         for batch in batches:
-            yield batch.map(one)
+            out = pd.DataFrame({"reply": None, "error": None}, index=batch.index, dtype=object)
+            asked = batch.notna()
+            found = _all(worker, batch[asked].tolist())
+            out.loc[asked, "reply"] = pd.Series([r for r, _ in found], index=batch.index[asked], dtype=object)
+            out.loc[asked, "error"] = pd.Series([e for _, e in found], index=batch.index[asked], dtype=object)
+            yield out
 
     return run
 
@@ -68,21 +104,24 @@ def long_enough(clean: Column, cfg: FlowConfig) -> Column:
 def score_posts(pending: DataFrame, scorer: Scorer, cfg: FlowConfig) -> DataFrame:
     """Pending posts with status and, where they were scored, their verdict.
 
-    Short and null texts are done without a verdict; only the others reach Python.
+    Short and null texts are done without a verdict; only the others reach Python. ``error`` says
+    why a post failed.
     """
     clean = sc.clean_text(F.col("description"))
     text = F.when(long_enough(clean, cfg), clean)
     scored = (
         pending.withColumn("__clean", text)
-        .withColumn("__reply", replies(scorer)(F.col("__clean")))
+        .withColumn("__scored", replies(scorer)(F.col("__clean")))
+        .withColumn("__reply", F.col("__scored.reply"))
     )
     valuable, category = sc.verdict_fields(F.col("__reply"))
-    tried, good = F.col("__clean").isNotNull(), vr.is_readable(F.col("__reply"))
+    tried, good = F.col("__clean").isNotNull(), F.coalesce(vr.is_readable(F.col("__reply")), F.lit(False))
     return scored.select(
         *[c for c in pending.columns if c != "is_analyzed"],
         F.when(tried & ~good, FAILED).otherwise(DONE).alias("is_analyzed"),
         F.when(tried & good, valuable).alias("valuable"),
         F.when(tried & good, sc.value_label(valuable, category)).alias("category"),
+        F.when(tried & ~good, F.coalesce("__scored.error", F.lit("reply is no JSON"))).alias("error"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioflow.config import FlowConfig
@@ -11,7 +13,7 @@ from folioflow.operators.ordered import quota_cutoff
 from folioflow.operators.upsert import insert_or_ignore, unseen
 from folioflow.plans.tasks import as_pending, take
 from folioflow.schemas import columns
-from folioflow.session import cut_lineage
+from folioflow.session import cut_lineage, shared_folder
 
 PROFILE = list(columns("users"))
 
@@ -107,3 +109,52 @@ def reach(edges: DataFrame, start: DataFrame, hops: int, cut_every: int = 1) ->
         known = known.unionByName(found)
         newest = found
     return known
+
+
+def best_first(edges: DataFrame, profiles: DataFrame, start: DataFrame, k: int, user_cap: int | None = None,
+               max_rounds: int | None = None) -> DataFrame:
+    """``user_id, followers_count, found_round, scanned_round``: expansion from the best users on.
+
+    ``edges(src, dst)``, ``profiles(user_id, followers_count)``, ``start(user_id)``. Each round reads
+    the ``k`` unscanned known users with most followers (nulls last, ties by id) and takes the users
+    they follow who have a profile. With ``user_cap`` no more than that many become known, in the
+    order of the sources' rank and then their own id. It ends when no known user is unscanned, the
+    cap is reached, or after ``max_rounds``. A user not scanned by then has a null ``scanned_round``.
+
+    Known and scanned users are folders that grow by one part a round, so a round's plan does not
+    grow; per round only two row counts come to the driver.
+    """
+    spark = edges.sparkSession
+    root = f"{shared_folder(spark)}/expansion/{uuid.uuid4().hex}"
+    kinds = {"known": "user_id bigint, followers_count bigint", "scanned": "user_id bigint"}
+
+    def put(name: str, rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{root}/{name}/at={number}")
+
+    def held(name: str) -> DataFrame:
+        return spark.read.schema(f"{kinds[name]}, at int").parquet(f"{root}/{name}")
+
+    people = profiles.select(F.col("user_id").cast("bigint").alias("user_id"), F.col("followers_count").cast("bigint").alias("followers_count"))
+    put("known", people.dropDuplicates(["user_id"]).join(start.select("user_id"), "user_id", "left_semi"), 0)
+    put("scanned", people.select("user_id").limit(0), 0)
+    number, size = 0, held("known").count()
+    while (max_rounds is None or number < max_rounds) and (user_cap is None or size < user_cap):
+        number += 1
+        chosen = next_sources(held("known").drop("at"), held("scanned"), k)
+        put("scanned", chosen.select("user_id"), number)
+        read = spark.read.schema(kinds["scanned"]).parquet(f"{root}/scanned/at={number}")
+        ranked = read.join(held("known").drop("at"), "user_id")
+        # Nulls rank after every number.
+        rank = F.struct(F.col("followers_count").isNull(), -F.col("followers_count"), F.col("user_id"))
+        met = edges.select(F.col("src").alias("user_id"), "dst").join(ranked, "user_id").groupBy(
+            F.col("dst").cast("bigint").alias("found")).agg(F.min(rank).alias("rank"))
+        fresh = met.join(held("known").select(F.col("user_id").alias("found")), "found", "left_anti")
+        found = fresh.join(people.dropDuplicates(["user_id"]), F.col("found") == F.col("user_id"))
+        if user_cap is not None:
+            found = take(found, ["rank", "user_id"], user_cap - size)
+        put("known", found.select("user_id", "followers_count"), number)
+        size = held("known").count()
+        if read.isEmpty():
+            break
+    return held("known").withColumnRenamed("at", "found_round").join(
+        held("scanned").withColumnRenamed("at", "scanned_round"), "user_id", "left")

@@ -19,7 +19,7 @@ from folioflow.operators.upsert import seen
 from folioflow.plans import classify, frontier, portfolio, progress, qualify, tasks, timeline
 from folioflow.schemas import TABLES
 from folioflow.session import cut_lineage
-from folioflow.sources import html, payloads
+from folioflow.sources import html, landed, payloads
 from folioflow.sources.store import TableStore
 
 STEPS = 4  # batches per round, one per step
@@ -43,6 +43,15 @@ class Captures:
     articles: DataFrame
 
 
+def set_aside(store: TableStore, cap: Captures, batch: int) -> None:
+    """Captures that cannot be read go to ``quarantine``, each once."""
+    bad = landed.set_aside({name: getattr(cap, name) for name in ("follow_pages", "quotes", "portfolio_lists", "timelines")})
+    known = store.log("quarantine", batch).select("source", "reason", "payload")
+    # A missing payload is a row as well.
+    same = [F.col(f"bad.{c}").eqNullSafe(F.col(f"known.{c}")) for c in known.columns]
+    store.write("quarantine", bad.distinct().alias("bad").join(known.alias("known"), same, "left_anti"), batch)
+
+
 def mine_posts(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batch: int) -> None:
     # Users without captures stay due and do not hold up the others.
     captured = seen(store.current("target_users", batch), cap.timelines, ["user_id"])
@@ -97,19 +106,22 @@ def expand(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batch: int,
     if cfg.user_cap is not None and progress.has_at_least(users, cfg.user_cap).first()[0]:
         return
     scanned = store.ids("scan_state", batch)
-    pages = cap.follow_pages.filter(vr.is_readable(F.col("payload")))
-    captured = pages.select(F.col("src").alias("user_id"))
     start = store.spark.range(seed, seed + 1).select(
         F.col("id").alias("user_id"), F.lit(0).cast("bigint").alias("followers_count"),
     ).join(scanned, "user_id", "left_anti")
-    # The seed is a source like any other: without a readable page it holds nobody up.
-    start = seen(start, captured, ["user_id"])
+    # The seed is a source like any other: without a readable page it holds nobody up. Payloads are
+    # parsed once, and where a seed is due only the seed's.
+    readable = vr.is_readable(F.col("payload"))
+    own = cap.follow_pages.join(start.select(F.col("user_id").alias("src")), "src", "left_semi").filter(readable)
+    start = seen(start, own.select(F.col("src").alias("user_id")), ["user_id"])
     if start.isEmpty():
-        known = seen(store.current("high_quality_users", batch), captured, ["user_id"])
+        open_users = store.current("high_quality_users", batch).join(scanned, "user_id", "left_anti")
+        pages = cap.follow_pages.join(open_users.select(F.col("user_id").alias("src")), "src", "left_semi").filter(readable)
+        known = seen(open_users, pages.select(F.col("src").alias("user_id")), ["user_id"])
         start = frontier.next_sources(known, scanned, sources)
     ranked = cut_lineage(start.select(
         F.col("user_id").alias("src"), (-F.coalesce("followers_count", F.lit(0))).alias("rank")))
-    mine = pages.join(ranked, "src")
+    mine = cap.follow_pages.join(ranked, "src").filter(readable)
     rows = cut_lineage(payloads.follow_rows(mine, as_of).join(ranked, "src"))
     out = frontier.read_sources(rows, users, cfg, mine)
     store.insert("users", out["users"], batch, ["user_id"])
@@ -125,9 +137,14 @@ def label_posts(store: TableStore, cfg: FlowConfig, scorer: classify.Scorer, bat
     store.write("status_log", classify.status_rows(scored), batch)
 
 
-def _steps(cap: Captures, cfg: FlowConfig, as_of, seed: int, scorer: classify.Scorer, sources: int) -> list:
+def _steps(cap: Captures, cfg: FlowConfig, as_of, seed: int, scorer: classify.Scorer, sources: int, look_through: bool) -> list:
+    def first(store: TableStore, batch: int) -> None:
+        if look_through:
+            set_aside(store, cap, batch)
+        mine_posts(store, cap, cfg, as_of, batch)
+
     return [
-        lambda store, batch: mine_posts(store, cap, cfg, as_of, batch),
+        first,
         lambda store, batch: qualify_users(store, cap, cfg, as_of, batch),
         lambda store, batch: expand(store, cap, cfg, as_of, batch, seed, sources),
         lambda store, batch: label_posts(store, cfg, scorer, batch),
@@ -135,12 +152,12 @@ def _steps(cap: Captures, cfg: FlowConfig, as_of, seed: int, scorer: classify.Sc
 
 
 def run_round(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, number: int, seed: int,
-              scorer: classify.Scorer, sources: int = 1, after: int = 0) -> bool:
+              scorer: classify.Scorer, sources: int = 1, after: int = 0, look_through: bool = True) -> bool:
     """The steps of a round whose epoch is past ``after``. Did any of them write a row?
 
-    Repeating a round writes the same batches again.
+    Repeating a round writes the same batches again. ``look_through`` sets unreadable captures aside.
     """
-    steps = _steps(cap, cfg, as_of, seed, scorer, sources)
+    steps = _steps(cap, cfg, as_of, seed, scorer, sources, look_through)
     batches = []
     for epoch, step in enumerate(steps, STEPS * (number - 1) + 1):
         batches.append(store.begin(epoch))
@@ -167,7 +184,7 @@ def run(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, seed: int,
             stopped = "goal reached"
         elif max_rounds is not None and rounds >= max_rounds:
             stopped = "round limit"
-        elif not run_round(store, cap, cfg, as_of, number, seed, scorer, sources, finished):
+        elif not run_round(store, cap, cfg, as_of, number, seed, scorer, sources, finished, rounds == 0):
             stopped = "nothing left to do"
         number, rounds = number + 1, rounds + 1
     return progress.progress(

@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from folioflow.config import FlowConfig
@@ -22,6 +22,18 @@ from folioflow.sources import payloads
 from folioflow.sources.store import TableStore
 
 
+def landed_stream(spark: SparkSession, path: str, schema, max_files: int | None = None,
+                  max_bytes: str | None = None, **options: str) -> DataFrame:
+    """Parquet files under ``path`` as they land, at most so many files or bytes per micro-batch: a
+    backlog is worked off in batches of a bounded size."""
+    reader = spark.readStream.schema(schema).options(**options)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.parquet(path)
+
+
 def _writer(store: TableStore, job: str, checkpoint: str) -> TableStore:
     path = f"{checkpoint.rstrip('/')}/writer"
     try:
@@ -96,8 +108,3 @@ def insert_stream(rows: DataFrame, store: TableStore, table: str, checkpoint: st
         store.insert(table, batch, number, order)
 
     return _start(rows, store, "insert", work, checkpoint, drain, poll)
-
-
-def distinct_stream(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Dedup in operator state, for keys that stay few; ``insert_stream`` keeps them in a table."""
-    return rows.dropna(subset=keys).dropDuplicates(keys)

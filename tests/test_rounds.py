@@ -1,6 +1,7 @@
 """The whole run on a small hand-made world, and the streams against their batch plans."""
 
 import json
+import random
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -78,7 +79,8 @@ def test_whole_run(spark, rows, tmp_path):
         (10, "ZH1", 0), (10, "ZH2", 1), (13, "ZH1", 1)]
     assert rows(store.current("portfolio_positions"), "segment_name", "stock_name") == [("A", "s")]
     assert rows(store.current("portfolio_transactions"), "stock_symbol", "prev_weight") == [("SH1", 1.0)]
-    assert rows(store.log("quarantine"), "reason") == [("trade without a time",)]
+    assert rows(store.log("quarantine"), "source", "reason", "payload")[0] == ("follow_pages", "payload is no JSON", "blocked")
+    assert rows(store.log("quarantine"), "reason") == [("payload is no JSON",), ("trade without a time",)]
 
     statuses = {r.status_id: r for r in store.current("raw_statuses").collect()}
     assert statuses[102].description == "【长文标题】标题\n正文 2024 港股"
@@ -246,6 +248,67 @@ def test_scorer_failures_stay_with_their_row(spark, rows):
     assert classify.queue(df, 2).count() == 2
 
 
+class Batches:
+    """Set up once per worker; a batch that holds a 7 fails as a whole."""
+
+    def open(self):
+        self.calls = 0
+        return self
+
+    def score_batch(self, texts):
+        self.calls += 1
+        if any("7" in t for t in texts):
+            raise RuntimeError("no sevens")
+        return ["no json" if "8" in t else '{"valuable": true, "cat": "A股"}' for t in texts]
+
+
+class TooFew:
+    def score_batch(self, texts):
+        return ['{"valuable": true}'] * (len(texts) - 1 if len(texts) > 1 else 1)
+
+
+def test_batch_scorers(spark, rows):
+    texts = ["a long enough text", "a long enough text 7", "a long enough text 8", "<b>short</b>", None]
+    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "status_id long, description string, is_analyzed int").coalesce(1)
+    got = classify.score_posts(classify.queue(df), Batches(), FlowConfig())
+    assert rows(got, "status_id", "is_analyzed", "category", "error") == [
+        (0, 1, "A股", None), (1, 2, None, "RuntimeError: no sevens"), (2, 2, None, "reply is no JSON"), (3, 1, None, None), (4, 1, None, None)]
+    # A batch with a reply too few is scored text by text.
+    got = classify.score_posts(classify.queue(df), TooFew(), FlowConfig())
+    assert [r[1] for r in rows(got, "status_id", "is_analyzed")] == [1] * 5
+    assert classify.score_posts(df.limit(0), Batches(), FlowConfig()).count() == 0
+
+
+def plain_best_first(edges, followers, start, k, cap, limit):
+    known, scanned, number = {u: 0 for u in start if u in followers}, {}, 0
+    rank = lambda u: (followers[u] is None, -(followers[u] or 0), u)
+    while (limit is None or number < limit) and (cap is None or len(known) < cap):
+        number += 1
+        chosen = sorted((u for u in known if u not in scanned), key=rank)[:k]
+        scanned.update({u: number for u in chosen})
+        met = {}
+        for src, dst in edges:
+            if src in chosen and dst in followers and dst not in known:
+                met[dst] = min(rank(src), met.get(dst, rank(src)))
+        order = sorted(met, key=lambda u: (met[u], u))
+        known.update({u: number for u in (order if cap is None else order[:cap - len(known)])})
+        if not chosen:
+            break
+    return sorted(((u, followers[u], n, scanned.get(u)) for u, n in known.items()), key=repr)
+
+
+def test_best_first_expansion(spark, rows):
+    rng = random.Random(2)
+    followers = {u: rng.choice([None, 5, rng.randrange(1000)]) for u in range(60)}
+    edges = [(rng.randrange(70), rng.randrange(70)) for _ in range(150)]
+    e = spark.createDataFrame(edges, "src long, dst long")
+    p = spark.createDataFrame(list(followers.items()), "user_id long, followers_count long")
+    start = spark.createDataFrame([(1,), (2,), (65,)], "user_id long")
+    for k, cap, limit in ((3, None, None), (2, 25, None), (4, None, 3)):
+        got = frontier.best_first(e, p, start, k, cap, limit)
+        assert rows(got, "user_id", "followers_count", "found_round", "scanned_round") == plain_best_first(edges, followers, [1, 2, 65], k, cap, limit)
+
+
 def raw(df):
     zero = F.lit(0).cast("long")
     return df.select(
@@ -281,10 +344,6 @@ def test_streams_equal_batches(spark, rows, tmp_path):
     jobs.label_stream(source(), store, FlowConfig(), classify.RuleScorer(), str(tmp_path / "c2")).awaitTermination()
     assert store.current("value_comments").count() == 1000
 
-    distinct = jobs.distinct_stream(source().select("user_id"), ["user_id"])
-    distinct.writeStream.format("memory").queryName("seen").trigger(availableNow=True).start().awaitTermination()
-    assert rows(spark.table("seen")) == rows(events.select("user_id").distinct())
-
 
 def test_timeline_stream(spark, rows, tmp_path):
     store = TableStore(spark, str(tmp_path / "t"))

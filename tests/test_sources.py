@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import variants as vr
 from folioflow.plans import portfolio
-from folioflow.sources import html, payloads
+from folioflow.sources import html, landed, payloads
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -17,13 +17,18 @@ def captures(spark, payload_list, keys="user_id long, seq int"):
 
 
 def test_landed_files(spark, rows, tmp_path):
+    """Plain and gzipped lines; what cannot be read has a reason and keeps its text."""
     lines = ['{"user_id":1,"seq":0,"payload":{"a":1}}', '{"user_id":1,"seq":1,"payload":"{\\"a\\":2}"}',
-             '{"user_id":1,"seq":2,"payload":"no json"}', "not a line"]
+             '{"user_id":1,"seq":2,"payload":"no json"}', "not a line", '{"user_id":1,"seq":3}',
+             '{"user_id":"x","seq":4,"payload":{"a":3}}']
     with gzip.open(tmp_path / "x.json.gz", "wt") as out:
         out.write("\n".join(lines))
-    good, bad = payloads.read_landed(spark, str(tmp_path), "user_id long, seq int")
-    assert rows(good, "seq", vr.whole(vr.parse(F.col("payload")), "$.a")) == [(0, 1), (1, 2)]
-    assert rows(bad, "payload") == [("no json",), ("not a line",)]
+    (tmp_path / "y.json").write_text("\n".join(lines[:3]))
+    good, bad = landed.split(landed.read_captures(spark, str(tmp_path), "user_id long, seq int"))
+    assert rows(good, "seq", vr.whole(vr.parse(F.col("payload")), "$.a")) == [(0, 1), (0, 1), (1, 2), (1, 2)]
+    assert rows(bad.filter("source = 'x.json.gz'"), "reason", "payload") == [
+        ("key of another kind", '{"a":3}'), ("line is no JSON", "not a line"), ("no payload", None), ("payload is no JSON", "no json")]
+    assert rows(bad.filter("source = 'y.json'"), "payload") == [("no json",)]
 
 
 def test_bodies(spark):
