@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from folioflow.llm.common import map_texts, narrow
 from folioflow.session import cut_lineage
@@ -29,6 +29,8 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
 _TAIL = re.compile(rb"[!-/:-@\[-`{-~]*$")
 _CACHED_WORDS = 300_000
 SAMPLE_ROWS = 4000
+# Places (32-bit numbers) of a class's sample that come to the driver at most.
+SAMPLE_PLACES = 1 << 25
 _STEP = 1 << 17
 
 
@@ -164,7 +166,10 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, cost: float = 1.0,
     ratio = log_ratio(positive, negative)
     places, labels = [], []
     for label in (0, 1):
-        taken = held.filter(F.col("label") == label).orderBy("key").limit(sample_rows).select("places").toArrow()
+        taken = held.filter(F.col("label") == label).orderBy("key").limit(sample_rows)
+        # Of very long texts fewer are taken: what comes to the driver is bounded in numbers as well.
+        upto = F.sum(F.size("places")).over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        taken = taken.withColumn("upto", upto).filter(F.col("upto") <= SAMPLE_PLACES).select("places").toArrow()
         for row in taken.column("places"):
             places.append(row.values.to_numpy())
             labels.append(2 * label - 1)
@@ -211,12 +216,13 @@ def labels_of(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
 
     Per class the ``sample_rows`` labelled ids with the least hash are taken; only their texts are
     read on. Several labels of one id count as their majority, a tie as 1; labels of ids without a
-    document count towards the sample.
+    document do not count towards the sample.
     """
     one = (
         labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
         .groupBy(F.col(id_col).alias("labelled")).agg((F.avg(label_col) >= 0.5).cast("int").alias("label"))
     )
+    one = one.join(docs.select(F.col(id_col).alias("labelled")), "labelled", "left_semi")
     order = [F.xxhash64("labelled"), "labelled"]
     picked = [one.filter(F.col("label") == c).orderBy(*order).limit(sample_rows) for c in (0, 1)]
     # Twice ``sample_rows`` ids at most.

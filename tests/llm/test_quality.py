@@ -71,3 +71,19 @@ def test_sample_is_bounded(spark, documents):
     taken = quality.labels_of(documents, labels.unionByName(labels), sample_rows=5)
     assert {r.label: r["count"] for r in taken.groupBy("label").count().collect()} == {0: 5, 1: 5}
     assert taken.filter(quality.held_out(F.col("doc_id"))).count() == 0
+
+
+def test_labels_of_absent_ids_take_no_place(spark, documents):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    absent = spark.range(10**6, 10**6 + 20000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    own = labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
+    taken = {n: sorted((r.doc_id, r.label) for r in quality.labels_of(documents, df, sample_rows=8).collect())
+             for n, df in (("own", own), ("all", own.unionByName(absent)))}
+    assert taken["own"] == taken["all"] and len({label for _, label in taken["all"]}) == 2
+
+
+def test_long_texts_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_PLACES", 2000)
+    rows = [(i, " ".join(f"w{i * j % 997}" for j in range(200)), i % 2) for i in range(60)]
+    model = quality.fit(spark.createDataFrame(rows, "doc_id bigint, text string, label int"))
+    assert len(model.ratio)
