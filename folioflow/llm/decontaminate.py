@@ -22,6 +22,8 @@ from folioflow.session import cut_lineage
 
 _SEPARATORS = r"[^\p{L}\p{M}\p{N}]+"
 _PROBES = 3
+# A filter of texts is a literal of at most 2 ** _MOST_BITS bits; beyond that more texts are joined.
+_MOST_BITS = 19
 
 
 def word_hashes(text: Column) -> Column:
@@ -151,5 +153,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **optio
     be null or repeated.
     """
     found = cut_lineage(matches(docs, benchmark, text_col=text_col, **options).select(F.col("content").alias("leaked")).distinct())
-    rows = docs.select(whole(docs).alias("row"), F.sha2(F.col(text_col), 256).alias("content"))
-    return rows.join(found, F.col("content") == F.col("leaked"), "left_anti").select("row.*")
+    # Most texts hold nothing: a filter of the digests lets them pass without moving.
+    bits = min(_MOST_BITS, max(10, (16 * found.count()).bit_length()))
+    held = _filter_literal(found.select(F.xxhash64("leaked").alias("h")), bits)
+    content = F.sha2(F.col(text_col), 256)
+    rows = docs.select(whole(docs).alias("row"), content.alias("content"), _in_filter(F.xxhash64(content), held, bits).alias("near"))
+    near = rows.filter("near").join(found, F.col("content") == F.col("leaked"), "left_anti")
+    return rows.filter("NOT near").select("row.*").unionByName(near.select("row.*"))

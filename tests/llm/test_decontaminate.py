@@ -76,3 +76,17 @@ def test_no_python_in_the_plan(spark, documents):
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     plan = dc.matches(documents, benchmark)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
+
+
+def test_clean_keeps_rows_of_any_columns(spark, documents, monkeypatch):
+    """Extra columns with odd names stay; a filter that lets nothing pass changes no result."""
+    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    odd = documents.withColumn("a.b", documents.doc_id % 3).withColumnRenamed("lang", "near")
+    odd = odd.unionByName(odd.limit(1).selectExpr("doc_id", "CAST(NULL AS STRING) AS text", "near", "source", "n_chars", "`a.b`"))
+    leaked = {r.doc_id for r in dc.matches(odd, benchmark).collect()}
+    kept = dc.clean(odd, benchmark)
+    assert kept.columns == odd.columns and leaked
+    expected = sorted(repr(r) for r in odd.collect() if r.text is None or r.doc_id not in leaked)
+    assert sorted(repr(r) for r in kept.collect()) == expected
+    monkeypatch.setattr(dc, "_in_filter", lambda h, held, bits: h.isNotNull())
+    assert sorted(repr(r) for r in dc.clean(odd, benchmark).collect()) == expected
