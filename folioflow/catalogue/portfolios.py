@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioflow.catalogue.registry import query
+from folioflow.catalogue.registry import ORACLES, query
 from folioflow.catalogue.standins import CFG, Tables
 from folioflow.functions import scalars as sc
 from folioflow.operators.dedup import first_per_key, first_per_key_nulls_distinct
@@ -95,6 +95,58 @@ def portfolio_upsert_keep(t: Tables):
                           ["creator_id", "net_value", "updated_at"], on_null="keep")
 
 
+# Columns of a portfolio by what they are in the table and in an update; nulls in either.
+WIDE = {
+    "user_id": ("CASE WHEN k % 7 <> 0 THEN o_custkey END", "CASE WHEN k % 4 = 0 THEN 0 ELSE o_custkey + 1 END"),
+    "name": ("o_orderpriority", "CASE WHEN k % 5 <> 0 THEN 'new ' || o_orderpriority END"),
+    "net_value": ("o_totalprice", "CASE WHEN k % 5 <> 1 THEN o_totalprice * 2 END"),
+    "total_gain": ("CAST(k % 11 AS DOUBLE)", "CASE WHEN k % 5 <> 2 THEN CAST(k % 13 AS DOUBLE) END"),
+    "monthly_gain": ("CAST(k % 3 AS DOUBLE)", "CASE WHEN k % 5 <> 3 THEN CAST(k % 17 AS DOUBLE) END"),
+    "daily_gain": ("CAST(NULL AS DOUBLE)", "CASE WHEN k % 5 <> 4 THEN CAST(k % 19 AS DOUBLE) END"),
+    "create_time": ("'2019-01-01'", "CASE WHEN k % 3 = 0 THEN '2020-02-02' END"),
+    "updated_at": ("o_orderdate", "TIMESTAMP_NTZ '2024-01-31 12:00:00'"),
+    "portfolio_last_crawled": ("o_orderdate", "CASE WHEN k % 2 = 0 THEN TIMESTAMP_NTZ '2024-01-31 12:00:00' END"),
+    "close_at_time": ("'0'", "CASE WHEN k % 9 = 0 THEN '2023-03-03' END"),
+    "description": ("o_orderstatus", "CASE WHEN k % 10 <> 0 THEN 'about ' || o_orderstatus END"),
+    "is_public": ("CAST(0 AS INT)", "CAST(1 AS INT)"),
+}
+
+
+def _wide_sql(on_null: str) -> str:
+    side = lambda i: ", ".join(f"{pair[i].replace('TIMESTAMP_NTZ', 'TIMESTAMP')} AS {name}" for name, pair in WIDE.items())
+    fresh = {name: f"u.{name}" for name in WIDE}
+    if on_null == "keep":
+        fresh = {name: f"coalesce({'nullif(u.user_id, 0)' if name == 'user_id' else f'u.{name}'}, s.{name})" for name in WIDE}
+    picked = ", ".join(f"CASE WHEN u.symbol IS NULL THEN s.{name} ELSE {fresh[name]} END AS {name}" for name in WIDE)
+    return f"""
+    WITH o AS (SELECT *, o_orderkey AS k, {ORDER_SYMBOL} AS symbol FROM orders),
+    s AS (SELECT k AS comb_id, symbol, {side(0)} FROM o WHERE k % 3 <> 0),
+    u AS (SELECT k + 1 AS comb_id, symbol, {side(1)} FROM o WHERE k % 2 = 0)
+    SELECT coalesce(s.comb_id, u.comb_id) AS comb_id, coalesce(s.symbol, u.symbol) AS symbol, {picked}
+    FROM s FULL JOIN u ON s.symbol = u.symbol"""
+
+
+def _wide(t: Tables, on_null: str):
+    rows = t.orders.withColumns({"k": F.col("o_orderkey"), "symbol": t.symbol_of("o_orderkey")})
+    side = lambda i: [F.expr(pair[i]).alias(name) for name, pair in WIDE.items()]
+    stored = rows.filter("k % 3 <> 0").select(F.col("k").alias("comb_id"), "symbol", *side(0))
+    updates = rows.filter("k % 2 = 0").select((F.col("k") + 1).alias("comb_id"), "symbol", *side(1))
+    return portfolio.merge_combinations(stored, updates, on_null)
+
+
+@query(_wide_sql("overwrite"))
+def portfolio_merge_overwrite(t: Tables):
+    """All twelve columns of a portfolio updated at once; an absent value replaces a stored one. The
+    id a portfolio has stays."""
+    return _wide(t, "overwrite")
+
+
+@query(_wide_sql("keep"))
+def portfolio_merge_keep(t: Tables):
+    """The same, where an absent value and an unknown creator keep what is stored."""
+    return _wide(t, "keep")
+
+
 @query(f"""
     WITH s AS (SELECT {ORDER_SYMBOL} AS symbol, CASE WHEN o_orderkey % 10 < 7 THEN o_orderdate END AS last_crawled
         FROM orders)
@@ -367,6 +419,14 @@ def html_items(t: Tables):
     return html.element_rows(t.pages, ["page_id"], "li")
 
 
+@query(ORACLES["html_items"])
+def html_items_lateral(t: Tables):
+    """The same through a table function in SQL, without a shuffle."""
+    t.spark.udtf.register("element_texts", html.ElementTexts)
+    return t.spark.sql(
+        "SELECT p.page_id, e.pos, e.text FROM {pages} p, LATERAL element_texts(p.html, 'li') e", pages=t.pages.select("page_id", "html"))
+
+
 @query("""
     SELECT l_orderkey, l_linenumber, CAST(round(l_discount * 100) AS DOUBLE) AS percent, CAST(1234.5 AS DOUBLE) AS thousands, CAST(0 AS DOUBLE) AS missing,
         CAST(floor(l_extendedprice) AS BIGINT) AS whole, CAST(0 AS BIGINT) AS broken,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import functions as F
 
@@ -388,6 +388,34 @@ def stream_labels_paced(t: Tables):
     return store.log("value_comments").groupBy("comment_id", "category").agg(F.count(F.lit(1)).alias("copies"))
 
 
+@query("""
+    WITH m AS (SELECT event_id, user_id, event_type, event_id % 3 AS page, date_trunc('second', ts) AS said,
+        CASE WHEN user_id % 2 = 0 THEN TIMESTAMP '2024-01-03 00:00:00' END AS mark FROM events),
+    f AS (SELECT *, coalesce(said <= mark, FALSE) AS old FROM m),
+    p AS (SELECT user_id, page, bool_or(old) AS old, count_if(NOT old) AS fresh FROM f GROUP BY ALL),
+    s AS (SELECT user_id, min(page) AS stop FROM (
+        SELECT user_id, greatest(page, 1) AS page FROM p WHERE old
+        UNION ALL SELECT user_id, page FROM p WHERE page >= 1 AND fresh = 0) GROUP BY user_id)
+    SELECT event_id AS status_id, user_id, said AS created_at,
+        CASE WHEN event_id % 8 = 1 THEN 'whole ' || event_type ELSE event_type END AS description
+    FROM f LEFT JOIN s USING (user_id) WHERE NOT old AND (stop IS NULL OR page <= stop)""")
+def stream_timelines(t: Tables):
+    """Landed timeline pages through the whole ingest as a stream: parsed, cut where reading stops, past
+    their user's mark, long posts with the text of their article."""
+    store, progress = _workspace(t, "raw_statuses", "timeline_marks")
+    store.write("timeline_marks", _marks(t), store.begin(1))
+    post = F.to_json(F.struct(
+        F.col("event_id").alias("id"), "user_id", F.col("event_type").alias("text"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("created_at"), (F.col("event_id") % 4).alias("type")))
+    pages = _stream(t, "events").select(
+        "user_id", (F.col("event_id") % 3).alias("page"), F.concat(F.lit('{"statuses":['), post, F.lit("]}")).alias("payload"))
+    articles = t.events.filter("event_id % 8 = 1").select(
+        "user_id", F.col("event_id").alias("status_id"), F.lit(None).cast("string").alias("title"),
+        F.concat(F.lit("whole "), "event_type").alias("body"))
+    jobs.timeline_stream(pages, articles, store, replace(CFG, post_quota=None), progress).awaitTermination()
+    return store.log("raw_statuses").select("status_id", "user_id", "created_at", "description")
+
+
 @query("SELECT DISTINCT user_id FROM events")
 def stream_distinct(t: Tables):
     """Dedup across micro-batches, through a table: what was seen is no operator state."""

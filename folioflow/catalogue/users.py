@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from folioflow.catalogue.registry import query
@@ -10,7 +12,9 @@ from folioflow.functions import scalars as sc
 from folioflow.operators.ordered import take_pages
 from folioflow.operators.upsert import insert_or_replace, seen
 from folioflow.plans import frontier, progress, qualify, tasks
+from folioflow.session import shared_folder
 from folioflow.sources import payloads
+from folioflow.sources.store import TableStore
 
 PROFILES = """
     SELECT c_custkey AS user_id, c_name AS user_name, (c_custkey * 37) % 100 AS comments_count,
@@ -66,6 +70,33 @@ def pending_tasks(t: Tables):
     return tasks.pending_tasks(last, "2024-02-15 00:00:00", CFG.cache_days, 20)
 
 
+@query("SELECT c_custkey AS user_id, c_custkey AS bare, CAST(NULL AS BIGINT) AS broken FROM customer")
+def seed_link(t: Tables):
+    """Profile links to ids; a bare id is itself, a link to something else gives none."""
+    key = F.col("c_custkey").cast("string")
+    return t.customer.select(
+        sc.seed_id(F.concat(F.lit("https://people.example/u/"), key)).alias("user_id"), sc.seed_id(key).alias("bare"),
+        sc.seed_id(F.concat(F.lit("https://people.example/u/"), key, F.lit("/about"))).alias("broken"))
+
+
+@query(f"""
+    WITH u AS (SELECT user_id, CASE WHEN user_id % 4 = 0 THEN TIMESTAMP '2024-02-10 00:00:00'
+        WHEN user_id % 2 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' END AS last_updated FROM ({PROFILES}) p)
+    SELECT *, last_updated IS NULL OR last_updated < TIMESTAMP '2024-02-04 00:00:00' AS due FROM u""")
+def task_lifecycle(t: Tables):
+    """Promoted users are pending, are finished in two batches, and are due again after the days a task lasts."""
+    store = TableStore(t.spark, f"{shared_folder(t.spark)}/tasks/{uuid.uuid4().hex}")
+    store.create_tables("target_users", "task_log")
+    store.insert("target_users", tasks.as_pending(t.profiles()), store.begin(1), ["user_id"])
+    for epoch, (step, day) in enumerate([(2, "2024-02-01 00:00:00"), (4, "2024-02-10 00:00:00")], 2):
+        batch = store.begin(epoch)
+        # On the second day those of the first are not due yet; those that are worked on anyway are finished anew.
+        worked = store.current("target_users", batch).filter(F.col("user_id") % step == 0)
+        store.write("task_log", tasks.finished(worked, "target_users", day), batch)
+    return store.current("target_users").select(
+        "user_id", "last_updated", tasks.is_due(F.col("last_updated"), "2024-02-25 00:00:00", CFG.cache_days).alias("due"))
+
+
 @query(f"""
     SELECT user_id, user_name, followers_count FROM ({PROFILES}) u
     WHERE followers_count > 5000 AND comments_count > 20 AND user_id NOT IN ({SCANNED})

@@ -127,6 +127,11 @@ def clean_text(html: Column) -> Column:
     return F.replace(strip_blanks(F.regexp_replace(html, "<[^>]+>", "")), F.lit("\n"), F.lit(" "))
 
 
+def seed_id(link: Column) -> Column:
+    """The user of a profile link: what follows its last ``u/``. A bare id is itself."""
+    return F.substring_index(link, "u/", -1).try_cast("bigint")
+
+
 def last_segment(path: Column) -> Column:
     return F.element_at(F.split(F.regexp_replace(path, "^/+|/+$", ""), "/"), -1)
 

@@ -99,15 +99,15 @@ def qualify_users(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batc
     store.write("task_log", tasks.finished(finished, "high_quality_users", as_of), batch)
 
 
-def expand(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batch: int, seed: int, sources: int = 1) -> None:
+def expand(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, batch: int, seed: int | str, sources: int = 1) -> None:
     users = store.current("users", batch)
     if progress.expansion_waits(store.current("high_quality_users", batch), cfg, as_of):
         return
     if cfg.user_cap is not None and progress.has_at_least(users, cfg.user_cap).first()[0]:
         return
     scanned = store.ids("scan_state", batch)
-    start = store.spark.range(seed, seed + 1).select(
-        F.col("id").alias("user_id"), F.lit(0).cast("bigint").alias("followers_count"),
+    start = store.spark.range(1).select(
+        sc.seed_id(F.lit(str(seed))).alias("user_id"), F.lit(0).cast("bigint").alias("followers_count"),
     ).join(scanned, "user_id", "left_anti")
     # The seed is a source like any other: without a readable page it holds nobody up. Payloads are
     # parsed once, and where a seed is due only the seed's.
@@ -137,7 +137,7 @@ def label_posts(store: TableStore, cfg: FlowConfig, scorer: classify.Scorer, bat
     store.write("status_log", classify.status_rows(scored), batch)
 
 
-def _steps(cap: Captures, cfg: FlowConfig, as_of, seed: int, scorer: classify.Scorer, sources: int, look_through: bool) -> list:
+def _steps(cap: Captures, cfg: FlowConfig, as_of, seed: int | str, scorer: classify.Scorer, sources: int, look_through: bool) -> list:
     def first(store: TableStore, batch: int) -> None:
         if look_through:
             set_aside(store, cap, batch)
@@ -151,7 +151,7 @@ def _steps(cap: Captures, cfg: FlowConfig, as_of, seed: int, scorer: classify.Sc
     ]
 
 
-def run_round(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, number: int, seed: int,
+def run_round(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, number: int, seed: int | str,
               scorer: classify.Scorer, sources: int = 1, after: int = 0, look_through: bool = True) -> bool:
     """The steps of a round whose epoch is past ``after``. Did any of them write a row?
 
@@ -169,11 +169,12 @@ def run_round(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, number:
     return not reduce(DataFrame.unionAll, written).isEmpty()
 
 
-def run(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, seed: int,
+def run(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, seed: int | str,
         scorer: classify.Scorer | None = None, max_rounds: int | None = None, sources: int = 1) -> DataFrame:
     """Rounds until enough targets are found or a round changes nothing; one row of counts.
 
-    The column ``stopped`` says why it ended. ``max_rounds`` bounds one call; calling again goes on.
+    The seed is a user's id or a link to their profile. The column ``stopped`` says why it ended.
+    ``max_rounds`` bounds one call; calling again goes on.
     """
     scorer = scorer or classify.RuleScorer()
     store.create_tables()

@@ -118,6 +118,17 @@ def element_rows(pages: DataFrame, keep: list[str], tag: str, html: str = "html"
         *keep, F.posexplode("found").alias("pos", "text"))
 
 
+@F.udtf(returnType="pos: int, text: string")
+class ElementTexts:
+    """The elements of a page under one tag, for use in SQL: ``pages p, LATERAL element_texts(p.html, 'li')``."""
+
+    def eval(self, html: str, tag: str):
+        if html is not None:
+            page = _Page(html)
+            for pos, element in enumerate(page.all(page.nodes, tag)):
+                yield pos, page.text(element)
+
+
 # --- comment fragments ------------------------------------------------------
 
 _COMMENTS = T.ArrayType(_struct(
@@ -222,6 +233,10 @@ def _portfolio_parts(html: pa.Array) -> pa.Array:
     return _per_page(html, one, _PARTS)
 
 
+# Marked so that the filter on the title is not moved below it, which would parse every page twice.
+_parts_once = _portfolio_parts.asNondeterministic()
+
+
 def holdings(listed: Column) -> Column:
     """Segments with their stocks; a stock belongs to the segment before it."""
     placed = F.transform(listed, lambda x, i: x.withField("at", i))
@@ -251,7 +266,7 @@ def portfolio_documents(captures: DataFrame) -> DataFrame:
     p = F.col("parts")
     return (
         captures.select(
-            "symbol", "rebalances", _portfolio_parts(F.col("html")).alias("parts"),
+            "symbol", "rebalances", _parts_once(F.col("html")).alias("parts"),
             comments(F.col("comments_html")).alias("comments"),
         )
         .filter(p["name"].isNotNull())
