@@ -9,14 +9,16 @@ only classes that share one with another go on.
 Similar classes are put into groups by common least hashes. A group keeps the union of its members'
 tokens, its row in the token-group matrix, and a reference: the tokens of more than half of its
 members. A query set meets a group if one of its rare tokens is one of the members'; the matrix
-bounds how much of the query any member can hold, and only groups that can hold t n tokens are
-opened. Into an opened group the query goes like a member: as its difference from the reference.
+bounds how much of the query any member can hold, first by a quarter of the tokens, and only groups
+that can hold t n tokens are opened. Into an opened group the query goes like a member: as its difference from the reference.
 
 For sets A and B with differences a and b from a reference of c tokens, and the weight w of a
 difference being what it removes plus t times what it adds, A and B have similarity t if and only if
 (1 + t) |a & b| >= w(a) + w(b) - (1 - t) c. So a light difference is linked to the lightest one
 without being compared with any other, and other pairs must share parts of their differences: copies
 of one text, each with edits of its own, do not meet in the tokens that all of them have in common.
+A difference first asks the lightest one that shares each of its tokens; what that has joined is not
+compared again.
 """
 
 from __future__ import annotations
@@ -218,22 +220,50 @@ def _grouped(sets: DataFrame) -> DataFrame:
         "node", F.col("best.key").alias("grp")))
 
 
-def _opened(sets: DataFrame, groups: DataFrame, matrix: DataFrame, rare: DataFrame, percent: int) -> DataFrame:
-    """``node, grp`` of every group that a class belongs to or has to visit."""
+def _matrix(sets: DataFrame, groups: DataFrame, tokens_: Column) -> DataFrame:
+    """``grp, token, held``: the tokens of each group's members and how many of them hold each."""
+    return sets.join(groups, "node").select("grp", F.explode(tokens_).alias("token")).groupBy("grp", "token").agg(
+        F.count(F.lit(1)).alias("held"))
+
+
+def _visits(sets: DataFrame, groups: DataFrame, rare: DataFrame, percent: int) -> DataFrame:
+    """``node, grp`` of other groups that may hold a partner, by a quarter of the tokens.
+
+    A set misses at most (1 - t) n of its tokens in any partner, so it misses no more of any share of
+    them in the union of the partner's group. What meets in a rare token by chance misses most of a
+    quarter of them, and goes no further than that.
+    """
     rare_groups = rare.join(groups, "node")
     doors = rare_groups.select("token", "grp").distinct()
     met = rare_groups.select("node", "token", F.col("grp").alias("own")).join(doors, "token").filter("grp <> own")
     # Sets of too unlike sizes need no look at the matrix.
     sizes = groups.join(sets.select("node", "n"), "node").groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     met = met.select("node", "grp").distinct().join(sizes, "grp").join(sets.select("node", "n"), "node")
-    met = cut_lineage(met.filter((F.col("n") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("n") * 100)).select("node", "grp"))
+    met = cut_lineage(met.filter((F.col("n") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("n") * 100)).select("node", "grp", "n"))
+    quarter = F.filter("tokens", lambda token: token.bitwiseAND(3) == 0)
+    union = _matrix(sets, groups.join(met.select("grp").distinct(), "grp", "left_semi"), quarter).select("grp", "token")
+    asked = cut_lineage(sets.join(met.select("node").distinct(), "node", "left_semi").select("node", quarter.alias("asked")))
+    hits = met.select("node", "grp").join(asked, "node").select("node", "grp", F.explode("asked").alias("token")).join(
+        union, ["grp", "token"]).groupBy("node", "grp").agg(F.count(F.lit(1)).alias("hits"))
+    counted = met.join(asked.select("node", F.size("asked").alias("asked")), "node").join(hits, ["node", "grp"], "left")
+    missed = F.col("asked") - F.coalesce("hits", F.lit(0))
+    return cut_lineage(counted.filter(missed * 100 <= F.col("n") * (100 - percent)).select("node", "grp"))
+
+
+def _opened(sets: DataFrame, groups: DataFrame, rare: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``node, grp`` of every group that a class belongs to or has to visit, and the matrix of these
+    groups. A class that is alone in its group and has no visitors needs neither."""
+    met = _visits(sets, groups, rare, percent)
+    several = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("grp")
+    groups = cut_lineage(groups.join(several.unionByName(met.select("grp")).distinct(), "grp", "left_semi"))
+    matrix = cut_lineage(_matrix(sets, groups, F.col("tokens")))
     # How much of the query the group's union holds: any member holds no more.
     held = (
         met.join(sets.select("node", "n", F.explode("tokens").alias("token")), "node").join(matrix, ["grp", "token"])
         .groupBy("node", "grp").agg(F.count(F.lit(1)).alias("overlap"), F.any_value("n").alias("n"))
     )
     qualified = held.filter(F.col("overlap") * 100 >= F.col("n") * percent).select("node", "grp")
-    return cut_lineage(groups.unionByName(qualified))
+    return cut_lineage(groups.select("node", "grp").unionByName(qualified)), matrix
 
 
 def _differences(opened: DataFrame, sets: DataFrame, matrix: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -291,20 +321,7 @@ def _links(apart: DataFrame, percent: int) -> DataFrame:
         "grp", "token", "node", "weight", "common", "light", "place",
         (F.col("place") * (100 + percent) >= needed(F.col("least"))).alias("asks"),
         (F.col("place") * (100 + percent) >= needed(F.col("weight"))).alias("answers")))
-    asking = ranked.filter("asks").select("grp", "token", F.col("node").alias("b"), "common", F.col("weight").alias("wb"),
-                                           F.col("light").alias("lb"), F.col("place").alias("pb"))
-    answering = ranked.filter("answers").select("grp", "token", F.col("node").alias("a"), F.col("weight").alias("wa"),
-                                                 F.col("light").alias("la"), F.col("place").alias("pa"))
-    # The heavier one asks. Two light ones hang together already. A pair meets in the rarest token that
-    # both hold if in any, and holds no more than the tokens up to it.
-    pairs = asking.join(answering, ["grp", "token"]).filter(
-        "(wa < wb OR wa = wb AND a < b) AND wa + wb > common AND NOT (la AND lb)"
-        f" AND least(pa, pb) * {100 + percent} >= wa + wb - common").select("grp", "a", "b", "wa", "wb", "common").distinct()
     diffs = apart.select("grp", "node", "diff")
-    both = (
-        pairs.join(diffs.select("grp", F.col("node").alias("a"), F.col("diff").alias("left")), ["grp", "a"])
-        .join(diffs.select("grp", F.col("node").alias("b"), F.col("diff").alias("right")), ["grp", "b"])
-    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,8 +330,33 @@ def _links(apart: DataFrame, percent: int) -> DataFrame:
             held = pa.array((100 + percent) * np.array(shared, np.int64) >= need)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(held)
 
-    verified = both.select("a", "b", "wa", "wb", "common", "left", "right").mapInArrow(run, "a bigint, b bigint")
-    return cut_lineage(light.unionByName(verified))
+    def linked(asking: DataFrame, answering: DataFrame, apart_by: str) -> DataFrame:
+        """The heavier one asks. Two light ones hang together already. A pair meets in the rarest token
+        that both hold if in any, and holds no more than the tokens up to it."""
+        pairs = asking.join(answering, ["grp", "token"]).filter(
+            f"(wa < wb OR wa = wb AND a < b) AND wa + wb > common AND NOT (la AND lb) AND {apart_by}"
+            f" AND least(pa, pb) * {100 + percent} >= wa + wb - common").select("grp", "a", "b", "wa", "wb", "common").distinct()
+        both = (
+            pairs.join(diffs.select("grp", F.col("node").alias("a"), F.col("diff").alias("left")), ["grp", "a"])
+            .join(diffs.select("grp", F.col("node").alias("b"), F.col("diff").alias("right")), ["grp", "b"])
+        )
+        return cut_lineage(both.select("a", "b", "wa", "wb", "common", "left", "right").mapInArrow(run, "a bigint, b bigint"))
+
+    def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        ask = rows.filter("asks").select("grp", "token", F.col("node").alias("b"), "common", F.col("weight").alias("wb"),
+                                         F.col("light").alias("lb"), F.col("place").alias("pb"), F.col("root").alias("rb"))
+        answer = rows.filter("answers").select("grp", "token", F.col("node").alias("a"), F.col("weight").alias("wa"),
+                                               F.col("light").alias("la"), F.col("place").alias("pa"), F.col("root").alias("ra"))
+        return ask, answer
+
+    # First each asks the lightest one that answers to a token; that joins most of what is to be joined.
+    # Then only those that are not joined yet are compared with each other.
+    asking, answering = sides(ranked.withColumn("root", F.col("node")))
+    first = answering.groupBy("grp", "token").agg(F.min(F.struct("wa", "a", "la", "pa")).alias("one")).select("grp", "token", "one.*")
+    near_links = cut_lineage(light.unionByName(linked(asking, first, "a <> b")))
+    roots = components(near_links)
+    asking, answering = sides(ranked.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    return near_links.unionByName(linked(asking, answering, "ra <> rb"))
 
 
 def similar(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -340,9 +382,7 @@ def similar(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "d
     sets = _sets(docs, wanted, words)
     rare = cut_lineage(rare.join(sets.select("digest", "node"), "digest").select("node", "token"))
     groups = _grouped(sets)
-    matrix = cut_lineage(sets.select("node", F.explode("tokens").alias("token")).join(groups, "node").groupBy("grp", "token").agg(
-        F.count(F.lit(1)).alias("held")))
-    opened = _opened(sets, groups, matrix, rare, percent)
+    opened, matrix = _opened(sets, groups, rare, percent)
     roots = components(_links(_differences(opened, sets, matrix, groups, percent), percent))
     rooted = sets.select("digest", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = classes.select("digest", "n", "least").join(rooted.select("digest", "root"), "digest", "left")
