@@ -348,6 +348,7 @@ def stream_statuses(t: Tables):
     """The incremental ingest as a stream that is drained: the same rows as its batch query."""
     store, progress = _workspace(t, "raw_statuses", "timeline_marks")
     store.write("timeline_marks", _marks(t), store.begin(1))
+    store.finish(1)
     zero = F.lit(0).cast("bigint")
     posts = _stream(t, "events").select(
         F.col("event_id").alias("status_id"), "user_id", F.col("event_type").alias("description"),
@@ -404,6 +405,7 @@ def stream_timelines(t: Tables):
     their user's mark, long posts with the text of their article."""
     store, progress = _workspace(t, "raw_statuses", "timeline_marks")
     store.write("timeline_marks", _marks(t), store.begin(1))
+    store.finish(1)
     post = F.to_json(F.struct(
         F.col("event_id").alias("id"), "user_id", F.col("event_type").alias("text"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("created_at"), (F.col("event_id") % 4).alias("type")))

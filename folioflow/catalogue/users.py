@@ -88,15 +88,61 @@ def task_lifecycle(t: Tables):
     store = TableStore(t.spark, f"{shared_folder(t.spark)}/tasks/{uuid.uuid4().hex}")
     store.create_tables("target_users", "task_log")
     store.insert("target_users", tasks.as_pending(t.profiles()), store.begin(1), ["user_id"])
+    store.finish(1)
     for epoch, (step, day) in enumerate([(2, "2024-02-01 00:00:00"), (4, "2024-02-10 00:00:00")], 2):
         batch = store.begin(epoch)
         # On the second day those of the first are not due yet; those that are worked on anyway are finished anew.
         worked = store.current("target_users", batch).filter(F.col("user_id") % step == 0)
         store.write("task_log", tasks.finished(worked, "target_users", day), batch)
+        store.finish(epoch)
     return store.current("target_users").select(
         "user_id", "last_updated", tasks.is_due(F.col("last_updated"), "2024-02-25 00:00:00", CFG.cache_days).alias("due"))
 
 
+@query(f"""
+    SELECT user_id, CASE WHEN user_id % 3 = 0 THEN 'second' ELSE 'first' END AS user_name, followers_count
+    FROM ({PROFILES}) p WHERE user_id % 2 = 0 OR user_id % 3 = 0""")
+def two_writers(t: Tables):
+    """Two writers at the same time, with keys in common: the one that finishes first has them, though it
+    began later, and epochs that are run again change nothing."""
+    store = _two_writers(t)
+    return store.current("users").select("user_id", "user_name", "followers_count")
+
+
+@query(f"""
+    WITH u AS (SELECT user_id FROM ({PROFILES}) p)
+    SELECT 'users' AS table_name, count_if(user_id % 2 = 0) + count_if(user_id % 3 = 0) AS n_written,
+        count_if(user_id % 2 = 0 OR user_id % 3 = 0) AS n_current FROM u
+    UNION ALL SELECT 'target_users', 0, 0""")
+def live_counters(t: Tables):
+    """Rows counted while two writers put them down, repeated epochs once, beside the rows that are read
+    (one row per table)."""
+    store = _two_writers(t)
+    store.write("target_users", tasks.as_pending(t.profiles()).filter("user_id IS NULL"), store.begin(1))
+    store.finish(1)
+    tables = [
+        store.current(table).agg(F.count(F.lit(1)).alias("n_current")).select(
+            F.lit(table).alias("table_name"), F.lit(n).cast("bigint").alias("n_written"), "n_current")
+        for table, n in store.written().items()]
+    return tables[0].unionByName(tables[1])
+
+
+def _two_writers(t: Tables) -> TableStore:
+    store = TableStore(t.spark, f"{shared_folder(t.spark)}/writers/{uuid.uuid4().hex}")
+    store.create_tables("users", "target_users", "task_log")
+    first, second = store.writing_as("first"), store.writing_as("second")
+
+    def insert(own: TableStore, step: int) -> None:
+        rows = t.profiles().filter(F.col("user_id") % step == 0).withColumn("user_name", F.lit(own.writer))
+        own.insert("users", rows, own.begin(1), ["user_id"])
+
+    first.begin(1)
+    for own, step in ((second, 3), (first, 2), (second, 3), (first, 2)):
+        insert(own, step)
+        own.finish(1)
+    return store
+
+
 @query(f"""
     SELECT user_id, user_name, followers_count FROM ({PROFILES}) u
     WHERE followers_count > 5000 AND comments_count > 20 AND user_id NOT IN ({SCANNED})

@@ -52,8 +52,3 @@ def expansion_waits(high_quality_users: DataFrame, cfg: FlowConfig, as_of) -> bo
 
 def accepted_counts(rows: DataFrame, keys: list[str], name: str = "accepted") -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
-def observed(df: DataFrame, observation) -> DataFrame:
-    """Count accepted rows while they are written; read ``observation.get['rows']`` afterwards."""
-    return df.observe(observation, F.count(F.lit(1)).alias("rows"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from folioflow.config import FlowConfig
 from folioflow.functions import scalars as sc, variants as vr
@@ -169,11 +169,17 @@ def run_round(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, number:
     return not reduce(DataFrame.unionAll, written).isEmpty()
 
 
+def _as_map(counts: dict[str, int]) -> Column:
+    pairs = [F.lit(part) for table, n in counts.items() for part in (table, n)]
+    return F.create_map(*pairs).cast("map<string,bigint>")
+
+
 def run(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, seed: int,
         scorer: classify.Scorer | None = None, max_rounds: int | None = None, sources: int = 1) -> DataFrame:
     """Rounds until enough targets are found or a round changes nothing; one row of counts.
 
-    The column ``stopped`` says why it ended. ``max_rounds`` bounds one call; calling again goes on.
+    The column ``stopped`` says why it ended, ``written`` how many rows this call put down per table,
+    counted while they were written. ``max_rounds`` bounds one call; calling again goes on.
     """
     scorer = scorer or classify.RuleScorer()
     store.create_tables()
@@ -190,4 +196,4 @@ def run(store: TableStore, cap: Captures, cfg: FlowConfig, as_of, seed: int,
     return progress.progress(
         store.current("users"), store.current("target_users"),
         store.current("raw_statuses"), store.current("value_comments"), cfg,
-    ).withColumn("stopped", F.lit(stopped))
+    ).withColumn("stopped", F.lit(stopped)).withColumn("written", _as_map(store.written()))

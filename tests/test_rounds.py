@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from folioflow.config import FlowConfig
 from folioflow.plans import classify, frontier, progress, rounds
+from folioflow.schemas import columns
 from folioflow.sources.store import TableStore
 from folioflow.streaming import jobs
 
@@ -135,7 +136,9 @@ def test_a_seed_without_pages_stalls_nothing(spark, rows, tmp_path):
     setup = store.writing_as("setup")
     for table in ("users", "high_quality_users"):
         setup.write(table, known, setup.begin(1))
+    setup.finish(1)
     rounds.expand(store, cap, FlowConfig(target_goal=None), AS_OF, store.begin(1), SEED)
+    store.finish(1)
     assert rows(store.current("users"), "user_id") == [(10,), (11,), (13,)]
 
 
@@ -156,6 +159,54 @@ def test_batches_have_one_owner(spark, tmp_path):
     assert TableStore(spark, str(tmp_path), "two").begin(3) == 5
 
 
+def test_writers_at_the_same_time(spark, rows, tmp_path):
+    """What was read once stays; an epoch that is run again writes the same rows."""
+    store = TableStore(spark, str(tmp_path))
+    store.create_tables()
+    a, b, c = (store.writing_as(w) for w in "abc")
+
+    def user(own, *ids):
+        data = [(i, own.writer) for i in ids]
+        own.insert("users", spark.createDataFrame(data, "user_id long, user_name string").select("*", *(
+            F.lit(None).cast(kind).alias(n) for n, kind in columns("users").items() if n not in ("user_id", "user_name"))), own.begin(1), ["user_id"])
+
+    def position(own):
+        own.insert("portfolio_positions", spark.createDataFrame(
+            [(1, "s", "1", "n", "2", "3"), (1, None, "1", "n", "2", "3")],
+            "comb_id long, segment_name string, segment_weight string, stock_name string, stock_price string, stock_weight string"
+        ).withColumn("updated_at", F.lit(None).cast("timestamp_ntz")), own.begin(1), ["stock_name"])
+
+    assert (a.begin(1), b.begin(1)) == (1, 2)
+    user(b, 1, 2)
+    position(b)
+    assert rows(store.current("users")) == []  # not finished
+    b.finish(1)
+    assert rows(store.current("users"), "user_id", "user_name") == [(1, "b"), (2, "b")]
+    user(a, 1, 3)
+    position(a)
+    a.finish(1)
+    assert rows(store.current("users"), "user_id", "user_name") == [(1, "b"), (2, "b"), (3, "a")]
+    # A row with a null in its key never equals another.
+    assert store.current("portfolio_positions").count() == 3
+    for own, ids, kept in ((b, (1, 2), [1, 2]), (a, (1, 3), [1, 3])):
+        user(own, *ids)
+        own.finish(1)
+        assert rows(store.log("users").filter(F.col("batch_id") == own.begin(1)), "user_id") == [(i,) for i in kept]
+    user(c, 1, 2, 3, 4)
+    c.finish(1)
+    assert rows(store.current("users"), "user_id", "user_name") == [(1, "b"), (2, "b"), (3, "a"), (4, "c")]
+    assert store.written() == {"portfolio_positions": 4, "users": 5}
+
+
+def test_a_run_counts_what_it_writes(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    out = rounds.run(store, world(spark), FlowConfig(target_goal=2), AS_OF, SEED, max_rounds=1).first()
+    assert out.written["users"] == store.log("users").count() > 0
+    assert out.written["value_comments"] == store.log("value_comments").count()
+    again = rounds.run(TableStore(spark, str(tmp_path)), world(spark), FlowConfig(target_goal=2), AS_OF, SEED, max_rounds=0).first()
+    assert again.written == {}
+
+
 def test_two_streams_into_one_table_lose_nothing(spark, rows, tmp_path):
     store = TableStore(spark, str(tmp_path / "t"))
     store.create_tables()
