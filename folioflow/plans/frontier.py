@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioflow.config import FlowConfig
@@ -16,6 +19,9 @@ from folioflow.schemas import columns
 from folioflow.session import cut_lineage, shared_folder
 
 PROFILE = list(columns("users"))
+# What one step of the best-first expansion puts into one task: so many users of either kind, and so
+# many links between them and users not known yet.
+FIRST_USERS, MOST_USERS, MOST_LINKS = 1 << 16, 1 << 19, 3_000_000
 
 
 def is_high_quality(cfg: FlowConfig) -> Column:
@@ -111,6 +117,64 @@ def reach(edges: DataFrame, start: DataFrame, hops: int, cut_every: int = 1) ->
     return known
 
 
+def _played(rows: pa.Table, k: int, number: int, room: int | None, last_round: int | None,
+            cut: bool) -> tuple[list[pa.RecordBatch], int]:
+    """The rounds after ``number`` that the rows at hand decide: what became known or scanned in them.
+
+    ``rows`` are ``kind, user_id, followers_count, src``: open users (0), users with their links at hand
+    who are not known (1), and links (2) to users not known. With ``cut`` there are more open users, all
+    after these. A round needs the ``k`` best open users and their links; the first one that lacks some
+    is left to the next step. Users are numbered by rank, so a round's users are the first open ones.
+    """
+    kind, ids = rows.column("kind").to_numpy(), rows.column("user_id").to_numpy()
+    counts = rows.column("followers_count")
+    missing = counts.is_null().to_numpy()
+    counts = counts.fill_null(0).to_numpy()
+    users, first = np.unique(ids, return_index=True)
+    order = np.lexsort((users, -counts[first], missing[first]))
+    place = np.empty(len(users), np.int64)
+    place[order] = np.arange(len(users))
+    at = place[np.searchsorted(users, ids)]
+    users, first = users[order], first[order]
+    is_open = np.zeros(len(users), bool)
+    is_open[at[kind == 0]] = True
+    held = np.zeros(len(users), bool)
+    held[at[kind != 2]] = True
+    known = is_open.copy()
+    bound = int(at[kind == 0].max()) if cut else len(users)
+    src = place[np.searchsorted(users[place], rows.column("src").drop_null().to_numpy())]
+    dst = at[kind == 2]
+    by_source = np.argsort(src, kind="stable")
+    src, dst = src[by_source], dst[by_source]
+    found, scanned = [], []
+    while (last_round is None or number < last_round) and (room is None or room > 0):
+        chosen = np.flatnonzero(is_open)[:k]
+        if not len(chosen) or not held[chosen].all() or (cut and (len(chosen) < k or chosen[-1] > bound)):
+            break
+        number += 1
+        is_open[chosen] = False
+        scanned.append((chosen, number))
+        low, high = np.searchsorted(src, chosen), np.searchsorted(src, chosen, side="right")
+        links = np.repeat(low, high - low) + np.arange((high - low).sum()) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
+        links = links[~known[dst[links]]]
+        # A user's first link comes from their best source: links are in the order of the sources.
+        met, nth = np.unique(dst[links], return_index=True)
+        if room is not None:
+            kept = np.lexsort((users[met], src[links[nth]]))[:room]
+            met = met[kept]
+            room -= len(met)
+        known[met] = is_open[met] = True
+        found.append((met, number))
+    out = []
+    for name, parts in (("known", found), ("scanned", scanned)):
+        for places, turn in parts:
+            out.append(pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(places), pa.string()), pa.array(users[places], pa.int64()),
+                 pa.array(counts[first[places]], pa.int64(), mask=missing[first[places]]),
+                 pa.array(np.full(len(places), turn), pa.int32())], names=["what", "user_id", "followers_count", "at"]))
+    return out, number
+
+
 def best_first(edges: DataFrame, profiles: DataFrame, start: DataFrame, k: int, user_cap: int | None = None,
                max_rounds: int | None = None) -> DataFrame:
     """``user_id, followers_count, found_round, scanned_round``: expansion from the best users on.
@@ -121,40 +185,88 @@ def best_first(edges: DataFrame, profiles: DataFrame, start: DataFrame, k: int,
     order of the sources' rank and then their own id. It ends when no known user is unscanned, the
     cap is reached, or after ``max_rounds``. A user not scanned by then has a null ``scanned_round``.
 
-    Known and scanned users are folders that grow by one part a round, so a round's plan does not
-    grow; per round only two row counts come to the driver.
+    A step takes many rounds: it gathers the best open users, the users they may find next, and the links
+    of both to users not known, and plays the rounds these decide in one task. What a step gathers is
+    bounded; a round whose links are more than that is done by joins. Links are put down anew per
+    step without those of scanned users and those to known ones, so steps read less and less. Known
+    and scanned users are folders that grow by one part a step, so a step's plan does not grow; per step
+    only a few numbers come to the driver.
     """
     spark = edges.sparkSession
     root = f"{shared_folder(spark)}/expansion/{uuid.uuid4().hex}"
-    kinds = {"known": "user_id bigint, followers_count bigint", "scanned": "user_id bigint"}
+    kind = "what string, user_id bigint, followers_count bigint, at int"
+    order = [F.desc_nulls_last("followers_count"), "user_id"]
+    # Nulls rank after every number.
+    rank = F.struct(F.col("followers_count").isNull(), -F.col("followers_count"), F.col("user_id"))
 
-    def put(name: str, rows: DataFrame, number: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{root}/{name}/at={number}")
+    def put(rows: DataFrame, step: int) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{root}/step={step}")
+        return spark.read.schema(kind).parquet(f"{root}/step={step}")
 
-    def held(name: str) -> DataFrame:
-        return spark.read.schema(f"{kinds[name]}, at int").parquet(f"{root}/{name}")
+    def held(what: str) -> DataFrame:
+        return spark.read.schema(f"{kind}, step int").parquet(root).filter(F.col("what") == what).drop("what", "step")
 
-    people = profiles.select(F.col("user_id").cast("bigint").alias("user_id"), F.col("followers_count").cast("bigint").alias("followers_count"))
-    put("known", people.dropDuplicates(["user_id"]).join(start.select("user_id"), "user_id", "left_semi"), 0)
-    put("scanned", people.select("user_id").limit(0), 0)
-    number, size = 0, held("known").count()
+    people = cut_lineage(profiles.select(
+        F.col("user_id").cast("bigint").alias("user_id"), F.col("followers_count").cast("bigint").alias("followers_count"),
+    ).filter("user_id IS NOT NULL").dropDuplicates(["user_id"]))
+    follows = edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("user_id"))
+    links = follows.filter("src IS NOT NULL").distinct().join(people, "user_id").join(
+        people.select(F.col("user_id").alias("src")), "src", "left_semi")
+    latest = put(people.join(start.select("user_id"), "user_id", "left_semi").select(
+        F.lit("known").alias("what"), "user_id", "followers_count", F.lit(0).alias("at")), 0)
+    number, size, step, width = 0, latest.count(), 0, min(max(FIRST_USERS, k or 0), MOST_USERS)
     while (max_rounds is None or number < max_rounds) and (user_cap is None or size < user_cap):
-        number += 1
-        chosen = next_sources(held("known").drop("at"), held("scanned"), k)
-        put("scanned", chosen.select("user_id"), number)
-        read = spark.read.schema(kinds["scanned"]).parquet(f"{root}/scanned/at={number}")
-        ranked = read.join(held("known").drop("at"), "user_id")
-        # Nulls rank after every number.
-        rank = F.struct(F.col("followers_count").isNull(), -F.col("followers_count"), F.col("user_id"))
-        met = edges.select(F.col("src").alias("user_id"), "dst").join(ranked, "user_id").groupBy(
-            F.col("dst").cast("bigint").alias("found")).agg(F.min(rank).alias("rank"))
-        fresh = met.join(held("known").select(F.col("user_id").alias("found")), "found", "left_anti")
-        found = fresh.join(people.dropDuplicates(["user_id"]), F.col("found") == F.col("user_id"))
-        if user_cap is not None:
-            found = take(found, ["rank", "user_id"], user_cap - size)
-        put("known", found.select("user_id", "followers_count"), number)
-        size = held("known").count()
-        if read.isEmpty():
+        links = cut_lineage(
+            links.join(latest.filter("what = 'known'").select("user_id"), "user_id", "left_anti")
+            .join(latest.filter("what = 'scanned'").select(F.col("user_id").alias("src")), "src", "left_anti"))
+        open_users = cut_lineage(held("known").drop("at").join(held("scanned").select("user_id"), "user_id", "left_anti"))
+        n_open = open_users.count()
+        if not n_open:
             break
+        step, room = step + 1, None if user_cap is None else user_cap - size
+        gathered = None
+        while k and (k <= width or n_open <= width):
+            best = cut_lineage(take(open_users, order, width))
+            ahead = links.join(open_users.select(F.col("user_id").alias("src")), "src", "left_semi").select(
+                "user_id", "followers_count").distinct()
+            if n_open > width:
+                missing, count, user = best.agg(F.max(rank)).first()[0]
+                ahead = ahead.filter(rank < F.struct(F.lit(missing), F.lit(count).cast("bigint"), F.lit(user).cast("bigint")))
+            ahead = take(ahead, order, width)
+            players = cut_lineage(best.withColumn("kind", F.lit(0)).unionByName(ahead.withColumn("kind", F.lit(1))))
+            wanted = cut_lineage(links.join(players.select(F.col("user_id").alias("src")), "src", "left_semi"))
+            if wanted.count() <= MOST_LINKS:
+                gathered = players.withColumn("src", F.lit(None).cast("bigint")).unionByName(wanted.withColumn("kind", F.lit(2)))
+                break
+            width //= 4
+        if gathered is not None:
+            arguments = (k, number, room, max_rounds, n_open > width)
+
+            def play(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                held_rows = [b for b in batches if b.num_rows]
+                if held_rows:
+                    yield from _played(pa.Table.from_batches(held_rows), *arguments)[0]
+
+            latest = put(gathered.select("kind", "user_id", "followers_count", "src").coalesce(1).mapInArrow(play, kind), step)
+            width = min(2 * width, MOST_USERS)
+        else:
+            latest = put(_one_round(links, open_users, order, rank, k, number + 1, room), step)
+            width = min(max(2 * width, k or 0), MOST_USERS)
+        number, more = latest.agg(F.max("at"), F.count(F.when(F.col("what") == "known", 1))).first()
+        size += more
     return held("known").withColumnRenamed("at", "found_round").join(
-        held("scanned").withColumnRenamed("at", "scanned_round"), "user_id", "left")
+        held("scanned").select("user_id", F.col("at").alias("scanned_round")), "user_id", "left")
+
+
+def _one_round(links: DataFrame, open_users: DataFrame, order: list, rank: Column, k: int, number: int,
+               room: int | None) -> DataFrame:
+    """One round by joins, whatever its size."""
+    chosen = cut_lineage(take(open_users, order, k))
+    sources = chosen.select(F.col("user_id").alias("src"), rank.alias("rank"))
+    found = links.join(sources, "src").groupBy("user_id").agg(
+        F.first("followers_count").alias("followers_count"), F.min("rank").alias("rank"))
+    if room is not None:
+        found = take(found, ["rank", "user_id"], room)
+    part = lambda rows, what: rows.select(
+        F.lit(what).alias("what"), "user_id", "followers_count", F.lit(number).cast("int").alias("at"))
+    return part(chosen, "scanned").unionByName(part(found, "known"))

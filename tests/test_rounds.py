@@ -360,6 +360,30 @@ def test_best_first_expansion(spark, rows):
         assert rows(got, "user_id", "followers_count", "found_round", "scanned_round") == plain_best_first(edges, followers, [1, 2, 65], k, cap, limit)
 
 
+def test_best_first_takes_many_rounds_a_step(spark, rows, monkeypatch):
+    """Rounds do not cost a write each, and what a step may hold changes nothing."""
+    rng = random.Random(5)
+    followers = {u: rng.choice([None, 7, rng.randrange(3000)]) for u in range(450)}
+    edges = [(rng.randrange(450), rng.randrange(500)) for _ in range(2500)] + [(3, u) for u in range(0, 450, 3)]
+    e = spark.createDataFrame(edges, "src long, dst long")
+    p = spark.createDataFrame(list(followers.items()), "user_id long, followers_count long")
+    start = spark.createDataFrame([(1,), (3,)], "user_id long")
+    steps = []
+    cut = frontier.cut_lineage
+    monkeypatch.setattr(frontier, "cut_lineage", lambda df: steps.append(1) or cut(df))
+    got = frontier.best_first(e, p, start, 4)
+    expected = plain_best_first(edges, followers, [1, 3], 4, None, None)
+    assert rows(got, "user_id", "followers_count", "found_round", "scanned_round") == expected
+    # About 110 rounds.
+    assert max(r[3] for r in expected) > 100 and len(steps) < 60
+    for users, links, k, cap, limit in ((32, 3_000_000, 16, None, 12), (64, 90, 70, 300, None)):
+        monkeypatch.setattr(frontier, "FIRST_USERS", users)
+        monkeypatch.setattr(frontier, "MOST_USERS", 2 * users)
+        monkeypatch.setattr(frontier, "MOST_LINKS", links)
+        got = frontier.best_first(e, p, start, k, cap, limit)
+        assert rows(got, "user_id", "followers_count", "found_round", "scanned_round") == plain_best_first(edges, followers, [1, 3], k, cap, limit)
+
+
 def raw(df):
     zero = F.lit(0).cast("long")
     return df.select(
