@@ -359,7 +359,7 @@ def portfolio_pages(t: Tables):
         '</span></div></div><div class="weight-list">', *stock, *segment, *stock, *stock, *segment, "</div></body></html>",
     ]
     page = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-    captures = t.customer.select(
+    captures = t.spread(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")).select(
         t.symbol_of("c_custkey").alias("symbol"), page.alias("html"), F.lit(None).cast("string").alias("comments_html"),
         F.lit(None).cast("string").alias("rebalances"))
     docs = html.portfolio_documents(captures)

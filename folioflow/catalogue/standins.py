@@ -25,6 +25,11 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    @staticmethod
+    def spread(rows: DataFrame) -> DataFrame:
+        """Compact rows that grow into pages: a file of few splits is dealt to all cores before that."""
+        return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+
     # --- users ---
 
     def profiles(self) -> DataFrame:

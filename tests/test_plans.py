@@ -42,3 +42,9 @@ def test_scans_are_pruned(spark, capsys, name, columns, filters):
                                   "positions_explode", "profile_pages", "portfolio_pages", "clean_text", "score_posts"])
 def test_payload_work_does_not_shuffle(spark, capsys, name):
     assert "Exchange" not in plan(spark, capsys, name)
+
+
+def test_pages_are_parsed_on_all_cores(spark):
+    """A table of one small file is dealt out before its rows become pages."""
+    pages = contract.queries()["portfolio_pages"](spark, SF)
+    assert pages.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
