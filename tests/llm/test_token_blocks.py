@@ -72,3 +72,14 @@ def test_files_hold_every_document(odd_docs, no_docs, documents, tokenizer, spar
         tb.write(df, str(tmp_path / str(n)), tokenizer_path())
         got = tb.read(spark.read.parquet(str(tmp_path / str(n)))).collect()
         assert sorted(repr(tuple(r)) for r in got) == plain(df, tokenizer)
+
+
+def test_words_are_encoded_once(tokenizer):
+    """Some 200,000 words that come again are not handed to the tokenizer a second time."""
+    encoder = tb.ChunkEncoder(tokenizer.path if hasattr(tokenizer, "path") else tokenizer_path())
+    text = " ".join("".join(chr(97 + n // 26 ** k % 26) for k in range(4)) for n in range(200_000)).encode()
+    first = encoder.encode(text)
+    asked = []
+    for store in (encoder.chunks, encoder.pieces):
+        store.work = asked.append
+    assert encoder.encode(text) == first and not asked
