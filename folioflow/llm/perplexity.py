@@ -6,6 +6,12 @@ over all documents, there are no collisions, and no model exceeds 2 ** 24 entrie
 count their own n-grams, Spark sums them and works out discounts, context weights and probabilities
 with joins; the result is kept per order as an array of sorted keys and one of values beside it.
 
+Four of the symbols stand for many characters: other letters, capitals, digits and the rest. Which
+one a character is, is the second factor of its probability: a Kneser-Ney model of order three over
+whole code points, given the symbol and the two code points before. Its n-grams are exact 63-bit
+keys and grow with the input, so its table stays in Spark: tasks hold the most common n-grams, the
+others are looked up by a join. So each character counts as what it is, whatever its script.
+
 A document is rejected if its bits per character are far from the usual of its language: below or
 above the median by more than so many times the spread between the quartiles.
 """
@@ -31,6 +37,10 @@ LISTED = "abcdefghijklmnopqrstuvwxyz \n.,;:!?'\"-()|#$%&*/äöüßéèêçñíó
 _OTHER_LOWER, _CAPITAL, _DIGIT, _ELSE, _FIRST_LISTED = 1, 2, 3, 4, 5
 SYMBOLS = _FIRST_LISTED + len(LISTED)
 _SLICE = 1 << 21
+MEMBER_ORDER = 3
+_POINT_BITS = 21
+# Of a text's n-grams over code points, those among so many most common are known to every task.
+_COMMON = 1 << 20
 
 
 @lru_cache(maxsize=1)
@@ -58,6 +68,72 @@ def keys_of(text: str) -> np.ndarray:
     return key
 
 
+def members_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Of each character that shares its symbol: the symbol, and a 63-bit key, its code point after
+    the two before it (0 before the text)."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    symbols = _table()[points]
+    at = np.flatnonzero(symbols < _FIRST_LISTED)
+    padded = np.concatenate((np.zeros(MEMBER_ORDER - 1, np.int64), points))
+    key = padded[at]
+    for n in range(1, MEMBER_ORDER):
+        key = (key << _POINT_BITS) | padded[at + n]
+    return symbols[at].astype(np.int32), key
+
+
+def count_members(texts: DataFrame) -> DataFrame:
+    """``symbol, key, c`` over all texts, for characters that share their symbol."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def summed():
+            keys, first, counts = np.unique(np.concatenate([k for _, k in held]), return_index=True, return_counts=True)
+            symbols = np.concatenate([s for s, _ in held])[first]
+            for at in range(0, len(keys), 100_000):
+                part = slice(at, at + 100_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(symbols[part]), pa.array(keys[part]), pa.array(counts[part].astype(np.int64))], names=["symbol", "key", "c"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.append(members_of(text))
+                size += len(held[-1][1])
+                if size > _SLICE:
+                    yield from summed()
+                    held, size = [], 0
+        if held:
+            yield from summed()
+
+    return texts.mapInArrow(run, "symbol int, key bigint, c bigint").groupBy("symbol", "key").agg(F.sum("c").alias("c"))
+
+
+def fit_members(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``key, c, bits`` of every n-gram over code points of a table's texts: how often it is there, and
+    minus log2 of its last character's probability among those of its symbol, after the two before."""
+    counts = {MEMBER_ORDER: cut_lineage(count_members(narrow(docs, text_col, text_col).select("text")))}
+    for order in range(MEMBER_ORDER - 1, 0, -1):
+        suffix = F.col("key").bitwiseAND(F.lit((1 << (_POINT_BITS * order)) - 1)).alias("key")
+        counts[order] = cut_lineage(counts[order + 1].groupBy("symbol", suffix).agg(F.count(F.lit(1)).alias("c")))
+    sizes = np.bincount(_table(), minlength=_FIRST_LISTED)[:_FIRST_LISTED]
+    uniform = 1 / F.get(F.array(*(F.lit(float(n)) for n in sizes)), F.col("symbol"))
+    lower = None
+    for order in range(1, MEMBER_ORDER + 1):
+        seen = counts[order]
+        d1, d2, d3 = discounts(*seen.agg(*(F.count(F.when(F.col("c") == k, 1)) for k in range(1, 5))).first())
+        discount = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
+        parted = seen.withColumn("context", F.shiftright("key", _POINT_BITS)).withColumn("d", discount)
+        contexts = parted.groupBy("symbol", "context").agg(F.sum("c").alias("total"), F.sum("d").alias("held"))
+        own = parted.join(contexts, ["symbol", "context"]).select(
+            "symbol", "key", "c", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), (F.col("held") / F.col("total")).alias("g"))
+        below = uniform
+        if lower is not None:
+            suffix = F.col("key").bitwiseAND(F.lit((1 << (_POINT_BITS * (order - 1))) - 1))
+            own = own.withColumn("suffix", suffix).join(lower.select(F.col("key").alias("suffix"), F.col("p").alias("below")), "suffix")
+            below = F.col("below")
+        lower = cut_lineage(own.select("key", "c", (F.col("own") + F.col("g") * below).alias("p")))
+    return lower.select("key", "c", (-F.log2("p")).alias("bits"))
+
+
 def count_ngrams(texts: DataFrame) -> DataFrame:
     """``key, c`` over all texts. Each task sends a key once, with its count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,20 +279,37 @@ def rule_counts(text: str) -> tuple[int, int, int, int, int]:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measure(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", *others: Column) -> DataFrame:
+def measure(docs: DataFrame, model: Model, members: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            *others: Column) -> DataFrame:
     """``doc_id``, the other columns asked for, the five counts, and ``bits`` per character (null
-    for an empty text): one row per document."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    for an empty text): one row per document. ``model`` and ``members`` are those of these texts."""
+    common = members.orderBy(F.desc("c"), "key").limit(_COMMON).select("key", "bits").orderBy("key").toArrow()
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (model, common.column("key").to_numpy(), common.column("bits").to_numpy().astype(np.float32)))
+    rest = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
 
     def run(texts: list[str]) -> dict:
+        model, known, known_bits = sent.value
         counts = np.array([rule_counts(t) for t in texts], np.int64).reshape(-1, len(COUNTS))
-        keys = [keys_of(t) for t in texts]
-        bits = [float(sent.value.bits(k).mean()) if len(k) else None for k in keys]
-        return {**{n: counts[:, i] for i, n in enumerate(COUNTS)}, "bits": pa.array(bits, pa.float64())}
-
-    rows = narrow(docs, id_col, text_col, *others)
-    schema = ", ".join(f"{n} bigint" for n in COUNTS) + ", bits double"
-    return map_texts(rows.select(*(c for c in rows.columns if c != "text"), "text"), run, schema)
+        bits, rare = [], []
+        for text in texts:
+            own, times = np.unique(members_of(text)[1], return_counts=True)
+            at = _find(known, own)
+            hit = at >= 0
+            keys = keys_of(text)
+            bits.append(float(model.bits(keys).sum() + (times[hit] * known_bits[at[hit]]).sum()) if len(keys) else None)
+            rare.append([{"key": k, "n": n} for k, n in zip(own[~hit].tolist(), times[~hit].tolist())])
+        return {**{n: counts[:, i] for i, n in enumerate(COUNTS)}, "n_points": [len(t) for t in texts],
+                "bits": pa.array(bits, pa.float64()), "rare": pa.array(rare, rest)}
+
+    rows = narrow(docs, id_col, text_col, *others).withColumn("row", F.monotonically_increasing_id())
+    schema = ", ".join(f"{n} bigint" for n in COUNTS) + ", n_points bigint, bits double, rare array<struct<key: bigint, n: bigint>>"
+    found = cut_lineage(map_texts(rows.select(*(c for c in rows.columns if c != "text"), "text"), run, schema))
+    looked_up = found.select("row", F.inline("rare")).join(members.select("key", F.col("bits").alias("each")), "key").groupBy(
+        "row").agg(F.sum(F.col("n") * F.col("each")).alias("more"))
+    per_character = (F.col("bits") + F.coalesce("more", F.lit(0.0))) / F.col("n_points")
+    return found.join(looked_up, "row", "left").withColumn("bits", F.when(F.col("n_points") > 0, per_character)).drop(
+        "row", "rare", "more", "n_points")
 
 
 def judge(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, below: float = 6.0,
@@ -231,7 +324,7 @@ def judge(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, be
     model = fit(docs, text_col)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     measured = cut_lineage(
-        measure(docs, model, id_col, text_col, F.col(lang_col).alias("lang")).withColumn("base_failed", failed))
+        measure(docs, model, fit_members(docs, text_col), id_col, text_col, F.col(lang_col).alias("lang")).withColumn("base_failed", failed))
     quarters = measured.filter(~F.col("base_failed")).groupBy(F.col("lang").alias("band_lang")).agg(
         F.percentile_approx("bits", [0.25, 0.5, 0.75], 10_000).alias("q"))
     spread = F.greatest(F.lit(least_spread), F.col("q")[2] - F.col("q")[0])

@@ -99,3 +99,62 @@ def test_rows(odd_docs, no_docs, documents):
             expected.append(repr((r.doc_id, *n, n[0] < 50 or 100 * n[4] > 50 * n[0])))
         assert got == sorted(expected)
     assert px.judge(no_docs).count() == 0
+
+
+def plain_member_bits(texts):
+    """Code points among those of their symbol, with dictionaries of tuples."""
+    counts = Counter()
+    for t in texts:
+        points = [0, 0] + [ord(c) for c in t]
+        counts.update(tuple(points[i:i + 3]) for i in range(len(t)) if px._table()[points[i + 2]] < 5)
+    sizes, by_order = Counter(px._table().tolist()), {3: counts}
+    for n in (2, 1):
+        by_order[n] = Counter(g[1:] for g in by_order[n + 1])
+    symbol = lambda g: int(px._table()[g[-1]])
+    totals, held, d = defaultdict(int), defaultdict(float), {}
+    for n, seen in by_order.items():
+        of = Counter(seen.values())
+        d[n] = px.discounts(of[1], of[2], of[3], of[4])
+        for g, k in seen.items():
+            totals[symbol(g), g[:-1]] += k
+            held[symbol(g), g[:-1]] += d[n][min(k, 3) - 1]
+
+    def p(g):
+        context = symbol(g), g[:-1]
+        below = p(g[1:]) if len(g) > 1 else 1 / sizes[symbol(g)]
+        k = by_order[len(g)][g]
+        return (k - d[len(g)][min(k, 3) - 1]) / totals[context] + held[context] / totals[context] * below
+
+    return {g[0] << 42 | g[1] << 21 | g[2]: (k, -math.log2(p(g))) for g, k in counts.items()}
+
+
+def test_code_points_have_their_own_model(spark, monkeypatch):
+    texts = ["Привет, мир! Мир и привет 12 21", "世界和平 世界 A B", "", "plain", "Ελλάδα 😀 112 \x00\uffff"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(9, None, None)], "doc_id bigint, text string, lang string")
+    members, plain = px.fit_members(df), plain_member_bits(texts)
+    got = {r.key: (r.c, r.bits) for r in members.collect()}
+    assert got.keys() == plain.keys()
+    assert all(got[k][0] == plain[k][0] and abs(got[k][1] - plain[k][1]) < 1e-9 for k in plain)
+    model = px.fit(df)
+    for common in (1 << 20, 3):
+        monkeypatch.setattr(px, "_COMMON", common)
+        found = {r.doc_id: r.bits for r in px.measure(df, model, members).collect()}
+        assert found[2] is None and found[9] is None
+        for i, t in enumerate(texts):
+            if t:
+                own = sum(plain[k][1] for k in px.members_of(t)[1].tolist())
+                assert abs(found[i] - (float(model.bits(px.keys_of(t)).sum()) + own) / len(t)) < 1e-4
+
+
+def test_noise_in_any_script_is_told_from_prose(spark):
+    rng = random.Random(8)
+    rows = []
+    for n, (lang, syllables, letters) in enumerate((
+            ("ru", ["при", "вет", "мир", "дом", "ста", "рый", "но", "вый"], "абвгдежзийклмнопрстуфхцчшщъыьэюя"),
+            ("zh", ["中国", "市场", "公司", "投资", "股票", "今天", "我们", "增长"], "".join(map(chr, range(0x4e00, 0x5200)))))):
+        words = ["".join(rng.choices(syllables, k=3)) for _ in range(200)]
+        rows += [(1000 * n + i, " ".join(rng.choices(words, k=120)), lang) for i in range(100)]
+        # The same word lengths, so the same symbols, in letters drawn at random.
+        rows.append((1000 * n + 900, "".join(c if c == " " else rng.choice(letters) for c in rows[-1][1]), lang))
+    got = {r.doc_id: r.kept for r in px.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert [i for i, kept in sorted(got.items()) if not kept] == [900, 1900]
