@@ -39,18 +39,42 @@ def whole(docs: DataFrame) -> Column:
     return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns))
 
 
+_STORED: dict = {}
+
+
+def stored(name: tuple, make: Callable[[], object]):
+    """What ``make`` gives, kept in a Python worker from task to task until another name is asked for.
+
+    A worker serves all operators of an application in turn, so it keeps the store of one at a time.
+    """
+    if name not in _STORED:
+        let_go()
+        _STORED[name] = make()
+    return _STORED[name]
+
+
+def let_go(but: tuple | None = None) -> None:
+    """Forget what is kept under any other name, and hand unused Arrow memory back."""
+    others = [name for name in _STORED if name != but]
+    for name in others:
+        del _STORED[name]
+    if others:
+        pa.default_memory_pool().release_unused()
+
+
 def map_texts(docs: DataFrame, fn: Callable[[list], dict], schema: str, text_col: str = "text",
-              as_bytes: bool = False) -> DataFrame:
+              as_bytes: bool = False, keeps: tuple | None = None) -> DataFrame:
     """Replace the text by columns worked out from it; all other columns stay in front.
 
     ``fn`` gets the texts of one batch (UTF-8 bytes with ``as_bytes``) and returns a list or array
-    for every column of ``schema``.
+    for every column of ``schema``. ``keeps`` names the store it asks ``stored`` for; others are let go.
     """
     kept = [f for f in docs.schema.fields if f.name != text_col]
     names = [f.name for f in kept]
     parts = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(keeps)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
             found = fn((texts.cast(pa.binary()) if as_bytes else texts).to_pylist())

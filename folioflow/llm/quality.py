@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from folioflow.llm.common import map_texts, narrow
+from folioflow.llm.common import map_texts, narrow, stored
 from folioflow.session import cut_lineage
 
 HASH_BITS = 18
@@ -54,7 +54,8 @@ class _Words(dict):
         return value
 
 
-_WORDS = _Words()
+# The name of a worker's words.
+_STORE = ("quality words",)
 
 
 def features(text: bytes) -> np.ndarray:
@@ -62,7 +63,7 @@ def features(text: bytes) -> np.ndarray:
     tokens = text.split()
     if not tokens:
         return np.empty(0, np.int32)
-    packed = np.fromiter(map(_WORDS.__getitem__, tokens), np.uint64, len(tokens))
+    packed = np.fromiter(map(stored(_STORE, _Words).__getitem__, tokens), np.uint64, len(tokens))
     found = []
     for at in range(0, len(packed), _STEP):
         part = packed[max(0, at - 2):at + _STEP]
@@ -161,7 +162,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, cost: float = 1.0,
     def run(texts: list[bytes]) -> dict:
         return {"places": pa.array([features(t) for t in texts], pa.list_(pa.int32()))}
 
-    held = cut_lineage(map_texts(keyed, run, "places array<int>", as_bytes=True))
+    held = cut_lineage(map_texts(keyed, run, "places array<int>", as_bytes=True, keeps=_STORE))
     positive, negative = _counts(held)
     ratio = log_ratio(positive, negative)
     places, labels = [], []
@@ -202,7 +203,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         margins = np.fromiter((sent.value.margin(features(t)) for t in texts), float, len(texts))
         return {"score": 1.0 / (1.0 + np.exp(-_SLOPE * margins))}
 
-    return map_texts(rows.select(*(c for c in rows.columns if c != "text"), "text"), run, "score double", as_bytes=True)
+    return map_texts(rows.select(*(c for c in rows.columns if c != "text"), "text"), run, "score double", as_bytes=True,
+                     keeps=_STORE)
 
 
 def held_out(doc_id: Column) -> Column:
