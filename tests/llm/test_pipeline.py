@@ -33,7 +33,7 @@ def test_stages_take_odd_and_no_rows(spark, odd_docs):
         corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
 
 
-def test_a_worker_keeps_the_words_of_one_operator(documents):
+def test_a_worker_keeps_the_words_of_one_operator(odd_docs):
     """Stages run in the same Python workers: what one has kept is gone when the next works."""
     text = " ".join(f"word{n}" for n in range(5000)).encode()
 
@@ -49,7 +49,7 @@ def test_a_worker_keeps_the_words_of_one_operator(documents):
     assert held(token_blocks._Recent) == 0
 
     class Rows:
-        schema = documents.select("doc_id", "text").schema
+        schema = odd_docs.select("doc_id", "text").schema
 
         def mapInArrow(self, run, schema):
             return list(run(iter([])))
