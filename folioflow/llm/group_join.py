@@ -1,10 +1,14 @@
 """N-gram Jaccard join with a token-group matrix.
 
-Texts are sets of word shingles; equal sets are one class. Tokens are ordered so that rare tokens
-come first, by a filter of tokens seen again, whose size follows the input up to a bound, and a sketch
-of document frequencies: two sets
-of similarity t share one of their first (1 - t) n + 1 tokens, so only those are ever shuffled, and
-only classes that share one with another go on.
+Texts are sets of word shingles; equal sets are one class. A set with a partner of similarity t misses
+at most (1 - t) n of its tokens in it, so all but that many of its tokens with an even hash must be
+held by others too. Which ones are is found by segments of the hashes, in lists of some four bytes a
+token, and only sets that hold so many go on; nothing in this is bounded by a size, so it is as sharp
+for a large input as for a small one.
+
+Tokens of these are ordered so that rare tokens come first, by a filter of tokens seen again, whose
+size follows their texts up to a bound, and a sketch of document frequencies: two sets of similarity t
+share one of their first (1 - t) n + 1 tokens, and only classes that share one with another go on.
 
 Similar classes are put into groups by common least hashes. A group keeps the union of its members'
 tokens, its row in the token-group matrix, and a reference: the tokens of more than half of its
@@ -23,6 +27,7 @@ compared again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +46,8 @@ from folioflow.session import cut_lineage
 MAX_BITS = 1 << 28
 SLOTS = 1 << 22
 _STRETCH = 1 << 14
+# Tokens with an even hash that a segment has about, of the whole input.
+SEGMENT_TOKENS = 1 << 21
 # Where similar classes meet: BANDS keys of BAND_ROWS least hashes.
 BANDS, BAND_ROWS = 8, 3
 _SEEDS = np.random.default_rng(13).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
@@ -171,38 +178,154 @@ def _rows(column: pa.Array) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(stops.tolist(), stops[1:].tolist())]
 
 
-def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id, content, digest, n, rare`` per row: the set's digest and size, its rare tokens."""
+def _packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, their bytes laid out by place: high bytes of small ones cost nothing."""
+    planes = np.ascontiguousarray(numbers, np.uint32).view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+
+
+def _listed(sets: list[np.ndarray], places: list[int], segments: int) -> list[dict]:
+    """Even tokens of a batch by segment: 32 further bits of each, ascending, as steps, then whose they are."""
+    flat, held_by = np.concatenate(sets), np.repeat(np.array(places, np.uint32), [len(s) for s in sets])
+    even = flat & np.uint64(1) == 0
+    keys = (flat[even] >> np.uint64(1) & np.uint64(segments - 1)) << np.uint64(32) | flat[even] >> np.uint64(32)
+    order = np.argsort(keys)
+    keys, held_by = keys[order], held_by[even][order]
+    stops = np.searchsorted(keys, np.arange(segments + 1, dtype=np.uint64) << np.uint64(32))
+    low = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    return [{"segment": n, "packed": _packed(np.concatenate((np.diff(low[i:j], prepend=np.uint32(0)), held_by[i:j])))}
+            for n, (i, j) in enumerate(zip(stops.tolist(), stops[1:].tolist())) if i < j]
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """Rows that follow each other with one value in the first column, without it."""
+    current, held = None, []
+    for batch in batches:
+        for key, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+            if key != current and held:
+                yield current, held
+                held = []
+            current = key
+            held.append(tuple(rest))
+    if held:
+        yield current, held
+
+
+def _summed(counts: dict[int, np.ndarray], key: int, more: np.ndarray) -> None:
+    held = counts.get(key)
+    if held is None or len(held) < len(more):
+        held, more = more.astype(np.uint32), held
+        counts[key] = held
+    if more is not None:
+        held[:len(more)] += more.astype(np.uint32)
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """``batch, place, live``: how many of a set's even tokens other sets hold too, where any.
+
+    A task takes whole segments, one at a time, and keeps a number for each row of the input.
+    """
+    lists = rows.filter("parts IS NOT NULL").select("batch", F.explode("parts").alias("part")).select(
+        "part.segment", "batch", "part.packed")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[int, np.ndarray] = {}
+        for _, held in _runs(batches):
+            parts = [_unpacked(raw).reshape(2, -1) for _, raw in held]
+            low = np.concatenate([np.cumsum(steps, dtype=np.uint64) for steps, _ in parts])
+            # Sorted together with where they come from.
+            both = np.sort(low << np.uint64(32) | np.arange(len(low), dtype=np.uint64))
+            same = both[1:] >> np.uint64(32) == both[:-1] >> np.uint64(32)
+            live = np.zeros(len(low), bool)
+            live[(both[1:][same] & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
+            live[(both[:-1][same] & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
+            at = 0
+            for (batch, _), (_, held_by) in zip(held, parts):
+                _summed(counts, batch, np.bincount(held_by[live[at:at + len(held_by)]]))
+                at += len(held_by)
+        for batch, live in counts.items():
+            yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int64()), pa.array([_packed(live)], pa.binary())], names=["batch", "live"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, held in _runs(batches):
+            counts: dict[int, np.ndarray] = {}
+            for raw, in held:
+                _summed(counts, batch, _unpacked(raw))
+            places = np.flatnonzero(counts[batch])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(places), batch), pa.int64()), pa.array(places, pa.int32()), pa.array(counts[batch][places], pa.int32())],
+                names=["batch", "place", "live"])
+
+    counted = lists.repartition("segment").sortWithinPartitions("segment").mapInArrow(count, "batch bigint, live binary")
+    return counted.repartition("batch").sortWithinPartitions("batch").mapInArrow(add, "batch bigint, place int, live int")
+
+
+def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, content, digest, n`` per row: the set's digest and size; and ``digest, n, content, least, near``
+    per class: whether it may have a partner."""
     length = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    # About a byte for each word.
-    held = docs.sparkSession.sparkContext.broadcast(_sketch(docs, words, line_dedup.filter_bits(length // 6, MAX_BITS)))
+    # About six bytes for each word.
+    segments = max(8, 1 << (length // (12 * SEGMENT_TOKENS)).bit_length())
 
     def run(texts: list[bytes]) -> dict:
         sets = [tokens(t, words) for t in texts]
+        digests = [set_digest(s) for s in sets]
+        # Equal sets of a batch are listed once.
+        first: dict[bytes, int] = {}
+        places = [first.setdefault(d, i) for i, d in enumerate(digests)]
+        parts = _listed([sets[i] for i in first.values()], list(first.values()), segments)
         # Any partner holds at least t n of the n tokens, so it misses at most the others.
-        rare = [rare_first(s, held.value)[:len(s) - -(-percent * len(s) // 100) + 1] if len(s) else s for s in sets]
-        return {"digest": pa.array([set_digest(s) for s in sets], pa.binary()), "n": pa.array([len(s) for s in sets], pa.int64()),
-                "rare": _lists(rare)}
+        need = [int(np.count_nonzero(s & np.uint64(1) == 0)) - len(s) - (-percent * len(s) // 100) for s in sets]
+        listed = pa.array([parts] + [None] * (len(sets) - 1), pa.list_(pa.struct([("segment", pa.int32()), ("packed", pa.binary())])))
+        return {"digest": pa.array(digests, pa.binary()), "n": pa.array([len(s) for s in sets], pa.int64()), "need": pa.array(need, pa.int64()),
+                "batch": pa.array([uuid.uuid4().int >> 65] * len(sets), pa.int64()), "place": pa.array(places, pa.int32()), "parts": listed}
+
+    rows = cut_lineage(map_texts(
+        docs.select("doc_id", F.sha2("text", 256).alias("content"), "text"), run,
+        "digest binary, n bigint, need bigint, batch bigint, place int, parts array<struct<segment:int,packed:binary>>", as_bytes=True))
+    live = rows.select("doc_id", "content", "digest", "n", "need", "batch", "place").join(_shared(rows), ["batch", "place"], "left")
+    classes = live.groupBy("digest").agg(
+        F.any_value("n").alias("n"), F.min("content").alias("content"), F.min("doc_id").alias("least"),
+        F.max((F.col("n") > 0) & (F.coalesce("live", F.lit(0)) >= F.col("need"))).alias("near"))
+    return rows.select("doc_id", "content", "digest", "n"), cut_lineage(classes)
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``digest, text``: one text of each class in ``wanted`` (digest, content)."""
+    filter_ = bloom.build(wanted.select(F.xxhash64("content").alias("h")))
+    near = docs.select("text", F.sha2("text", 256).alias("content")).filter(
+        bloom.member(filter_, F.xxhash64("content"), docs.sparkSession.sparkContext))
+    # One text each before any moves: copies of one text may be a third of all rows.
+    return cut_lineage(near.dropDuplicates(["content"]).join(wanted, "content").select("digest", "text"))
+
+
+def _rarest(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``digest, rare``: the tokens of which a partner holds one, the rarest that there are."""
+    length = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    # About a byte for each word.
+    held = texts.sparkSession.sparkContext.broadcast(_sketch(texts, words, line_dedup.filter_bits(length // 6, MAX_BITS)))
 
-    rows = docs.select("doc_id", F.sha2("text", 256).alias("content"), "text")
-    return cut_lineage(map_texts(rows, run, "digest binary, n bigint, rare array<bigint>", as_bytes=True))
+    def run(found: list[bytes]) -> dict:
+        sets = [tokens(t, words) for t in found]
+        return {"rare": _lists([rare_first(s, held.value)[:len(s) - -(-percent * len(s) // 100) + 1] for s in sets])}
+
+    return cut_lineage(map_texts(texts, run, "rare array<bigint>", as_bytes=True))
 
 
 def _live(classes: DataFrame) -> DataFrame:
     """``token, digest``: rare tokens that more than one class holds."""
-    emitted = classes.filter("n > 0").select("digest", F.explode("rare").alias("token"))
+    emitted = classes.select("digest", F.explode("rare").alias("token"))
     shared = emitted.groupBy("token").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("token")
     return emitted.join(shared, "token")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``node, n, tokens, keys`` of the classes in ``wanted`` (digest, content), from one of their texts."""
-    filter_ = bloom.build(wanted.select(F.xxhash64("content").alias("h")))
-    near = docs.select("text", F.sha2("text", 256).alias("content")).filter(
-        bloom.member(filter_, F.xxhash64("content"), docs.sparkSession.sparkContext))
-    # One text each before any moves: copies of one text may be a third of all rows.
-    texts = near.dropDuplicates(["content"]).join(wanted, "content").select("digest", "text")
-
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """``digest, n, tokens, keys, node`` of the classes that have a text."""
     def run(found: list[bytes]) -> dict:
         sets = [tokens(t, words) for t in found]
         return {"n": pa.array([len(s) for s in sets], pa.int64()), "tokens": _lists([np.sort(s.view(np.int64)) for s in sets]),
@@ -374,12 +497,10 @@ def similar(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "d
         raise ValueError("percent is 50 to 100")
     session(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = _classes(docs, words, percent)
-    classes = cut_lineage(rows.groupBy("digest").agg(
-        F.any_value("n").alias("n"), F.any_value("rare").alias("rare"), F.min("content").alias("content"), F.min("doc_id").alias("least")))
-    rare = cut_lineage(_live(classes))
-    wanted = cut_lineage(classes.join(rare.select("digest").distinct(), "digest", "left_semi").select("digest", "content"))
-    sets = _sets(docs, wanted, words)
+    rows, classes = _classes(docs, words, percent)
+    texts = _texts(docs, classes.filter("near").select("digest", "content"))
+    rare = cut_lineage(_live(_rarest(texts, words, percent)))
+    sets = _sets(texts.join(rare.select("digest").distinct(), "digest", "left_semi"), words)
     rare = cut_lineage(rare.join(sets.select("digest", "node"), "digest").select("node", "token"))
     groups = _grouped(sets)
     opened, matrix = _opened(sets, groups, rare, percent)

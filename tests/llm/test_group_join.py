@@ -96,6 +96,44 @@ def test_coarse_sketch(spark, monkeypatch):
     assert got(spark.createDataFrame(rows, "doc_id bigint, text string")) == plain(rows)
 
 
+def test_unlike_texts_stay_out_whatever_the_sketch(spark, monkeypatch):
+    """Texts of shared passages without near copies do not go on, also where the filter is as full as on a large input."""
+    monkeypatch.setattr(group_join, "_sketch", lambda texts, words, bits: (np.zeros(bits // 8, np.uint8), np.zeros(group_join.SLOTS, np.uint8)))
+    taken, grouped = [], group_join._grouped
+    monkeypatch.setattr(group_join, "_grouped", lambda sets: taken.append(sets.count()) or grouped(sets))
+    rng = random.Random(8)
+    passages = [rng.choices([f"w{i}" for i in range(3000)], k=30) for _ in range(40)]
+    unlike = [sum(rng.sample(passages, 2), []) + [f"own{n}x{i}" for i in range(50)] for n in range(300)]
+    near = [edited(rng, unlike[0], 1) for _ in range(5)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(unlike + near)]
+    assert got(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)) == plain(rows)
+    assert taken == [6]
+
+
+def test_shared_tokens_are_counted_over_batches_and_segments(spark, monkeypatch):
+    """Every even token that another set of the input holds counts, wherever that is; equal sets of a batch are one."""
+    monkeypatch.setattr(group_join, "SEGMENT_TOKENS", 1)
+    rows = cluster(9, 2)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found, classes = group_join._classes(df, 3, 90)
+    assert sorted((r.doc_id, r.n) for r in found.collect()) == [(i, len(plain_set(t))) for i, t in rows]
+    near = {bytes(r.digest): r.near for r in classes.collect()}
+    sets = [group_join.tokens(t.encode(), 3) for _, t in rows]
+    held = {}
+    for s in {group_join.set_digest(s): s for s in sets}.values():
+        for t in s.tolist():
+            held[t] = held.get(t, 0) + 1
+    once = [sum(group_join.set_digest(s) == group_join.set_digest(o) for o in sets) == 1 for s in sets]
+    for s, alone in zip(sets, once):
+        even = [t for t in s.tolist() if t % 2 == 0]
+        missed = sum(held[t] == 1 for t in even)
+        if alone:
+            assert near[group_join.set_digest(s)] == (missed <= len(s) - -(-90 * len(s) // 100))
+        else:
+            # Copies in two batches hold each other's tokens.
+            assert near[group_join.set_digest(s)] or missed > len(s) - -(-90 * len(s) // 100)
+
+
 def test_odd_rows(odd_docs, no_docs):
     odd = odd_docs.withColumn("a.b", F.lit(1)).withColumn("node", F.lit("x")).withColumn("grp", F.lit(1))
     assert got(odd) == plain([(r.doc_id, r.text) for r in odd_docs.collect()])
