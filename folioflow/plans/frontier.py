@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,15 +12,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from folioflow.config import FlowConfig
 from folioflow.functions import scalars as sc
 from folioflow.operators.dedup import first_per_key
-from folioflow.operators.ordered import quota_cutoff
+from folioflow.operators.ordered import number_rows, quota_cutoff
 from folioflow.operators.upsert import insert_or_ignore, unseen
 from folioflow.plans.tasks import as_pending, take
 from folioflow.schemas import columns
-from folioflow.session import cut_lineage, shared_folder
+from folioflow.session import cut_lineage
 
 PROFILE = list(columns("users"))
-# What one step of the best-first expansion puts into one task: so many users of either kind, and so
-# many links between them and users not known yet.
+# The best-first expansion looks for its first open users among so many at a time, a block of links is
+# that of so many users; it gives back at most so many users at once, and looks at so many links at once.
 FIRST_USERS, MOST_USERS, MOST_LINKS = 1 << 16, 1 << 19, 3_000_000
 
 
@@ -117,62 +117,100 @@ def reach(edges: DataFrame, start: DataFrame, hops: int, cut_every: int = 1) ->
     return known
 
 
-def _played(rows: pa.Table, k: int, number: int, room: int | None, last_round: int | None,
-            cut: bool) -> tuple[list[pa.RecordBatch], int]:
-    """The rounds after ``number`` that the rows at hand decide: what became known or scanned in them.
-
-    ``rows`` are ``kind, user_id, followers_count, src``: open users (0), users with their links at hand
-    who are not known (1), and links (2) to users not known. With ``cut`` there are more open users, all
-    after these. A round needs the ``k`` best open users and their links; the first one that lacks some
-    is left to the next step. Users are numbered by rank, so a round's users are the first open ones.
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``block, src, dst`` rows to one row for each block in a batch, its numbers as 32-bit ones."""
+    for batch in batches:
+        block, src, dst = (c.to_numpy() for c in batch.columns)
+        stops = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+        spans = [(i, j) for i, j in zip(stops, stops[1:]) if i < j]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block[i] for i, _ in spans], pa.int32()),
+             *(pa.array([c[i:j].astype(np.uint32).tobytes() for i, j in spans], pa.binary()) for c in (src, dst))],
+            names=["block", "src", "dst"])
+
+
+def _laid(batches: Iterator[pa.RecordBatch], n: int, width: int, file) -> tuple[np.ndarray, np.ndarray]:
+    """The users to start from, and where each user's links begin in ``file``, to which they are written.
+
+    Rows come by block. One block is held at a time; block -1 are the users to start from."""
+    first, starts, current, held = np.zeros(n + 1, np.int64), np.empty(0, np.int64), None, []
+
+    def put() -> None:
+        nonlocal starts
+        src, dst = (np.frombuffer(b"".join(parts), np.uint32) for parts in zip(*held))
+        if current < 0:
+            starts = np.unique(dst).astype(np.int64)
+            return
+        low = current * width
+        first[low + 1:low + width + 1] += np.bincount(src - low, minlength=width)[:n - low]
+        file.write(dst[np.argsort(src, kind="stable")].tobytes())
+
+    for batch in batches:
+        for block, src, dst in zip(*(c.to_pylist() for c in batch.columns)):
+            if block != current and held:
+                put()
+                held = []
+            current = block
+            held.append((src, dst))
+    if held:
+        put()
+    file.flush()
+    return starts, np.cumsum(first)
+
+
+def _played(starts: np.ndarray, first: np.ndarray, links: np.ndarray, k: int | None, room: int | None,
+            last_round: int | None, width: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """For each user the round in which they became known, -1 if never, and the one in which they were
+    scanned, 0 if never; and, if the last round found more users than there is room for, for those the
+    source that has them, -1 for others.
+
+    Users are numbered by rank, so a round's users are the first open ones; ``links[first[u]:first[u + 1]]``
+    are those that ``u`` follows. ``width`` users are counted together, ``most`` links looked at at once.
     """
-    kind, ids = rows.column("kind").to_numpy(), rows.column("user_id").to_numpy()
-    counts = rows.column("followers_count")
-    missing = counts.is_null().to_numpy()
-    counts = counts.fill_null(0).to_numpy()
-    users, first = np.unique(ids, return_index=True)
-    order = np.lexsort((users, -counts[first], missing[first]))
-    place = np.empty(len(users), np.int64)
-    place[order] = np.arange(len(users))
-    at = place[np.searchsorted(users, ids)]
-    users, first = users[order], first[order]
-    is_open = np.zeros(len(users), bool)
-    is_open[at[kind == 0]] = True
-    held = np.zeros(len(users), bool)
-    held[at[kind != 2]] = True
-    known = is_open.copy()
-    bound = int(at[kind == 0].max()) if cut else len(users)
-    src = place[np.searchsorted(users[place], rows.column("src").drop_null().to_numpy())]
-    dst = at[kind == 2]
-    by_source = np.argsort(src, kind="stable")
-    src, dst = src[by_source], dst[by_source]
-    found, scanned = [], []
+    n = len(first) - 1
+    found, scanned, is_open = np.full(n, -1, np.int32), np.zeros(n, np.int32), np.zeros(n, bool)
+    counts = np.zeros(n // width + 1, np.int64)
+
+    def open_(users: np.ndarray) -> None:
+        is_open[users] = True
+        np.add.at(counts, users // width, 1)
+
+    found[starts] = 0
+    open_(starts)
+    number = 0
     while (last_round is None or number < last_round) and (room is None or room > 0):
-        chosen = np.flatnonzero(is_open)[:k]
-        if not len(chosen) or not held[chosen].all() or (cut and (len(chosen) < k or chosen[-1] > bound)):
+        before = np.cumsum(counts)
+        if not before[-1]:
             break
+        low = int(np.searchsorted(before, 0, side="right")) * width
+        high = (int(np.searchsorted(before, k)) + 1) * width if k else n
+        chosen = low + np.flatnonzero(is_open[low:high])[:k or None]
         number += 1
         is_open[chosen] = False
-        scanned.append((chosen, number))
-        low, high = np.searchsorted(src, chosen), np.searchsorted(src, chosen, side="right")
-        links = np.repeat(low, high - low) + np.arange((high - low).sum()) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
-        links = links[~known[dst[links]]]
-        # A user's first link comes from their best source: links are in the order of the sources.
-        met, nth = np.unique(dst[links], return_index=True)
-        if room is not None:
-            kept = np.lexsort((users[met], src[links[nth]]))[:room]
-            met = met[kept]
-            room -= len(met)
-        known[met] = is_open[met] = True
-        found.append((met, number))
-    out = []
-    for name, parts in (("known", found), ("scanned", scanned)):
-        for places, turn in parts:
-            out.append(pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(places), pa.string()), pa.array(users[places], pa.int64()),
-                 pa.array(counts[first[places]], pa.int64(), mask=missing[first[places]]),
-                 pa.array(np.full(len(places), turn), pa.int32())], names=["what", "user_id", "followers_count", "at"]))
-    return out, number
+        np.subtract.at(counts, chosen // width, 1)
+        scanned[chosen] = number
+        held = first[chosen + 1] - first[chosen]
+        ends = np.cumsum(held)
+        begins, new, sources = first[chosen] - (ends - held), [], []
+        for at in range(0, int(ends[-1]), most):
+            place = np.arange(at, min(at + most, int(ends[-1])))
+            nth = np.searchsorted(ends, place, side="right")
+            users = links[begins[nth] + place].astype(np.int64)
+            fresh = found[users] < 0
+            # A user's first link comes from their best source: links are in the order of the sources.
+            met, at_first = np.unique(users[fresh], return_index=True)
+            found[met] = number
+            new.append(met)
+            if room is not None:
+                sources.append(chosen[nth[fresh][at_first]])
+        met = np.concatenate(new) if new else np.empty(0, np.int64)
+        if room is not None and len(met) > room:
+            source = np.full(n, -1, np.int64)
+            source[met] = np.concatenate(sources)
+            return found, scanned, source
+        open_(met)
+        room = None if room is None else room - len(met)
+    return found, scanned, None
 
 
 def best_first(edges: DataFrame, profiles: DataFrame, start: DataFrame, k: int, user_cap: int | None = None,
@@ -185,88 +223,47 @@ def best_first(edges: DataFrame, profiles: DataFrame, start: DataFrame, k: int,
     order of the sources' rank and then their own id. It ends when no known user is unscanned, the
     cap is reached, or after ``max_rounds``. A user not scanned by then has a null ``scanned_round``.
 
-    A step takes many rounds: it gathers the best open users, the users they may find next, and the links
-    of both to users not known, and plays the rounds these decide in one task. What a step gathers is
-    bounded; a round whose links are more than that is done by joins. Links are put down anew per
-    step without those of scanned users and those to known ones, so steps read less and less. Known
-    and scanned users are folders that grow by one part a step, so a step's plan does not grow; per step
-    only a few numbers come to the driver.
+    A round hangs on the one before, and there are as many as users by ``k``, so rounds are not jobs.
+    Users are numbered by rank and links become pairs of numbers, in blocks by source; all that is
+    joins, in many tasks. One task then plays the rounds, each link looked at once: four bytes for it lie
+    in a file of the task's own, some twenty bytes for a user in memory, of the links one block or
+    ``MOST_LINKS``. Nothing but the number of users comes to the driver, with ``user_cap`` that of known ones.
     """
-    spark = edges.sparkSession
-    root = f"{shared_folder(spark)}/expansion/{uuid.uuid4().hex}"
-    kind = "what string, user_id bigint, followers_count bigint, at int"
     order = [F.desc_nulls_last("followers_count"), "user_id"]
-    # Nulls rank after every number.
-    rank = F.struct(F.col("followers_count").isNull(), -F.col("followers_count"), F.col("user_id"))
-
-    def put(rows: DataFrame, step: int) -> DataFrame:
-        rows.write.mode("overwrite").parquet(f"{root}/step={step}")
-        return spark.read.schema(kind).parquet(f"{root}/step={step}")
-
-    def held(what: str) -> DataFrame:
-        return spark.read.schema(f"{kind}, step int").parquet(root).filter(F.col("what") == what).drop("what", "step")
-
     people = cut_lineage(profiles.select(
         F.col("user_id").cast("bigint").alias("user_id"), F.col("followers_count").cast("bigint").alias("followers_count"),
     ).filter("user_id IS NOT NULL").dropDuplicates(["user_id"]))
-    follows = edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("user_id"))
-    links = follows.filter("src IS NOT NULL").distinct().join(people, "user_id").join(
-        people.select(F.col("user_id").alias("src")), "src", "left_semi")
-    latest = put(people.join(start.select("user_id"), "user_id", "left_semi").select(
-        F.lit("known").alias("what"), "user_id", "followers_count", F.lit(0).alias("at")), 0)
-    number, size, step, width = 0, latest.count(), 0, min(max(FIRST_USERS, k or 0), MOST_USERS)
-    while (max_rounds is None or number < max_rounds) and (user_cap is None or size < user_cap):
-        links = cut_lineage(
-            links.join(latest.filter("what = 'known'").select("user_id"), "user_id", "left_anti")
-            .join(latest.filter("what = 'scanned'").select(F.col("user_id").alias("src")), "src", "left_anti"))
-        open_users = cut_lineage(held("known").drop("at").join(held("scanned").select("user_id"), "user_id", "left_anti"))
-        n_open = open_users.count()
-        if not n_open:
-            break
-        step, room = step + 1, None if user_cap is None else user_cap - size
-        gathered = None
-        while k and (k <= width or n_open <= width):
-            best = cut_lineage(take(open_users, order, width))
-            ahead = links.join(open_users.select(F.col("user_id").alias("src")), "src", "left_semi").select(
-                "user_id", "followers_count").distinct()
-            if n_open > width:
-                missing, count, user = best.agg(F.max(rank)).first()[0]
-                ahead = ahead.filter(rank < F.struct(F.lit(missing), F.lit(count).cast("bigint"), F.lit(user).cast("bigint")))
-            ahead = take(ahead, order, width)
-            players = cut_lineage(best.withColumn("kind", F.lit(0)).unionByName(ahead.withColumn("kind", F.lit(1))))
-            wanted = cut_lineage(links.join(players.select(F.col("user_id").alias("src")), "src", "left_semi"))
-            if wanted.count() <= MOST_LINKS:
-                gathered = players.withColumn("src", F.lit(None).cast("bigint")).unionByName(wanted.withColumn("kind", F.lit(2)))
-                break
-            width //= 4
-        if gathered is not None:
-            arguments = (k, number, room, max_rounds, n_open > width)
-
-            def play(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                held_rows = [b for b in batches if b.num_rows]
-                if held_rows:
-                    yield from _played(pa.Table.from_batches(held_rows), *arguments)[0]
-
-            latest = put(gathered.select("kind", "user_id", "followers_count", "src").coalesce(1).mapInArrow(play, kind), step)
-            width = min(2 * width, MOST_USERS)
-        else:
-            latest = put(_one_round(links, open_users, order, rank, k, number + 1, room), step)
-            width = min(max(2 * width, k or 0), MOST_USERS)
-        number, more = latest.agg(F.max("at"), F.count(F.when(F.col("what") == "known", 1))).first()
-        size += more
-    return held("known").withColumnRenamed("at", "found_round").join(
-        held("scanned").select("user_id", F.col("at").alias("scanned_round")), "user_id", "left")
-
-
-def _one_round(links: DataFrame, open_users: DataFrame, order: list, rank: Column, k: int, number: int,
-               room: int | None) -> DataFrame:
-    """One round by joins, whatever its size."""
-    chosen = cut_lineage(take(open_users, order, k))
-    sources = chosen.select(F.col("user_id").alias("src"), rank.alias("rank"))
-    found = links.join(sources, "src").groupBy("user_id").agg(
-        F.first("followers_count").alias("followers_count"), F.min("rank").alias("rank"))
-    if room is not None:
-        found = take(found, ["rank", "user_id"], room)
-    part = lambda rows, what: rows.select(
-        F.lit(what).alias("what"), "user_id", "followers_count", F.lit(number).cast("int").alias("at"))
-    return part(chosen, "scanned").unionByName(part(found, "known"))
+    placed = cut_lineage(number_rows(people, [], order, "place").withColumn("place", F.col("place") - 1))
+    n, width, most, rows = placed.count(), FIRST_USERS, MOST_LINKS, MOST_USERS
+    follows = edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
+    links = follows.join(placed.select(F.col("user_id").alias("dst"), F.col("place").alias("to")), "dst").join(
+        placed.select(F.col("user_id").alias("src"), F.col("place").alias("from")), "src").select(
+        F.floor(F.col("from") / width).cast("int").alias("block"), F.col("from").alias("src"), F.col("to").alias("dst"))
+    starts = placed.join(start.select("user_id"), "user_id", "left_semi").select(
+        F.lit(-1).alias("block"), F.lit(0).alias("src"), F.col("place").alias("dst"))
+    # Links of one source may be a third of all, so a block is dealt to several tasks.
+    blocks = cut_lineage(links.unionByName(starts).repartition("block", F.pmod("dst", F.lit(16))).sortWithinPartitions("block").mapInArrow(
+        _packed, "block int, src binary, dst binary"))
+
+    def play(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with tempfile.TemporaryFile() as file:
+            begin, first = _laid(batches, n, width, file)
+            held = np.memmap(file, np.uint32, "r") if first[-1] else np.empty(0, np.uint32)
+            found, scanned, source = _played(begin, first, held, k, None if user_cap is None else user_cap - len(begin), max_rounds, width, most)
+        known = np.flatnonzero(found >= 0)
+        for at in range(0, len(known), rows):
+            users = known[at:at + rows]
+            whose = np.full(len(users), -1) if source is None else source[users]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(users, pa.int32()), pa.array(found[users]), pa.array(scanned[users], mask=scanned[users] == 0),
+                 pa.array(whose, pa.int64(), mask=whose < 0)], names=["place", "found_round", "scanned_round", "source"])
+
+    played = cut_lineage(blocks.coalesce(1).sortWithinPartitions("block").mapInArrow(
+        play, "place int, found_round int, scanned_round int, source bigint"))
+    known = placed.join(played, "place").select("user_id", "followers_count", "found_round", "scanned_round", "source")
+    if user_cap is not None:
+        room = user_cap - played.filter("source IS NULL").count()
+        # Without room nobody is cut off: no round was played.
+        last = known.filter("source IS NOT NULL")
+        known = known.filter("source IS NULL").unionByName(take(last, ["source", "user_id"], room) if room > 0 else last)
+    return known.drop("source")

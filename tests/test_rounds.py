@@ -384,6 +384,28 @@ def test_best_first_takes_many_rounds_a_step(spark, rows, monkeypatch):
         assert rows(got, "user_id", "followers_count", "found_round", "scanned_round") == plain_best_first(edges, followers, [1, 3], k, cap, limit)
 
 
+def test_best_first_writes_do_not_grow_with_rounds_or_links(spark, rows, monkeypatch):
+    """However little is looked at at once, the loop puts down a few tables; links repeat, lead nowhere or lack an end."""
+    rng = random.Random(11)
+    followers = {u: rng.choice([None, 7, rng.randrange(400)]) for u in range(300)}
+    edges = [(rng.randrange(300), rng.randrange(330)) for _ in range(900)] + [(5, u) for u in range(0, 300, 2)] * 2
+    e = spark.createDataFrame(edges + [(None, 1), (2, None)], "src long, dst long")
+    p = spark.createDataFrame([*followers.items(), (None, 3)], "user_id long, followers_count long")
+    start = spark.createDataFrame([(5,), (5,), (400,)], "user_id long")
+    monkeypatch.setattr(frontier, "FIRST_USERS", 16)
+    monkeypatch.setattr(frontier, "MOST_USERS", 32)
+    monkeypatch.setattr(frontier, "MOST_LINKS", 20)
+    steps = []
+    cut = frontier.cut_lineage
+    monkeypatch.setattr(frontier, "cut_lineage", lambda df: steps.append(1) or cut(df))
+    for k, cap, limit in ((1, None, None), (None, None, None), (300, 200, None), (3, 152, None), (2, 1, 5), (2, None, 0)):
+        del steps[:]
+        got = frontier.best_first(e, p, start, k, cap, limit)
+        assert rows(got, "user_id", "followers_count", "found_round", "scanned_round") == plain_best_first(edges, followers, [5], k, cap, limit)
+        assert len(steps) <= 4
+    assert frontier.best_first(e, p.limit(0), start, 2).count() == frontier.best_first(e, p, start.limit(0), 2).count() == 0
+
+
 def raw(df):
     zero = F.lit(0).cast("long")
     return df.select(
