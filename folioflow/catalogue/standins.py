@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from folioflow.config import FlowConfig
 from folioflow.functions import scalars as sc
 from folioflow.operators.ordered import number_rows
+from folioflow.session import cut_lineage
 
 NTZ = "timestamp_ntz"
 CFG = FlowConfig()
@@ -27,8 +28,8 @@ class Tables:
 
     @staticmethod
     def spread(rows: DataFrame) -> DataFrame:
-        """Compact rows that grow into pages: a file of few splits is dealt to all cores before that."""
-        return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+        """Compact rows that grow into pages: a file of few splits is dealt to all cores before that, once."""
+        return cut_lineage(rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism))
 
     # --- users ---
 
